@@ -23,6 +23,10 @@ from tidemark.schema import MODEL_FEATURES, feature_default
 
 SECOND = 1_000_000
 
+# Returns and their squares are totalled as decimals. The difference of two totals is then
+# exact: an outlier earlier on the line leaves no noise in the frames after it.
+EXACT = "decimal(38,18)"
+
 
 @dataclass(frozen=True)
 class FrameSpec:
@@ -153,6 +157,9 @@ def _increments(is_tick: Column, spec: FrameSpec) -> dict[str, Column]:
     def amount(condition: Column, value: Column) -> Column:
         return F.when(condition, value).otherwise(F.lit(0.0))
 
+    def exact(condition: Column, value: Column) -> Column:
+        return F.when(condition, value).otherwise(F.lit(0)).cast(EXACT)
+
     has_spread = is_tick & F.col("spread").isNotNull()
     has_book = is_tick & F.col("book").isNotNull()
     return {
@@ -164,13 +171,13 @@ def _increments(is_tick: Column, spec: FrameSpec) -> dict[str, Column]:
         "i_book_n": flag(has_book),
         "i_band_n": flag(pair & band),
         "i_band_valid": flag(valid & band),
-        "i_band_r": amount(valid & band, r),
-        "i_band_rr": amount(valid & band, r * r),
+        "i_band_r": exact(valid & band, r),
+        "i_band_rr": exact(valid & band, r * r),
         "i_band_dp": amount(pair & band, dp),
         "i_any_n": flag(pair),
         "i_any_valid": flag(valid),
-        "i_any_r": amount(valid, r),
-        "i_any_rr": amount(valid, r * r),
+        "i_any_r": exact(valid, r),
+        "i_any_rr": exact(valid, r * r),
         "i_any_dp": amount(pair, dp),
     }
 
@@ -198,8 +205,8 @@ def _features() -> list[Column]:
 
     def deviation(frame: str, kind: str) -> Column:
         n = of(frame, f"{kind}_valid")
-        average = of(frame, f"{kind}_r") / n
-        variance = of(frame, f"{kind}_rr") / n - average * average
+        average = of(frame, f"{kind}_r").cast("double") / n
+        variance = of(frame, f"{kind}_rr").cast("double") / n - average * average
         return F.when(n > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))).otherwise(F.lit(0.0))
 
     def volatility(frame: str) -> Column:

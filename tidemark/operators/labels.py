@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.features import SECOND
+from tidemark.operators.features import EXACT, SECOND
 from tidemark.operators.ranges import halo, quantiles, range_points, running
 from tidemark.session import materialize
 
@@ -71,16 +71,22 @@ def forward_volatility(
     over = f"over (partition by {', '.join(f'`{c}`' for c in group)} order by at, kind, seq)"
     marks = marks.withColumn("next", F.expr(f"lead(x) ignore nulls {over}"))
     r = (F.col("next.p") - F.col("price")) / F.when(F.col("price") != 0, F.col("price"))
-    r = F.when(is_tick, r)
-    marks = marks.withColumns({"r": r, "usable": F.when(is_tick & (F.col("price") != 0), 1)})
+    r = F.coalesce(F.when(is_tick, r), F.lit(0.0))
+    marks = marks.withColumns(
+        {
+            "r": r.cast(EXACT),
+            "rr": (r * r).cast(EXACT),
+            "usable": F.when(is_tick & (F.col("price") != 0), 1),
+        }
+    )
     upto = line.rowsBetween(Window.unboundedPreceding, 0)
     totals = marks.withColumns(
         {
             "n": F.count("x").over(upto),
             "ok": F.count("usable").over(upto),
-            "s": F.coalesce(F.sum("r").over(upto), F.lit(0.0)),
-            "ss": F.coalesce(F.sum(F.col("r") * F.col("r")).over(upto), F.lit(0.0)),
-            "tail": F.last(F.when(is_tick, F.struct("r")), ignorenulls=True).over(upto)["r"],
+            "s": F.sum("r").over(upto),
+            "ss": F.sum("rr").over(upto),
+            "tail": F.last(F.when(is_tick, F.struct("r", "rr")), ignorenulls=True).over(upto),
         }
     ).where("home")
 
@@ -90,21 +96,21 @@ def forward_volatility(
     sums = totals.groupBy(*group, "us", "seq").agg(
         at("own", "price").alias("price"),
         *[(at("to", c) - at("from", c)).alias(c) for c in ("n", "ok", "s", "ss")],
-        F.coalesce(at("to", "tail"), F.lit(0.0)).alias("tail"),
+        at("to", "tail").alias("tail"),
         *[F.first(F.when(F.col("frame") == "own", F.col(f"_keep_{c}")), True).alias(c) for c in keep],
     )
     # The last tick's pair ends past the horizon.
     pairs = F.col("n") - 1
-    mean = (F.col("s") - F.col("tail")) / pairs
-    square = (F.col("ss") - F.col("tail") * F.col("tail")) / pairs
-    variance = F.greatest(square - mean * mean, F.lit(0.0))
-    whole = (F.col("n") >= 2) & (F.col("ok") == F.col("n"))
+    mean = (F.col("s") - F.col("tail.r")).cast("double") / pairs
+    square = (F.col("ss") - F.col("tail.rr")).cast("double") / pairs
+    deviation = F.sqrt(F.greatest(square - mean * mean, F.lit(0.0)))
+    value = F.when(pairs == 1, F.lit(0.0)).when(pairs > 1, deviation)
     return sums.select(
         *by,
         "us",
         F.col("seq").alias(tie),
         "price",
-        F.when(whole, F.sqrt(variance)).alias("future_volatility"),
+        F.when(F.col("ok") == F.col("n"), value).alias("future_volatility"),
         *keep,
     )
 
