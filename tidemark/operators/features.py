@@ -14,19 +14,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.ticks import book_imbalance, log_return, priced, sanitize, spread
+from tidemark.functions.ticks import book_imbalance, priced, sanitize, spread
 from tidemark.operators.ranges import halo
 from tidemark.schema import MODEL_FEATURES, feature_default
 
 SECOND = 1_000_000
 
-# Returns and their squares are totalled as decimals. The difference of two totals is then
-# exact: an outlier earlier on the line leaves no noise in the frames after it.
+# Simple returns and their squares are totalled as decimals: differences of totals are exact.
 EXACT = "decimal(38,18)"
 
+# Squared log returns are totalled in two parts, multiples of this grain and the rest. Sums
+# of the first part carry no rounding error, those of the second next to none, so a large
+# move earlier on the line leaves no noise in the frames after it.
+GRAIN = 2.0**-30
+
 
 @dataclass(frozen=True)
 class FrameSpec:
@@ -46,14 +50,37 @@ class FrameSpec:
         }
 
 
-# Totals that include the current tick, and totals of pairs that end before it.
-_TICKS = ["ticks", "prices", "spread_sum", "spread_n", "book_sum", "book_n"]
-_PAIRS = ["band_n", "band_valid", "band_r", "band_rr", "band_dp", "any_n", "any_valid",
-          "any_r", "any_rr", "any_dp"]
+# Totals that include the current tick: what a tick adds.
+_TICKS = {
+    "ticks": "if(kind = 1, 1L, 0L)",
+    "prices": "if(p is not null, 1L, 0L)",
+    "spread_sum": "if(kind = 1, coalesce(spread, 0D), 0D)",
+    "spread_n": "if(kind = 1 and spread is not null, 1L, 0L)",
+    "book_sum": "if(kind = 1, coalesce(book, 0D), 0D)",
+    "book_n": "if(kind = 1 and book is not null, 1L, 0L)",
+}
+# Totals of pairs that end before the current tick: what the pair with the next tick adds.
+# ``band`` pairs are about one unit apart, ``any`` are all.
+_PAIRS = {
+    f"{kind}_{name}": f"if({condition}, {value}, {zero})"
+    for kind, near in (("band", "near"), ("any", "true"))
+    for name, condition, value, zero in (
+        ("n", f"pair and {near}", "1L", "0L"),
+        ("valid", f"valid and {near}", "1L", "0L"),
+        ("r", f"valid and {near}", "r", "0D"),
+        ("rr", f"valid and {near}", f"floor(r * r / {GRAIN!r}D) * {GRAIN!r}D", "0D"),
+        ("rr_rest", f"valid and {near}",
+         f"r * r - floor(r * r / {GRAIN!r}D) * {GRAIN!r}D", "0D"),
+        ("dp", f"pair and {near}", "abs(q - p)", "0D"),
+    )
+}
+_VOLATILITY = [
+    "band_n", "band_valid", "band_r", "band_rr", "band_rr_rest", "any_valid", "any_r", "any_rr",
+    "any_rr_rest",
+]
 _NEEDED = {
     "30s": ["prices", "book_sum", "book_n"],
-    "60s": ["prices", "spread_sum", "spread_n", "book_sum", "book_n", "band_valid", "band_r",
-            "band_rr", "band_n", "any_valid", "any_r", "any_rr"],
+    "60s": ["prices", "spread_sum", "spread_n", "book_sum", "book_n", *_VOLATILITY],
     "300s": [*_TICKS, *_PAIRS],
 }
 
@@ -89,154 +116,104 @@ def tick_features(
     group = [*by, "bucket"]
     rows = rows.repartition(*[F.col(c) for c in group])
 
-    probes = [
-        F.when(F.col("home"), F.struct(F.lit(0).alias("kind"), F.lit(label).alias("frame"),
-                                       (F.col("us") - size).alias("at")))
+    probes = ", ".join(
+        f"if(home, named_struct('kind', 0, 'frame', '{label}', 'at', us - {size}L), null)"
         for label, size in frames.items()
-    ]
-    own = F.struct(F.lit(1).alias("kind"), F.lit("own").alias("frame"), F.col("us").alias("at"))
-    marks = rows.withColumn("mark", F.explode(F.array_compact(F.array(own, *probes)))).select(
-        "*", "mark.*"
-    ).drop("mark")
-
-    line = Window.partitionBy(*group).orderBy("at", "kind", "seq")
-    is_tick = F.col("kind") == 1
-    marks = marks.withColumn("p", F.when(is_tick, F.col("price")))
-    marks = marks.withColumn(
-        "next",
-        F.expr(
-            "lead(if(p is not null, struct(p, us), null)) ignore nulls over (partition by "
-            + ", ".join(f"`{c}`" for c in group)
-            + " order by at, kind, seq)"
-        ),
     )
-    marks = marks.withColumns(_increments(is_tick, spec))
-    upto = line.rowsBetween(Window.unboundedPreceding, 0)
-    before = line.rowsBetween(Window.unboundedPreceding, -1)
-    totals = marks.withColumns(
-        {
-            **{c: F.sum(f"i_{c}").over(upto) for c in _TICKS},
-            **{c: F.coalesce(F.sum(f"i_{c}").over(before), F.lit(0)) for c in _PAIRS},
-            "first_price": F.when(F.col("frame") == "300s", F.col("next.p")),
-        }
+    marks = rows.selectExpr(
+        "*",
+        f"inline(array_compact(array(named_struct('kind', 1, 'frame', 'own', 'at', us), {probes})))",
+    ).selectExpr("*", "if(kind = 1, price, null) as p")
+
+    keys = ", ".join(f"`{c}`" for c in group)
+    line = f"partition by {keys} order by at, kind, seq"
+    upto = f"over ({line} rows between unbounded preceding and current row)"
+    before = f"over ({line} rows between unbounded preceding and 1 preceding)"
+    following = f"lead(if(p is null, null, struct(p, us))) ignore nulls over ({line})"
+    near = f"between {int(spec.pair_min * SECOND)}L and {int(spec.pair_max * SECOND)}L"
+    pairs = (
+        marks.selectExpr("*", f"{following} as next")
+        .selectExpr(
+            "*",
+            "next.p as q",
+            "p is not null and next is not null as pair",
+            f"next.us - us {near} as near",
+        )
+        .selectExpr("*", "pair and p > 0 and q > 0 as valid", "ln(q / p) as r")
+    )
+    totals = pairs.selectExpr(
+        *[f"`{c}`" for c in [*group, *[f"_keep_{k}" for k in keep]]],
+        "us", "seq", "home", "frame", "price", "q",
+        *[f"sum({e}) {upto} as {c}" for c, e in _TICKS.items()],
+        *[f"coalesce(sum({e}) {before}, {_zero(c)}) as {c}" for c, e in _PAIRS.items()],
     ).where("home")
 
     def at(frame: str, column: str) -> Column:
-        return F.max(F.when(F.col("frame") == frame, F.col(column)))
+        return F.expr(f"max(if(frame = '{frame}', `{column}`, null))")
 
-    kept = [F.first(F.when(F.col("frame") == "own", F.col(f"_keep_{c}")), ignorenulls=True).alias(c)
-            for c in keep]
     per_tick = totals.groupBy(*group, "us", "seq").agg(
         at("own", "price").alias("price"),
-        at("300s", "first_price").alias("first_price"),
-        *[at("own", c).alias(f"own_{c}") for c in [*_TICKS, *_PAIRS]],
-        *[at(f, c).alias(f"{f}_{c}") for f, names in _NEEDED.items() for c in names],
-        *kept,
+        at("300s", "q").alias("first_price"),
+        *[
+            F.expr(f"sum(case frame when 'own' then {c} when '{f}' then -{c} end) as {short}_{c}")
+            for f, short in (("30s", "s"), ("60s", "m"), ("300s", "l"))
+            for c in _NEEDED[f]
+        ],
+        *[
+            F.expr(f"first(if(frame = 'own', `_keep_{c}`, null), true) as `{c}`")
+            for c in keep
+        ],
     )
-    return sanitize(
-        per_tick.withColumns(_frames()).select(
-            *by, "us", "seq", "price", *_features(), *keep
-        ),
-        [f for f in MODEL_FEATURES if f != "trade_intensity_300s"],
+    out = per_tick.selectExpr(
+        *[f"`{c}`" for c in by], "us", "seq", "price", *_features(), *[f"`{c}`" for c in keep]
     )
+    return sanitize(out, [f for f in MODEL_FEATURES if f != "trade_intensity_300s"])
 
 
-def _increments(is_tick: Column, spec: FrameSpec) -> dict[str, Column]:
-    """What one tick adds to each running total."""
-    p, q = F.col("p"), F.col("next.p")
-    gap = F.col("next.us") - F.col("us")
-    pair = p.isNotNull() & q.isNotNull()
-    valid = pair & (p > 0) & (q > 0)
-    band = gap.between(int(spec.pair_min * SECOND), int(spec.pair_max * SECOND))
-    r = F.ln(q / p)
-    dp = F.abs(q - p)
-
-    def flag(condition: Column) -> Column:
-        return F.when(condition, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-
-    def amount(condition: Column, value: Column) -> Column:
-        return F.when(condition, value).otherwise(F.lit(0.0))
-
-    def exact(condition: Column, value: Column) -> Column:
-        return F.when(condition, value).otherwise(F.lit(0)).cast(EXACT)
-
-    has_spread = is_tick & F.col("spread").isNotNull()
-    has_book = is_tick & F.col("book").isNotNull()
-    return {
-        "i_ticks": flag(is_tick),
-        "i_prices": flag(p.isNotNull()),
-        "i_spread_sum": amount(has_spread, F.col("spread")),
-        "i_spread_n": flag(has_spread),
-        "i_book_sum": amount(has_book, F.col("book")),
-        "i_book_n": flag(has_book),
-        "i_band_n": flag(pair & band),
-        "i_band_valid": flag(valid & band),
-        "i_band_r": exact(valid & band, r),
-        "i_band_rr": exact(valid & band, r * r),
-        "i_band_dp": amount(pair & band, dp),
-        "i_any_n": flag(pair),
-        "i_any_valid": flag(valid),
-        "i_any_r": exact(valid, r),
-        "i_any_rr": exact(valid, r * r),
-        "i_any_dp": amount(pair, dp),
-    }
-
-
-def _frames() -> dict[str, Column]:
-    """Each frame's totals: the tick's own running total less the one at the frame start."""
-    return {
-        f"{frame}_{c}": F.col(f"own_{c}") - F.col(f"{frame}_{c}")
-        for frame, names in _NEEDED.items()
-        for c in names
-    }
-
-
-def _features() -> list[Column]:
-    def of(frame: str, column: str) -> Column:
-        return F.col(f"{frame}_{column}")
+def _zero(column: str) -> str:
+    return "0L" if column.endswith(("_n", "_valid")) else "0D"
 
-    def guarded(frame: str, value: Column, default) -> Column:
-        """The value where the frame has two prices and the tick has one."""
-        ready = (of(frame, "prices") > 1) & F.col("price").isNotNull()
-        return F.when(ready, value).otherwise(F.lit(default))
 
-    def mean(frame: str, total: str, count: str, default: float) -> Column:
-        return F.coalesce(F.try_divide(of(frame, total), of(frame, count)), F.lit(default))
+def _features() -> list[str]:
+    """The features from the totals of the short (s), mid (m) and long (l) frame."""
 
-    def deviation(frame: str, kind: str) -> Column:
-        n = of(frame, f"{kind}_valid")
-        average = of(frame, f"{kind}_r").cast("double") / n
-        variance = of(frame, f"{kind}_rr").cast("double") / n - average * average
-        return F.when(n > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))).otherwise(F.lit(0.0))
+    def mean(total: str, count: str, default: str) -> str:
+        return f"coalesce(try_divide({total}, {count}), {default})"
 
-    def volatility(frame: str) -> Column:
-        banded = of(frame, "band_valid") > 0
-        fallback = (of(frame, "band_n") == 0) & (of(frame, "any_valid") > 0)
+    def deviation(kind: str) -> str:
+        n = f"{kind}_valid"
+        square = f"({kind}_rr + {kind}_rr_rest) / {n}"
+        average = f"{kind}_r / {n}"
         return (
-            F.when(banded, deviation(frame, "band"))
-            .when(fallback, deviation(frame, "any"))
-            .otherwise(F.lit(0.0))
+            f"if({n} > 1, sqrt(greatest({square} - {average} * {average}, 0D)), 0D)"
         )
 
-    velocity = F.when(
-        of("300s", "band_n") > 0, of("300s", "band_dp") / of("300s", "band_n")
-    ).otherwise(mean("300s", "any_dp", "any_n", 0.0))
+    def volatility(f: str) -> str:
+        return (
+            f"case when {f}_band_valid > 0 then {deviation(f'{f}_band')} "
+            f"when {f}_band_n = 0 and {f}_any_valid > 0 then {deviation(f'{f}_any')} else 0D end"
+        )
 
     values = {
-        "log_return_300s": ("300s", log_return(F.col("price"), F.col("first_price"))),
-        "spread_mean_300s": ("300s", mean("300s", "spread_sum", "spread_n", 0.0)),
-        "trade_intensity_300s": ("300s", of("300s", "ticks")),
-        "order_book_imbalance_300s": ("300s", mean("300s", "book_sum", "book_n", 0.5)),
-        "spread_mean_60s": ("60s", mean("60s", "spread_sum", "spread_n", 0.0)),
-        "order_book_imbalance_60s": ("60s", mean("60s", "book_sum", "book_n", 0.5)),
-        "price_velocity_300s": ("300s", velocity),
-        "realized_volatility_300s": ("300s", volatility("300s")),
-        "order_book_imbalance_30s": ("30s", mean("30s", "book_sum", "book_n", 0.5)),
-        "realized_volatility_60s": ("60s", volatility("60s")),
+        "log_return_300s": ("l", "if(first_price > 0, ln(price / first_price), 0D)"),
+        "spread_mean_300s": ("l", mean("l_spread_sum", "l_spread_n", "0D")),
+        "trade_intensity_300s": ("l", "l_ticks"),
+        "order_book_imbalance_300s": ("l", mean("l_book_sum", "l_book_n", "0.5D")),
+        "spread_mean_60s": ("m", mean("m_spread_sum", "m_spread_n", "0D")),
+        "order_book_imbalance_60s": ("m", mean("m_book_sum", "m_book_n", "0.5D")),
+        "price_velocity_300s": (
+            "l", f"if(l_band_n > 0, l_band_dp / l_band_n, {mean('l_any_dp', 'l_any_n', '0D')})"
+        ),
+        "realized_volatility_300s": ("l", volatility("l")),
+        "order_book_imbalance_30s": ("s", mean("s_book_sum", "s_book_n", "0.5D")),
+        "realized_volatility_60s": ("m", volatility("m")),
     }
+
+    def default(name: str) -> str:
+        return "0L" if name == "trade_intensity_300s" else f"{feature_default(name)}D"
+
+    # A frame counts when it holds two prices and the tick has one.
     return [
-        guarded(frame, value, feature_default(name) if name != "trade_intensity_300s" else 0).alias(
-            name
-        )
-        for name, (frame, value) in values.items()
+        f"if({f}_prices > 1 and price is not null, {value}, {default(name)}) as {name}"
+        for name, (f, value) in values.items()
     ]

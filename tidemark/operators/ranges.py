@@ -33,18 +33,14 @@ def halo(
     """
     if max(back, ahead) > width:
         raise ValueError("the bucket must be at least as wide as the frame")
-    t = F.col(us)
-    own = F.floor(t / F.lit(width)).cast("bigint")
-    offset = t - own * width
+    own = f"({us} - pmod({us}, {width}L)) div {width}L"
     places = [own]
     if back:
-        places.append(F.when(offset >= width - back, own + 1))
+        places.append(f"if(pmod({us}, {width}L) >= {width - back}L, {own} + 1, null)")
     if ahead:
-        places.append(F.when(offset <= ahead, own - 1))
-    return (
-        df.withColumn("bucket", F.explode(F.array_compact(F.array(*places))))
-        .withColumn("home", F.col("bucket") == own)
-    )
+        places.append(f"if(pmod({us}, {width}L) <= {ahead}L, {own} - 1, null)")
+    copies = df.selectExpr("*", f"explode(array_compact(array({', '.join(places)}))) as bucket")
+    return copies.selectExpr("*", f"bucket = {own} as home")
 
 
 def range_points(df: DataFrame, column: str, rows: int | None = None) -> list[float]:
