@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.ticks import add_return_range, analysis_columns, common_columns
+from tidemark.operators.joins import asof_join
 from tidemark.operators.ranges import running
 from tidemark.operators.splits import split_ratio, split_train_test
 
@@ -263,6 +264,16 @@ def drift_report(
     return report
 
 
+def with_predictions(
+    features: DataFrame, predictions: DataFrame, tolerance: float = 1, by: Sequence[str] = ()
+) -> DataFrame:
+    """Features with the score and prediction closest in time (for prediction drift)."""
+    return asof_join(
+        features, predictions, ["score", "prediction"], by=by,
+        tolerance=int(tolerance * 1_000_000),
+    )
+
+
 def early_late_report(df: DataFrame, ratio: float = 0.5, **kw) -> DataFrame:
     """The report on the early against the late part of one table."""
     parts = split_ratio(df, ratio)

@@ -18,8 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.ticks import book_imbalance, priced, sanitize, spread
-from tidemark.operators.ranges import halo
+from tidemark.operators.ranges import halo, hottest, range_points, running
 from tidemark.schema import MODEL_FEATURES, feature_default
+from tidemark.session import rows_per_range
 
 SECOND = 1_000_000
 
@@ -31,6 +32,9 @@ EXACT = "decimal(38,18)"
 # move earlier on the line leaves no noise in the frames after it.
 GRAIN = 2.0**-30
 
+# A bucket with more than this many times the rows of a range is not left to one task.
+DENSE = 5
+
 
 @dataclass(frozen=True)
 class FrameSpec:
@@ -98,7 +102,8 @@ def tick_features(
     breaks ties in time), ``price``, ``best_bid``, ``best_ask``, ``bid_qty``, ``ask_qty``.
     ``keep`` names further columns to carry along. A product's time line is cut into buckets
     of ``width`` micros (12 long frames by default) with one frame of overlap, so a product
-    that holds most of the rows is still spread over many tasks.
+    that holds most of the rows is still spread over many tasks. If a burst overfills a
+    bucket, ranges of even row counts take the place of the buckets.
     """
     frames = spec.frames()
     reach = max(frames.values())
@@ -112,62 +117,105 @@ def tick_features(
         book_imbalance(F.col("bid_qty"), F.col("ask_qty")).alias("book"),
         *[F.col(c).alias(f"_keep_{c}") for c in keep],
     )
-    rows = halo(rows, width or 12 * reach, back=reach)
+    width = width or 12 * reach
+    spark = ticks.sparkSession
     group = [*by, "bucket"]
-    rows = rows.repartition(*[F.col(c) for c in group])
+    dense = hottest(rows.selectExpr(*_quoted(by), f"us div {width}L as bucket"), group)
+    if dense > DENSE * rows_per_range(spark):
+        totals, group = _by_ranges(rows, spec, by, keep), by
+    else:
+        totals = _by_buckets(halo(rows, width, back=reach), spec, group, keep)
+
+    per_tick = totals.groupBy(*group, "us", "seq").agg(
+        F.expr("max(if(frame = 'own', price, null)) as price"),
+        F.expr("max(if(frame = '300s', q, null)) as first_price"),
+        *[
+            F.expr(f"sum(case frame when 'own' then {c} when '{f}' then -{c} end) as {short}_{c}")
+            for f, short in (("30s", "s"), ("60s", "m"), ("300s", "l"))
+            for c in _NEEDED[f]
+        ],
+        *[
+            F.expr(f"first(if(frame = 'own', `_keep_{c}`, null), true) as `{c}`")
+            for c in keep
+        ],
+    )
+    out = per_tick.selectExpr(
+        *_quoted(by), "us", "seq", "price", *_features(), *_quoted(keep)
+    )
+    return sanitize(out, [f for f in MODEL_FEATURES if f != "trade_intensity_300s"])
+
 
+def _quoted(columns: Sequence[str]) -> list[str]:
+    return [f"`{c}`" for c in columns]
+
+
+def _marks(rows: DataFrame, spec: FrameSpec, home: str) -> DataFrame:
+    """The markers of each tick: its own, and one where each of its frames starts."""
     probes = ", ".join(
-        f"if(home, named_struct('kind', 0, 'frame', '{label}', 'at', us - {size}L), null)"
-        for label, size in frames.items()
+        f"if({home}, named_struct('kind', 0, 'frame', '{label}', 'at', us - {size}L), null)"
+        for label, size in spec.frames().items()
     )
-    marks = rows.selectExpr(
+    return rows.selectExpr(
         "*",
         f"inline(array_compact(array(named_struct('kind', 1, 'frame', 'own', 'at', us), {probes})))",
     ).selectExpr("*", "if(kind = 1, price, null) as p")
 
-    keys = ", ".join(f"`{c}`" for c in group)
-    line = f"partition by {keys} order by at, kind, seq"
+
+def _pairs(marks: DataFrame, spec: FrameSpec) -> DataFrame:
+    """Each marker with the pair of its tick and the ``next`` priced one."""
+    near = f"between {int(spec.pair_min * SECOND)}L and {int(spec.pair_max * SECOND)}L"
+    return marks.selectExpr(
+        "*",
+        "next.p as q",
+        "p is not null and next is not null as pair",
+        f"next.us - us {near} as near",
+    ).selectExpr("*", "pair and p > 0 and q > 0 as valid", "ln(q / p) as r")
+
+
+def _by_buckets(
+    rows: DataFrame, spec: FrameSpec, group: list[str], keep: Sequence[str]
+) -> DataFrame:
+    """Totals at the markers, each time bucket on its own: one shuffle and one sort."""
+    marks = _marks(rows.repartition(*[F.col(c) for c in group]), spec, "home")
+    line = f"partition by {', '.join(_quoted(group))} order by at, kind, seq"
     upto = f"over ({line} rows between unbounded preceding and current row)"
     before = f"over ({line} rows between unbounded preceding and 1 preceding)"
     following = f"lead(if(p is null, null, struct(p, us))) ignore nulls over ({line})"
-    near = f"between {int(spec.pair_min * SECOND)}L and {int(spec.pair_max * SECOND)}L"
-    pairs = (
-        marks.selectExpr("*", f"{following} as next")
-        .selectExpr(
-            "*",
-            "next.p as q",
-            "p is not null and next is not null as pair",
-            f"next.us - us {near} as near",
-        )
-        .selectExpr("*", "pair and p > 0 and q > 0 as valid", "ln(q / p) as r")
-    )
-    totals = pairs.selectExpr(
-        *[f"`{c}`" for c in [*group, *[f"_keep_{k}" for k in keep]]],
+    return _pairs(marks.selectExpr("*", f"{following} as next"), spec).selectExpr(
+        *_quoted([*group, *[f"_keep_{k}" for k in keep]]),
         "us", "seq", "home", "frame", "price", "q",
         *[f"sum({e}) {upto} as {c}" for c, e in _TICKS.items()],
         *[f"coalesce(sum({e}) {before}, {_zero(c)}) as {c}" for c, e in _PAIRS.items()],
     ).where("home")
 
-    def at(frame: str, column: str) -> Column:
-        return F.expr(f"max(if(frame = '{frame}', `{column}`, null))")
 
-    per_tick = totals.groupBy(*group, "us", "seq").agg(
-        at("own", "price").alias("price"),
-        at("300s", "q").alias("first_price"),
-        *[
-            F.expr(f"sum(case frame when 'own' then {c} when '{f}' then -{c} end) as {short}_{c}")
-            for f, short in (("30s", "s"), ("60s", "m"), ("300s", "l"))
-            for c in _NEEDED[f]
-        ],
-        *[
-            F.expr(f"first(if(frame = 'own', `_keep_{c}`, null), true) as `{c}`")
-            for c in keep
-        ],
+def _by_ranges(
+    rows: DataFrame, spec: FrameSpec, by: list[str], keep: Sequence[str]
+) -> DataFrame:
+    """The same totals when a bucket is too full for one task.
+
+    The markers' line is cut into ranges of even size, however short in time they are, and
+    totals are handed on from range to range. This shuffles the markers several times, so
+    it is kept for bursts.
+    """
+    marks = _marks(rows, spec, "true")
+    points = range_points(rows, "us")
+    order = ["at", "kind", "seq"]
+    tick = F.expr("if(p is null, null, struct(p, us))")
+    marks = running(
+        marks, by, order, {"next": ("last", tick)}, points, inclusive=False, reverse=True
     )
-    out = per_tick.selectExpr(
-        *[f"`{c}`" for c in by], "us", "seq", "price", *_features(), *[f"`{c}`" for c in keep]
+    pairs = _pairs(marks, spec)
+    ticks = {c: ("sum", F.expr(e)) for c, e in _TICKS.items()}
+    before = {c: ("sum", F.expr(e)) for c, e in _PAIRS.items()}
+    totals = running(
+        running(pairs, by, order, ticks, points), by, order, before, points, inclusive=False
+    )
+    return totals.selectExpr(
+        *_quoted([*by, *[f"_keep_{k}" for k in keep]]), "us", "seq", "frame", "price", "q",
+        *_TICKS,
+        *[f"coalesce({c}, {_zero(c)}) as {c}" for c in _PAIRS],
     )
-    return sanitize(out, [f for f in MODEL_FEATURES if f != "trade_intensity_300s"])
 
 
 def _zero(column: str) -> str:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.features import EXACT, SECOND
-from tidemark.operators.ranges import halo, quantiles, range_points, running
-from tidemark.session import materialize
+from tidemark.operators.features import DENSE, EXACT, SECOND
+from tidemark.operators.ranges import halo, hottest, quantiles, range_points, running
+from tidemark.session import materialize, rows_per_range
 
 
 def gap_chunks(
@@ -38,24 +38,33 @@ def forward_volatility(
 
     NULL with fewer than two such ticks. Ticks past a pause of more than ``gap`` seconds
     are not looked at. The same sweep as for the rolling features: running totals are read
-    just after t and just after the end of the horizon.
+    just after t and just after the end of the horizon; a burst is cut into ranges.
     """
     h, g = int(horizon * SECOND), int(gap * SECOND)
     by = list(by)
-    group = [*by, "bucket"]
     rows = df.select(
         *by, "us", F.col(tie).alias("seq"), F.col("price").cast("double").alias("price"),
         *[F.col(c).alias(f"_keep_{c}") for c in keep],
     )
-    rows = halo(rows, width or 12 * h, ahead=h).repartition(*[F.col(c) for c in group])
+    width = width or 12 * h
+    spark = df.sparkSession
+    cells = rows.select(*by, "us", F.floor(F.col("us") / width).alias("bucket"))
+    if hottest(cells, [*by, "bucket"]) > DENSE * rows_per_range(spark):
+        group, points = by, range_points(rows, "us")
+        rows = rows.withColumn("home", F.lit(True))
+    else:
+        group, points = [*by, "bucket"], []
+        rows = halo(rows, width, ahead=h).repartition(*[F.col(c) for c in group])
+
     end = F.col("us") + h
     if g < h:
-        ahead = Window.partitionBy(*group).orderBy("us", "seq")
-        step = F.lead("us").over(ahead) - F.col("us")
-        rows = rows.withColumn("_break", F.when(step > g, F.col("us")))
-        back = Window.partitionBy(*group).orderBy(F.desc("us"), F.desc("seq"))
-        rows = rows.withColumn("_stop", F.last("_break", ignorenulls=True).over(back))
+        order = ["us", "seq"]
+        later = {"_later": ("last", F.col("us"))}
+        rows = running(rows, group, order, later, points, inclusive=False, reverse=True)
+        pause = F.when(F.col("_later") - F.col("us") > g, F.col("us"))
+        rows = running(rows, group, order, {"_stop": ("last", pause)}, points, reverse=True)
         end = F.least(end, F.col("_stop"))
+
     tick = F.struct(F.lit(0).alias("kind"), F.lit("own").alias("frame"), F.col("us").alias("at"))
     probes = [
         F.when(F.col("home"), F.struct(F.lit(1).alias("kind"), F.lit(n).alias("frame"), t.alias("at")))
@@ -65,29 +74,27 @@ def forward_volatility(
         "*", "mark.*"
     ).drop("mark")
 
-    line = Window.partitionBy(*group).orderBy("at", "kind", "seq")
-    is_tick = F.col("kind") == 0
-    marks = marks.withColumn("x", F.when(is_tick, F.struct(F.col("price").alias("p"))))
-    over = f"over (partition by {', '.join(f'`{c}`' for c in group)} order by at, kind, seq)"
-    marks = marks.withColumn("next", F.expr(f"lead(x) ignore nulls {over}"))
-    r = (F.col("next.p") - F.col("price")) / F.when(F.col("price") != 0, F.col("price"))
-    r = F.coalesce(F.when(is_tick, r), F.lit(0.0))
-    marks = marks.withColumns(
-        {
-            "r": r.cast(EXACT),
-            "rr": (r * r).cast(EXACT),
-            "usable": F.when(is_tick & (F.col("price") != 0), 1),
-        }
+    line = ["at", "kind", "seq"]
+    own = F.expr("if(kind = 0, struct(price), null)")
+    marks = running(
+        marks, group, line, {"next": ("last", own)}, points, inclusive=False, reverse=True
+    )
+    r = F.expr(
+        "if(kind = 0 and price <> 0, coalesce((next.price - price) / price, 0D), 0D)"
     )
-    upto = line.rowsBetween(Window.unboundedPreceding, 0)
-    totals = marks.withColumns(
+    marks = marks.withColumns({"r": r.cast(EXACT), "rr": (r * r).cast(EXACT)})
+    totals = running(
+        marks,
+        group,
+        line,
         {
-            "n": F.count("x").over(upto),
-            "ok": F.count("usable").over(upto),
-            "s": F.sum("r").over(upto),
-            "ss": F.sum("rr").over(upto),
-            "tail": F.last(F.when(is_tick, F.struct("r", "rr")), ignorenulls=True).over(upto),
-        }
+            "n": ("sum", F.expr("if(kind = 0, 1L, 0L)")),
+            "ok": ("sum", F.expr("if(kind = 0 and price <> 0, 1L, 0L)")),
+            "s": ("sum", F.col("r")),
+            "ss": ("sum", F.col("rr")),
+            "tail": ("last", F.expr("if(kind = 0, struct(r, rr), null)")),
+        },
+        points,
     ).where("home")
 
     def at(frame: str, column: str):
@@ -96,13 +103,14 @@ def forward_volatility(
     sums = totals.groupBy(*group, "us", "seq").agg(
         at("own", "price").alias("price"),
         *[(at("to", c) - at("from", c)).alias(c) for c in ("n", "ok", "s", "ss")],
-        at("to", "tail").alias("tail"),
+        at("to", "tail.r").alias("tail_r"),
+        at("to", "tail.rr").alias("tail_rr"),
         *[F.first(F.when(F.col("frame") == "own", F.col(f"_keep_{c}")), True).alias(c) for c in keep],
     )
     # The last tick's pair ends past the horizon.
     pairs = F.col("n") - 1
-    mean = (F.col("s") - F.col("tail.r")).cast("double") / pairs
-    square = (F.col("ss") - F.col("tail.rr")).cast("double") / pairs
+    mean = (F.col("s") - F.col("tail_r")).cast("double") / pairs
+    square = (F.col("ss") - F.col("tail_rr")).cast("double") / pairs
     deviation = F.sqrt(F.greatest(square - mean * mean, F.lit(0.0)))
     value = F.when(pairs == 1, F.lit(0.0)).when(pairs > 1, deviation)
     return sums.select(

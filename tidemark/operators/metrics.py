@@ -11,6 +11,11 @@ from tidemark.operators.joins import asof_join
 from tidemark.operators.ranges import quantiles, running
 
 
+def _score(column: str, rounded: bool) -> Column:
+    value = F.col(column).cast("double")
+    return (F.round(value, 4) if rounded else value).alias("score")
+
+
 def score_curve(
     df: DataFrame,
     label: str = "label",
@@ -20,10 +25,10 @@ def score_curve(
 ) -> DataFrame:
     """Positives and rows of each distinct score, and running counts from the top score.
 
-    With ``rounded`` scores (four places) there are at most 10,001 rows per key, so the
-    running count needs no range cut.
+    ``rounded`` takes the scores in four places, as they are logged. There are at most
+    10,001 of them per key then, and the running count needs no range cut.
     """
-    groups = df.groupBy(*by, F.col(score).alias("score")).agg(
+    groups = df.groupBy(*by, _score(score, rounded)).agg(
         F.sum(F.col(label).cast("bigint")).alias("pos"), F.count("*").alias("n")
     )
     groups = groups.withColumn("_down", -F.col("score"))
@@ -101,7 +106,7 @@ def classification_metrics(
 ) -> DataFrame:
     """All metrics of each key from one grouping by score."""
     y, p = F.col(label) == 1, F.col(prediction) == 1
-    groups = df.groupBy(*by, F.col(score).alias("score")).agg(
+    groups = df.groupBy(*by, _score(score, rounded)).agg(
         F.count_if(y).alias("pos"),
         F.count("*").alias("n"),
         F.count_if(y & p).alias("tp"),

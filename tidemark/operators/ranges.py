@@ -83,22 +83,28 @@ def running(
     values: dict[str, tuple[str, Column]],
     points: Sequence[float] | None = None,
     inclusive: bool = True,
+    reverse: bool = False,
 ) -> DataFrame:
     """Running ``sum``, ``max`` or ``last`` (non-null) of each key in ``order``.
 
     ``values`` maps an output name to (function, column). ``order[0]`` must be numeric:
     it is cut into ranges. ``points`` are the borders if the caller already has them.
-    With ``inclusive=False`` the current row is left out.
+    With ``inclusive=False`` the current row is left out. ``reverse`` walks from the end, so
+    that ``last`` without the current row is the next value. The ``by`` columns must not be
+    null.
     """
     points = range_points(df, order[0]) if points is None else points
     src = {name: f"_in_{name}" for name in values}
     rows = assign_range(df, order[0], points)
     rows = rows.withColumns({src[n]: c for n, (_, c) in values.items()})
 
+    def walk(c: str) -> Column:
+        return F.desc(c) if reverse else F.asc(c)
+
     keys = [*by, RANGE]
     frame = (
         Window.partitionBy(*keys)
-        .orderBy(*order)
+        .orderBy(*[walk(c) for c in order])
         .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     )
     scan = {
@@ -110,11 +116,17 @@ def running(
     if not points:
         return local.drop(RANGE, *src.values())
 
+    place = F.struct(*[F.col(c) for c in order])
+    total = {
+        "sum": F.sum,
+        "max": F.max,
+        "last": lambda c: (F.min_by if reverse else F.max_by)(c, F.when(c.isNotNull(), place)),
+    }
     totals = rows.groupBy(*keys).agg(
-        *[_total(f, F.col(src[n]), order).alias(f"_t_{n}") for n, (f, _) in values.items()]
+        *[total[f](F.col(src[n])).alias(f"_t_{n}") for n, (f, _) in values.items()]
     )
     earlier = (
-        Window.partitionBy(*by).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*by).orderBy(walk(RANGE)).rowsBetween(Window.unboundedPreceding, -1)
     )
     before = totals.select(
         *keys,
@@ -131,13 +143,9 @@ def running(
     ).drop(RANGE, *src.values(), *[f"_b_{n}" for n in values])
 
 
-def _total(function: str, value: Column, order: Sequence[str]) -> Column:
-    if function == "sum":
-        return F.sum(value)
-    if function == "max":
-        return F.max(value)
-    place = F.struct(*[F.col(c) for c in order])
-    return F.max_by(value, F.when(value.isNotNull(), place))
+def hottest(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the largest group (counted with a map-side half)."""
+    return df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
 
 
 def global_rank(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
@@ -234,15 +242,35 @@ def quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> dict[float
     return out
 
 
-def cut_keys(df: DataFrame, order: Sequence[str], position: int) -> tuple | None:
-    """Order key (time, tie) of the row at a 0-based position; None past the end."""
+def cut_keys(
+    df: DataFrame, order: tuple[str, str], shares: Sequence[float]
+) -> list[tuple | None]:
+    """Order key (time, tie) of the row at each 0-based position ``int(n * share)``.
+
+    None where the position is past the end.
+    """
     time, tie = order
-    below = position + 1
-    _, at = order_statistics(df, time, lambda n: [below])
-    if below not in at:
-        return None
-    t = at[below]
-    ties = df.where(F.col(time) == t)
-    earlier = df.where(F.col(time) < t).count()
-    _, found = order_statistics(ties, tie, lambda n: [below - earlier])
-    return t, found[below - earlier]
+    total, at = order_statistics(df, time, lambda n: [int(n * s) + 1 for s in shares])
+    wanted = [int(total * s) + 1 for s in shares]
+    found = sorted({at[r] for r in wanted if r in at})
+    if not found:
+        return [None] * len(wanted)
+    t = F.col(time)
+    facts = df.agg(
+        *[F.count_if(t < x).alias(f"b{i}") for i, x in enumerate(found)],
+        *[F.count_if(t == x).alias(f"n{i}") for i, x in enumerate(found)],
+        *[F.min(F.when(t == x, F.col(tie))).alias(f"m{i}") for i, x in enumerate(found)],
+    ).first()
+    out = []
+    for r in wanted:
+        if r not in at:
+            out.append(None)
+            continue
+        i = found.index(at[r])
+        within = r - facts[f"b{i}"]
+        if facts[f"n{i}"] == 1 or within == 1:
+            out.append((at[r], facts[f"m{i}"]))
+            continue
+        _, ties = order_statistics(df.where(t == at[r]), tie, lambda n, k=within: [k])
+        out.append((at[r], ties[within]))
+    return out

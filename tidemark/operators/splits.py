@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.ranges import cut_keys, global_rank
+from tidemark.operators.ranges import cut_keys, order_statistics
 
 
 def time_slice(
@@ -42,11 +43,9 @@ def time_split(
     ``shares`` are cumulative. Only the order keys at the cuts are looked up, so the rows
     themselves are neither sorted nor shuffled.
     """
-    total = df.count()
     time, tie = (F.col(c) for c in order)
     label = F.lit(names[-1])
-    for share, name in reversed(list(zip(shares, names))):
-        key = cut_keys(df, order, int(total * share))
+    for key, name in reversed(list(zip(cut_keys(df, order, shares), names))):
         if key is None:
             label = F.lit(name)
             continue
@@ -70,19 +69,22 @@ def split_stratified(
 ) -> DataFrame:
     """Train/val/test with the same label rate in each part.
 
-    Rows are ordered by a hash of their key within each label, and cut by share. The hash
-    makes the parts the same on every run.
+    Within each label the rows are cut at two values of a hash of their key. The hash makes
+    the parts the same on every run; rows are neither sorted nor shuffled. ``label`` is a
+    class, so its distinct values are few.
     """
+    shares, names = (1 - val - test, 1 - test), ("train", "val")
     hashed = df.withColumn("_h", F.xxhash64(*key))
-    ranked = global_rank(hashed, [label], ["_h", *key], "_rank")
-    sizes = df.groupBy(label).agg(F.count("*").alias("_n"))
-    share = (F.col("_rank") - 1) / F.col("_n")
-    part = (
-        F.when(share < 1 - val - test, "train").when(share < 1 - test, "val").otherwise("test")
-    )
-    same = F.col(f"r.{label}").eqNullSafe(F.col(f"s.{label}"))
-    return (
-        ranked.alias("r")
-        .join(sizes.alias("s"), same)
-        .select(*[F.col(f"r.{c}").alias(c) for c in df.columns], part.alias(column))
-    )
+    part = F.lit(None).cast("string")
+    for (value,) in df.select(label).distinct().collect():
+        mine = F.col(label).eqNullSafe(F.lit(value))
+        total, cuts = order_statistics(
+            hashed.where(mine), "_h", lambda n: [math.ceil(n * s) + 1 for s in shares]
+        )
+        place = F.lit("test")
+        for share, name in reversed(list(zip(shares, names))):
+            cut = cuts.get(math.ceil(total * share) + 1)
+            before = F.lit(True) if cut is None else F.col("_h") < F.lit(cut)
+            place = F.when(before, F.lit(name)).otherwise(place)
+        part = F.when(mine, place).otherwise(part)
+    return hashed.withColumn(column, part).drop("_h")

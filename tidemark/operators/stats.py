@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.labels import gap_chunks
 from tidemark.operators.ranges import quantiles
 
 
@@ -75,9 +76,15 @@ def message_rate(df: DataFrame, seconds: int, by: Sequence[str] = ()) -> DataFra
     )
 
 
-def session_summary(df: DataFrame, gap: int, ts: str = "ts", by: Sequence[str] = ("product_id",)) -> DataFrame:
-    """Sessions that a pause of ``gap`` seconds ends (also valid on a stream)."""
-    window = F.session_window(F.col(ts), f"{gap} seconds")
+def session_summary(df: DataFrame, gap: int, by: Sequence[str] = ("product_id",)) -> DataFrame:
+    """Sessions that a pause of more than ``gap`` seconds ends.
+
+    A batch table goes through the gap chunks, which cut a busy key into ranges. On a stream
+    (with a watermark on ``ts``) the built-in session window does the same per key.
+    """
+    if not df.isStreaming:
+        return chunk_sizes(gap_chunks(df, gap, by), by).drop("chunk_id")
+    window = F.session_window(F.col("ts"), f"{gap} seconds")
     return df.groupBy(*by, window).agg(
-        F.count("*").alias("n"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts")
+        F.count("*").alias("n"), F.min("us").alias("first_us"), F.max("us").alias("last_us")
     )

@@ -504,10 +504,7 @@ def latest_score(spark, sf):
     FROM chunks GROUP BY product_id, chunk_id""",
 )
 def session_agg(spark, sf):
-    ticks = v.tape(spark, sf).withColumn("ts", F.timestamp_micros("us"))
-    out = stats.session_summary(ticks, v.GAP)
-    first, last = F.unix_micros("first_ts"), F.unix_micros("last_ts")
-    return out.select("product_id", "n", first.alias("first_us"), last.alias("last_us"))
+    return stats.session_summary(v.tape(spark, sf), v.GAP)
 
 
 # --- joins -------------------------------------------------------------------------------

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.features import SECOND, FrameSpec, tick_features
 from tidemark.operators.labels import spike_label
-from tidemark.streaming.tables import read_before, write_batch
+from tidemark.streaming.tables import newest_event, read_before, read_own, write_batch
 
 TICK_COLUMNS = ["product_id", "us", "seq", "price", "best_bid", "best_ask", "bid_qty", "ask_qty"]
 
@@ -35,16 +35,16 @@ def feature_batch(
         spark = batch.sparkSession
         ticks = batch.select(*TICK_COLUMNS)
         write_batch(ticks, ticks_path, number)
-        own = spark.read.schema(ticks.schema).parquet(ticks_path + "/*/batch=" + str(number))
-        first = own.agg(F.min("us")).first()[0]
+        own = read_own(spark, ticks_path, ticks.schema, number)
+        first, last = own.agg(F.min("us"), F.max("us")).first()
         if first is None:
             return
-        past = read_before(spark, ticks_path, ticks.schema, number, first - reach)
+        past = read_before(spark, ticks_path, ticks.schema, number, first - reach, last)
         both = own.withColumn("_new", F.lit(True)).unionByName(past.withColumn("_new", F.lit(False)))
         out = tick_features(both, spec, keep=["_new"]).where("_new").drop("_new")
         write_batch(out, out_path, number)
         if then:
-            then(spark.read.schema(out.schema).parquet(out_path + "/*/batch=" + str(number)), number)
+            then(read_own(spark, out_path, out.schema, number), number)
 
     return run
 
@@ -64,24 +64,16 @@ def label_batch(
         spark = batch.sparkSession
         rows = batch.select("product_id", "us", "seq", "price")
         write_batch(rows, rows_path, number)
-        newest = rows.agg(F.max("us").alias("us"))
-        write_batch(newest.where("us is not null"), progress_path, number)
-        seen = spark.read.parquet(progress_path)
-        before, now = seen.agg(
-            F.max(F.when(F.col("batch") < number, F.col("us"))),
-            F.max(F.when(F.col("batch") <= number, F.col("us"))),
-        ).first()
+        own = read_own(spark, rows_path, rows.schema, number)
+        first, last = own.agg(F.min("us"), F.max("us")).first()
+        before, now = newest_event(spark, progress_path, number, last)
         if now is None:
             return
-        since = (before - h) if before is not None else None
-        recent = read_before(
-            spark, rows_path, rows.schema, number + 1, since if since is not None else 0
-        )
+        since = first if before is None else before - h
+        recent = read_before(spark, rows_path, rows.schema, number + 1, since, now)
         labeled = spike_label(recent, horizon, gap, threshold=threshold)
-        ready = labeled.where(F.col("us") < now - h)
-        if since is not None:
-            ready = ready.where(F.col("us") >= since)
-        write_batch(ready, out_path, number)
+        ready = (F.col("us") >= since) & (F.col("us") < now - h)
+        write_batch(labeled.where(ready), out_path, number)
 
     return run
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.scoring import Scorer, score_table
-from tidemark.streaming.tables import write_batch
+from tidemark.streaming.tables import newest_event, write_batch
 
 
 def dedup(stream: DataFrame, ts: str = "ts", keys: Sequence[str] = ("product_id",),
@@ -42,11 +42,8 @@ def late_batch(
     batches less ``delay_us`` into a table of their own."""
 
     def run(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        newest = batch.agg(F.max("us").alias("us")).where("us is not null")
-        write_batch(newest, progress_path, number)
-        seen = spark.read.parquet(progress_path).where(F.col("batch") < number)
-        mark = seen.agg(F.max("us")).first()[0]
+        newest = batch.agg(F.max("us")).first()[0]
+        mark, _ = newest_event(batch.sparkSession, progress_path, number, newest)
         late = F.lit(False) if mark is None else F.col("us") < mark - delay_us
         write_batch(batch.where(~late), on_time_path, number)
         write_batch(batch.where(late), late_path, number)

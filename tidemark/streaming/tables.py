@@ -29,16 +29,43 @@ def write_batch(df: DataFrame, path: str, batch: int, us: str = "us") -> None:
     )
 
 
+def read_own(spark: SparkSession, path: str, schema: T.StructType, batch: int) -> DataFrame:
+    """What a micro-batch wrote."""
+    try:
+        return spark.read.schema(schema).parquet(f"{path}/*/batch={batch}")
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
 def read_before(
-    spark: SparkSession, path: str, schema: T.StructType, batch: int, from_us: int
+    spark: SparkSession, path: str, schema: T.StructType, batch: int, from_us: int, to_us: int
 ) -> DataFrame:
-    """Rows of earlier batches from a time on (whole days are pruned)."""
+    """Rows of earlier batches between two times. Only the folders of those days are listed."""
     full = T.StructType(
         [*schema.fields, T.StructField("day", T.IntegerType()), T.StructField("batch", T.LongType())]
     )
+    days = ",".join(str(d) for d in range(from_us // DAY, to_us // DAY + 1))
     try:
-        rows = spark.read.schema(full).parquet(path)
+        rows = spark.read.schema(full).option("basePath", path).parquet(f"{path}/day={{{days}}}")
     except AnalysisException:
         rows = spark.createDataFrame([], full)
-    recent = (F.col("day") >= from_us // DAY) & (F.col("us") >= from_us)
-    return rows.where(recent & (F.col("batch") < batch)).drop("day", "batch")
+    wanted = F.col("us").between(from_us, to_us) & (F.col("batch") < batch)
+    return rows.where(wanted).drop("day", "batch")
+
+
+def newest_event(spark: SparkSession, path: str, batch: int, own: int | None) -> tuple:
+    """Newest event time before and after this batch.
+
+    Each batch leaves one row in a folder of its own and reads that of the batch before it,
+    so the cost does not grow with the age of the stream.
+    """
+    schema = "us bigint"
+    try:
+        row = spark.read.schema(schema).parquet(f"{path}/batch={batch - 1}").first()
+        before = row[0] if row else None
+    except AnalysisException:
+        before = None
+    after = max((x for x in (before, own) if x is not None), default=None)
+    one = spark.createDataFrame([(after,)], schema).coalesce(1)
+    one.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+    return before, after
