@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.ticks import priced
 from tidemark.operators.features import DENSE, EXACT, SECOND
 from tidemark.operators.ranges import halo, hottest, quantiles, range_points, running
 from tidemark.session import materialize, rows_per_range
@@ -36,14 +37,14 @@ def forward_volatility(
 ) -> DataFrame:
     """Population deviation of the simple returns between ticks in (t, t + horizon].
 
-    NULL with fewer than two such ticks. Ticks past a pause of more than ``gap`` seconds
+    NULL with fewer than two such ticks, or when one of them has no usable price. Ticks past a pause of more than ``gap`` seconds
     are not looked at. The same sweep as for the rolling features: running totals are read
     just after t and just after the end of the horizon; a burst is cut into ranges.
     """
     h, g = int(horizon * SECOND), int(gap * SECOND)
     by = list(by)
     rows = df.select(
-        *by, "us", F.col(tie).alias("seq"), F.col("price").cast("double").alias("price"),
+        *by, "us", F.col(tie).alias("seq"), priced(F.col("price")).alias("price"),
         *[F.col(c).alias(f"_keep_{c}") for c in keep],
     )
     width = width or 12 * h
@@ -80,7 +81,7 @@ def forward_volatility(
         marks, group, line, {"next": ("last", own)}, points, inclusive=False, reverse=True
     )
     r = F.expr(
-        "if(kind = 0 and price <> 0, coalesce((next.price - price) / price, 0D), 0D)"
+        "if(kind = 0, coalesce((next.price - price) / price, 0D), 0D)"
     )
     marks = marks.withColumns({"r": r.cast(EXACT), "rr": (r * r).cast(EXACT)})
     totals = running(
@@ -89,7 +90,7 @@ def forward_volatility(
         line,
         {
             "n": ("sum", F.expr("if(kind = 0, 1L, 0L)")),
-            "ok": ("sum", F.expr("if(kind = 0 and price <> 0, 1L, 0L)")),
+            "ok": ("sum", F.expr("if(kind = 0 and price is not null, 1L, 0L)")),
             "s": ("sum", F.col("r")),
             "ss": ("sum", F.col("rr")),
             "tail": ("last", F.expr("if(kind = 0, struct(r, rr), null)")),
