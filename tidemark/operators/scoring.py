@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,8 +93,6 @@ def pipeline_scorer(model) -> Scorer:
 
 def python_scorer(predict: Callable, features: Sequence[str] = tuple(MODEL_FEATURES)) -> Scorer:
     """An external Python model, called with one pandas frame per Arrow batch."""
-    import pandas as pd
-
     @F.pandas_udf("double")
     def run(columns: pd.DataFrame) -> pd.Series:
         return pd.Series(predict(columns))
