@@ -24,9 +24,6 @@ from tidemark.session import rows_per_range
 
 SECOND = 1_000_000
 
-# Simple returns and their squares are totalled as decimals: differences of totals are exact.
-EXACT = "decimal(38,18)"
-
 # Squared log returns are totalled in two parts, multiples of this grain and the rest. Sums
 # of the first part carry no rounding error, those of the second next to none, so a large
 # move earlier on the line leaves no noise in the frames after it.
@@ -36,6 +33,11 @@ GRAIN = 2.0**-30
 DENSE = 5
 
 
+def coarse(value: str, grain: float) -> str:
+    """SQL: the largest multiple of ``grain`` up to ``value``."""
+    return f"floor(({value}) / {grain!r}D) * {grain!r}D"
+
+
 @dataclass(frozen=True)
 class FrameSpec:
     """Window lengths in seconds and the gap band of a "one unit apart" pair."""
@@ -72,9 +74,8 @@ _PAIRS = {
         ("n", f"pair and {near}", "1L", "0L"),
         ("valid", f"valid and {near}", "1L", "0L"),
         ("r", f"valid and {near}", "r", "0D"),
-        ("rr", f"valid and {near}", f"floor(r * r / {GRAIN!r}D) * {GRAIN!r}D", "0D"),
-        ("rr_rest", f"valid and {near}",
-         f"r * r - floor(r * r / {GRAIN!r}D) * {GRAIN!r}D", "0D"),
+        ("rr", f"valid and {near}", coarse("r * r", GRAIN), "0D"),
+        ("rr_rest", f"valid and {near}", f"r * r - {coarse('r * r', GRAIN)}", "0D"),
         ("dp", f"pair and {near}", "abs(q - p)", "0D"),
     )
 }

@@ -8,8 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.ticks import priced
-from tidemark.operators.features import DENSE, EXACT, SECOND
-from tidemark.operators.ranges import halo, hottest, quantiles, range_points, running
+from tidemark.operators.features import DENSE, SECOND, coarse
+from tidemark.operators.ranges import (
+    halo,
+    hottest,
+    next_value,
+    quantiles,
+    range_points,
+    running,
+)
 from tidemark.session import materialize, rows_per_range
 
 
@@ -57,33 +64,28 @@ def forward_volatility(
         group, points = [*by, "bucket"], []
         rows = halo(rows, width, ahead=h).repartition(*[F.col(c) for c in group])
 
-    end = F.col("us") + h
+    end = f"us + {h}L"
     if g < h:
         order = ["us", "seq"]
-        later = {"_later": ("last", F.col("us"))}
-        rows = running(rows, group, order, later, points, inclusive=False, reverse=True)
-        pause = F.when(F.col("_later") - F.col("us") > g, F.col("us"))
+        rows = next_value(rows, group, order, "_later", "us", points)
+        pause = F.expr(f"if(_later - us > {g}L, us, null)")
         rows = running(rows, group, order, {"_stop": ("last", pause)}, points, reverse=True)
-        end = F.least(end, F.col("_stop"))
-
-    tick = F.struct(F.lit(0).alias("kind"), F.lit("own").alias("frame"), F.col("us").alias("at"))
-    probes = [
-        F.when(F.col("home"), F.struct(F.lit(1).alias("kind"), F.lit(n).alias("frame"), t.alias("at")))
-        for n, t in (("from", F.col("us")), ("to", end))
-    ]
-    marks = rows.withColumn("mark", F.explode(F.array_compact(F.array(tick, *probes)))).select(
-        "*", "mark.*"
-    ).drop("mark")
-
-    line = ["at", "kind", "seq"]
-    own = F.expr("if(kind = 0, struct(price), null)")
-    marks = running(
-        marks, group, line, {"next": ("last", own)}, points, inclusive=False, reverse=True
+        end = f"least({end}, _stop)"
+
+    marks = rows.selectExpr(
+        "*",
+        f"""inline(array_compact(array(
+            named_struct('kind', 0, 'frame', 'own', 'at', us),
+            if(home, named_struct('kind', 1, 'frame', 'from', 'at', us), null),
+            if(home, named_struct('kind', 1, 'frame', 'to', 'at', {end}), null))))""",
     )
-    r = F.expr(
-        "if(kind = 0, coalesce((next.price - price) / price, 0D), 0D)"
+    line = ["at", "kind", "seq"]
+    own = "if(kind = 0, named_struct('price', price), null)"
+    marks = next_value(marks, group, line, "next", own, points).selectExpr(
+        "*", "if(kind = 0, coalesce((next.price - price) / price, 0D), 0D) as x"
     )
-    marks = marks.withColumns({"r": r.cast(EXACT), "rr": (r * r).cast(EXACT)})
+    # Totals of the return and its square, each in parts that add up without rounding.
+    parts = _parts("x")
     totals = running(
         marks,
         group,
@@ -91,39 +93,58 @@ def forward_volatility(
         {
             "n": ("sum", F.expr("if(kind = 0, 1L, 0L)")),
             "ok": ("sum", F.expr("if(kind = 0 and price is not null, 1L, 0L)")),
-            "s": ("sum", F.col("r")),
-            "ss": ("sum", F.col("rr")),
-            "tail": ("last", F.expr("if(kind = 0, struct(r, rr), null)")),
+            **{name: ("sum", F.expr(value)) for name, value in parts.items()},
+            "tail": ("last", F.expr("if(kind = 0, x, null)")),
         },
         points,
     ).where("home")
 
-    def at(frame: str, column: str):
-        return F.max(F.when(F.col("frame") == frame, F.col(column)))
-
     sums = totals.groupBy(*group, "us", "seq").agg(
-        at("own", "price").alias("price"),
-        *[(at("to", c) - at("from", c)).alias(c) for c in ("n", "ok", "s", "ss")],
-        at("to", "tail.r").alias("tail_r"),
-        at("to", "tail.rr").alias("tail_rr"),
-        *[F.first(F.when(F.col("frame") == "own", F.col(f"_keep_{c}")), True).alias(c) for c in keep],
+        F.expr("max(if(frame = 'own', price, null)) as price"),
+        *[
+            F.expr(f"sum(case frame when 'to' then {c} when 'from' then -{c} end) as {c}")
+            for c in ("n", "ok", *parts)
+        ],
+        F.expr("max(if(frame = 'to', tail, null)) as tail"),
+        *[F.expr(f"first(if(frame = 'own', `_keep_{c}`, null), true) as `{c}`") for c in keep],
     )
     # The last tick's pair ends past the horizon.
-    pairs = F.col("n") - 1
-    mean = (F.col("s") - F.col("tail_r")).cast("double") / pairs
-    square = (F.col("ss") - F.col("tail_rr")).cast("double") / pairs
-    deviation = F.sqrt(F.greatest(square - mean * mean, F.lit(0.0)))
-    value = F.when(pairs == 1, F.lit(0.0)).when(pairs > 1, deviation)
-    return sums.select(
+    whole = sums.selectExpr(
+        "*",
+        "n - 1 as pairs",
+        *[f"{name} - ({value}) as inner_{name}" for name, value in _parts("tail").items()],
+    ).selectExpr(
+        "*",
+        "(inner_r + inner_r_rest) / nullif(pairs, 0) as average",
+        "(inner_rr + inner_rr_mid + inner_rr_rest) / nullif(pairs, 0) as square",
+    )
+    value = F.expr(
+        "case when ok <> n then null when pairs = 1 then 0D "
+        "when pairs > 1 then sqrt(greatest(square - average * average, 0D)) end"
+    )
+    return whole.select(
         *by,
         "us",
         F.col("seq").alias(tie),
         "price",
-        F.when(F.col("ok") == F.col("n"), value).alias("future_volatility"),
+        value.alias("future_volatility"),
         *keep,
     )
 
 
+def _parts(x: str) -> dict[str, str]:
+    """SQL of a return and its square as multiples of coarse grains and small rests."""
+    r, rr = coarse(x, 2.0**-20), coarse(f"{x} * {x}", 2.0**-8)
+    rest = f"({x} * {x} - {rr})"
+    return {
+        "r": r,
+        "r_rest": f"{x} - {r}",
+        "rr": rr,
+        "rr_mid": coarse(rest, 2.0**-38),
+        "rr_rest": f"{rest} - {coarse(rest, 2.0**-38)}",
+    }
+
+
 def volatility_threshold(vol: DataFrame, percentile: float = 90) -> float | None:
     """Exact percentile of all valid forward volatilities.
 

@@ -143,6 +143,23 @@ def running(
     ).drop(RANGE, *src.values(), *[f"_b_{n}" for n in values])
 
 
+def next_value(
+    df: DataFrame,
+    by: Sequence[str],
+    order: Sequence[str],
+    name: str,
+    value: str,
+    points: Sequence[float],
+) -> DataFrame:
+    """Add the next non-null ``value`` (an SQL expression) of each key after the current row."""
+    if points:
+        later = {name: ("last", F.expr(value))}
+        return running(df, by, order, later, points, inclusive=False, reverse=True)
+    keys, line = (", ".join(f"`{c}`" for c in columns) for columns in (by, order))
+    over = f"over (partition by {keys} order by {line})" if by else f"over (order by {line})"
+    return df.selectExpr("*", f"lead({value}) ignore nulls {over} as `{name}`")
+
+
 def hottest(df: DataFrame, keys: Sequence[str]) -> int:
     """Rows of the largest group (counted with a map-side half)."""
     return df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0

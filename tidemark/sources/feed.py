@@ -36,20 +36,20 @@ def decode_feed(
     """
     ingest = F.current_timestamp() if ingest_time is None else ingest_time
     others = [c for c in df.columns if c != value]
-    m = df.withColumn("m", F.from_json(value, FEED_MESSAGE)).where(
-        F.col("m").isNotNull()
-        & ~F.coalesce(F.col("m.type").isin("subscriptions", "error"), F.lit(False))
-        & ~F.coalesce(F.col("m.channel") == "heartbeats", F.lit(False))
+    # The generator makes each text be parsed once, however many fields are used below.
+    m = df.select(*others, F.inline(F.array(F.from_json(value, FEED_MESSAGE)))).where(
+        ~F.coalesce(F.col("type").isin("subscriptions", "error"), F.lit(False))
+        & ~F.coalesce(F.col("channel") == "heartbeats", F.lit(False))
     )
-    flat = F.struct(*[F.col(f"m.{f}").alias(f) for f in TICKER_FIELDS])
+    flat = F.struct(*TICKER_FIELDS)
     trade = F.struct(
         *[
-            (F.col(f"m.{f}") if f in TRADE_FIELDS else F.lit(None).cast("string")).alias(f)
+            (F.col(f) if f in TRADE_FIELDS else F.lit(None).cast("string")).alias(f)
             for f in TICKER_FIELDS
         ]
     )
     fitting = F.filter(
-        "m.events", lambda e: e["type"].isin(TICKER_EVENTS) & (F.size(e["tickers"]) > 0)
+        "events", lambda e: e["type"].isin(TICKER_EVENTS) & (F.size(e["tickers"]) > 0)
     )
     nested = (
         F.flatten(F.transform(fitting, lambda e: e["tickers"]))
@@ -57,11 +57,13 @@ def decode_feed(
         else F.slice(F.try_element_at(fitting, F.lit(1))["tickers"], 1, 1)
     )
     tickers = (
-        F.when(F.col("m.events").isNotNull(), nested)
-        .when(F.col("m.type") == "ticker", F.array(flat))
-        .when(F.col("m.type").isin(TRADE_TYPES), F.array(trade))
+        F.when(F.col("events").isNotNull(), nested)
+        .when(F.col("type") == "ticker", F.array(flat))
+        .when(F.col("type").isin(TRADE_TYPES), F.array(trade))
+    )
+    t = m.select(*[m[c] for c in others], F.explode(tickers).alias("t")).where(
+        F.col("t").isNotNull()
     )
-    t = m.select(*others, F.explode(tickers).alias("t")).where(F.col("t").isNotNull())
     source_time = truthy(F.col("t.time"))
     return t.select(
         *others,
@@ -115,9 +117,9 @@ def ticks_from_json(df: DataFrame, value: str = "value") -> DataFrame:
     rows = df.select(
         *others,
         F.coalesce(F.array_contains(F.json_object_keys(value), "price"), F.lit(False)).alias("_p"),
-        F.from_json(value, TICK_JSON).alias("j"),
-    ).where(F.col("j").isNotNull())
-    return parse_ticks(rows.select(*others, "_p", "j.*"), F.col("_p")).drop("_p")
+        F.inline(F.array(F.from_json(value, TICK_JSON))),
+    )
+    return parse_ticks(rows, F.col("_p")).drop("_p")
 
 
 def json_status(value: Column) -> Column:
