@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.ticks import add_return_range, analysis_columns, common_columns
 from tidemark.operators.joins import asof_join
-from tidemark.operators.ranges import running
+from tidemark.operators.ranges import running, settled
 from tidemark.operators.splits import split_ratio, split_train_test
+from tidemark.session import materialize
 
 WASSERSTEIN_CUT = 0.1
 STD_FLOOR = 0.001
@@ -39,6 +40,12 @@ def _steps(long: DataFrame) -> DataFrame:
     values = long.groupBy("feature", "x").agg(
         F.count_if(ref).alias("r"), F.count_if(cur).alias("c")
     )
+    totals = long.groupBy("feature").agg(
+        F.count_if(ref).alias("n_ref"),
+        F.count_if(cur).alias("n_cur"),
+        F.stddev_pop(F.when(ref, F.col("x"))).alias("ref_std"),
+    )
+    values, points = settled(values, "x", long.count())
     steps = running(
         values,
         ["feature"],
@@ -48,13 +55,9 @@ def _steps(long: DataFrame) -> DataFrame:
             "c_below": ("sum", F.col("c")),
             "x_below": ("max", F.col("x")),
         },
+        points,
         inclusive=False,
     )
-    totals = long.groupBy("feature").agg(
-        F.count_if(ref).alias("n_ref"),
-        F.count_if(cur).alias("n_cur"),
-        F.stddev_pop(F.when(ref, F.col("x"))).alias("ref_std"),
-    )
     return steps.join(F.broadcast(totals), "feature")
 
 
@@ -237,7 +240,7 @@ def drift_report(
     columns = common_columns(
         reference, current, list(columns or analysis_columns(reference))
     )
-    drift = drift_wasserstein(reference, current, columns)
+    drift = materialize(drift_wasserstein(reference, current, columns))
     parts = [
         _tidy(drift.withColumn("drifted", F.col("drifted").cast("int")), "column_drift",
               F.col("feature"), ["score", "drifted"]),

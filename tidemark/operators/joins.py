@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ranges import RANGE, assign_range, range_points, running
+from tidemark.operators.ranges import RANGE, assign_range, range_points, running, settled
 
 
 def asof_join(
@@ -165,8 +165,10 @@ def consolidate(
     merged = parts[0]
     for part in parts[1:]:
         merged = merged.unionByName(part, allowMissingColumns=True)
-    single = first_per_key(merged, keys, order)
-    spaced = running(single, by, ["us"], {"_prev": ("max", F.col("us"))}, inclusive=False)
+    single, points = settled(first_per_key(merged, keys, order), "us", merged.count())
+    spaced = running(
+        single, by, ["us"], {"_prev": ("max", F.col("us"))}, points, inclusive=False
+    )
     return spaced.where(
         F.col("_prev").isNull() | (F.col("us") - F.col("_prev") >= min_gap)
     ).drop("_prev")

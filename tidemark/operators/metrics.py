@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.joins import asof_join
 from tidemark.operators.ranges import quantiles, running
+from tidemark.session import materialize
 
 
 def _score(column: str, rounded: bool) -> Column:
@@ -213,7 +214,10 @@ def live_performance(
                 int(now_us - hours * 3.6e9), int(now_us - buffer_minutes * 6e7)
             )
         )
-    matched = match_labels(recent, labels, tolerance, by, label)
+    matched = match_labels(
+        recent.select("us", *by, "score", "prediction", "model_version"), labels, tolerance, by, label
+    )
+    matched = materialize(matched)
     metrics = classification_metrics(matched, label=label)
     versions = matched.groupBy("model_version").agg(F.count("*").alias("n"))
     version = versions.agg(

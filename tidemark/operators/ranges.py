@@ -15,7 +15,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import rows_per_range
+from tidemark.session import materialize, rows_per_range
 
 RANGE = "_range"
 MAX_RANGES = 10_000
@@ -63,6 +63,18 @@ def range_points(df: DataFrame, column: str, rows: int | None = None) -> list[fl
     return sorted(set(found))
 
 
+def settled(df: DataFrame, column: str, at_most: int) -> tuple[DataFrame, list[float]]:
+    """A derived table and the borders that cut it, without deriving it again and again.
+
+    ``at_most`` bounds its rows. A table that fits one range needs no border. A larger one
+    is written out first, since the borders, the range totals and the scan all read it.
+    """
+    if at_most <= rows_per_range(df.sparkSession):
+        return df, []
+    df = materialize(df)
+    return df, range_points(df, column)
+
+
 def assign_range(df: DataFrame, column: str, points: Sequence[float]) -> DataFrame:
     """Add the range number of each row (binary search on the JVM side)."""
     if not points:

@@ -45,7 +45,6 @@ def shared_folder(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a shared folder")
         folder = tempfile.mkdtemp(prefix="tidemark-")
-    if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
 
@@ -56,9 +55,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage of an intermediate that several branches read."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write an intermediate that several branches read to a table in the shared folder.
+
+    It is computed once, survives the executors that computed it, and later passes read
+    only the columns they need.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def rows_per_range(spark: SparkSession, default: int = 2_000_000) -> int:
