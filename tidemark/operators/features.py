@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.ticks import book_imbalance, priced, sanitize, spread
-from tidemark.operators.ranges import halo, hottest, range_points, running
+from tidemark.operators.ranges import by_group, group_load, halo, range_points, running
 from tidemark.schema import MODEL_FEATURES, feature_default
 from tidemark.session import rows_per_range
 
@@ -121,11 +121,13 @@ def tick_features(
     width = width or 12 * reach
     spark = ticks.sparkSession
     group = [*by, "bucket"]
-    dense = hottest(rows.selectExpr(*_quoted(by), f"us div {width}L as bucket"), group)
-    if dense > DENSE * rows_per_range(spark):
+    cells = rows.selectExpr(*_quoted(by), f"us div {width}L as bucket")
+    total, largest = group_load(cells, group)
+    if largest > DENSE * rows_per_range(spark):
         totals, group = _by_ranges(rows, spec, by, keep), by
     else:
-        totals = _by_buckets(halo(rows, width, back=reach), spec, group, keep)
+        placed = by_group(halo(rows, width, back=reach), group, total)
+        totals = _by_buckets(placed, spec, group, keep)
 
     per_tick = totals.groupBy(*group, "us", "seq").agg(
         F.expr("max(if(frame = 'own', price, null)) as price"),
@@ -177,7 +179,7 @@ def _by_buckets(
     rows: DataFrame, spec: FrameSpec, group: list[str], keep: Sequence[str]
 ) -> DataFrame:
     """Totals at the markers, each time bucket on its own: one shuffle and one sort."""
-    marks = _marks(rows.repartition(*[F.col(c) for c in group]), spec, "home")
+    marks = _marks(rows, spec, "home")
     line = f"partition by {', '.join(_quoted(group))} order by at, kind, seq"
     upto = f"over ({line} rows between unbounded preceding and current row)"
     before = f"over ({line} rows between unbounded preceding and 1 preceding)"

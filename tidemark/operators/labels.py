@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tidemark.functions.ticks import priced
 from tidemark.operators.features import DENSE, SECOND, coarse
 from tidemark.operators.ranges import (
+    by_group,
+    group_load,
     halo,
-    hottest,
     next_value,
     quantiles,
     range_points,
@@ -57,12 +58,13 @@ def forward_volatility(
     width = width or 12 * h
     spark = df.sparkSession
     cells = rows.select(*by, "us", F.floor(F.col("us") / width).alias("bucket"))
-    if hottest(cells, [*by, "bucket"]) > DENSE * rows_per_range(spark):
+    total, largest = group_load(cells, [*by, "bucket"])
+    if largest > DENSE * rows_per_range(spark):
         group, points = by, range_points(rows, "us")
         rows = rows.withColumn("home", F.lit(True))
     else:
         group, points = [*by, "bucket"], []
-        rows = halo(rows, width, ahead=h).repartition(*[F.col(c) for c in group])
+        rows = by_group(halo(rows, width, ahead=h), group, total)
 
     end = f"us + {h}L"
     if g < h:

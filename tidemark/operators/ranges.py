@@ -172,9 +172,22 @@ def next_value(
     return df.selectExpr("*", f"lead({value}) ignore nulls {over} as `{name}`")
 
 
-def hottest(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the largest group (counted with a map-side half)."""
-    return df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+def group_load(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """Rows in all and rows of the largest group (counted with a map-side half)."""
+    counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
+    total, largest = counts.agg(F.sum("n"), F.max("n")).first()
+    return total or 0, largest or 0
+
+
+def by_group(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """Bring each group into one task.
+
+    The number of tasks follows the row count, up to the session's shuffle partitions: the
+    rows multiply after this shuffle, so its bytes alone would call for too few tasks.
+    """
+    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, min(most, math.ceil(rows / 2_000)))
+    return df.repartition(tasks, *[F.col(c) for c in keys])
 
 
 def global_rank(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str) -> DataFrame:

@@ -25,10 +25,9 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def r(column: str | Column, places: int = 6) -> Column:
-    """Rounded for comparison, without negative zero."""
+    """Rounded for comparison; adding zero turns a negative zero into zero."""
     column = F.col(column) if isinstance(column, str) else column
-    rounded = F.round(column.cast("double"), places)
-    return F.when(rounded == 0, F.lit(0.0)).otherwise(rounded)
+    return F.round(column.cast("double"), places) + F.lit(0.0)
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
