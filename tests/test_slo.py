@@ -102,3 +102,23 @@ def test_expectations(spark):
 def test_status(spark, failed, status):
     df = spark.createDataFrame([(f"r{i}", 1, int(i < failed)) for i in range(5)], "rule string, n_checked int, n_failed int")
     assert quality.validation_status(df).first()["status"] == status
+
+
+def test_moving_quantile_and_lag(spark):
+    df = spark.createDataFrame([(0, 0.03), (3 * MINUTE, 0.2)], "us bigint, s double")
+    got = {r["window_us"] // MINUTE: r["quantile"] for r in slo.moving_quantile(df, F.col("s"), 0.5).collect()}
+    assert set(got) == set(range(-4, 4))
+    assert math.isclose(got[-4], 0.03) and math.isclose(got[0], 0.05) and math.isclose(got[3], 0.3)
+
+    rows = [("t", m * MINUTE, p, 600 if m < 7 else 400) for m in range(10) for p in (0, 1)]
+    lags = spark.createDataFrame(rows, "topic string, window_us bigint, partition int, lag bigint")
+    out = slo.lag_alerts(lags).collect()
+    assert [(r["first_us"], r["last_us"] // MINUTE) for r in out] == [(0, 6)]
+
+
+def test_service_alerts(spark):
+    rows = [(m * MINUTE, 500 if m < 12 else 200, 0.9) for m in range(30) for _ in range(4)]
+    df = spark.createDataFrame(rows, "us bigint, status int, s double")
+    out = {r["alert"]: r for r in slo.service_alerts(df, F.col("status"), F.col("s")).collect()}
+    assert set(out) == {"server_errors", "latency"}
+    assert out["latency"]["steps"] == 34

@@ -8,8 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ranges import global_rank, halo, order_statistics, running
+from tidemark.operators.ranges import global_rank, halo, order_statistics, range_points, running
 from tidemark.schema import LATENCY_BUCKETS
+from tidemark.session import materialize
 
 MINUTE = 60_000_000
 # Service targets.
@@ -166,18 +167,21 @@ def moving_rates(
     cells = df.groupBy(*by, minute.alias("_m")).agg(
         F.count("*").alias("n"),
         F.count_if(status >= 400).alias("e"),
+        F.count_if(status >= 500).alias("e5"),
         F.count_if(status.between(200, 299)).alias("s"),
     )
     starts = F.sequence(F.col("_m") - (minutes - 1), F.col("_m"))
     spread = cells.withColumn("_w", F.explode(starts))
     sums = spread.groupBy(*by, "_w").agg(
-        F.sum("n").alias("requests"), F.sum("e").alias("errors"), F.sum("s").alias("successes")
+        F.sum("n").alias("requests"), F.sum("e").alias("errors"),
+        F.sum("e5").alias("server_errors"), F.sum("s").alias("successes"),
     )
     return sums.select(
         *by,
         (F.col("_w") * MINUTE).alias("window_us"),
         "requests",
         "errors",
+        "server_errors",
         (F.col("errors") / F.col("requests")).alias("error_rate"),
         (F.col("successes") / F.col("requests")).alias("success_rate"),
         (F.col("requests") / (minutes * 60)).alias("per_second"),
@@ -193,13 +197,14 @@ def alert_islands(
     A missing step ends a stretch.
     """
     step = int(step_minutes * MINUTE)
+    points = range_points(series, time)
     rows = series.withColumn("_on", F.coalesce(condition, F.lit(False)))
     state = F.struct(F.col(time).alias("t"), F.col("_on").alias("on"))
-    rows = running(rows, by, [time], {"_before": ("last", state)}, inclusive=False)
+    rows = running(rows, by, [time], {"_before": ("last", state)}, points, inclusive=False)
     goes_on = F.col("_before.on") & (F.col(time) - F.col("_before.t") <= step)
     rows = rows.withColumn("_start", (~F.coalesce(goes_on, F.lit(False))).cast("bigint"))
     rows = running(
-        rows.where("_on").drop("_before"), by, [time], {"island": ("sum", F.col("_start"))}
+        rows.where("_on").drop("_before"), by, [time], {"island": ("sum", F.col("_start"))}, points
     )
     islands = rows.groupBy(*by, "island").agg(
         F.min(time).alias("first_us"), F.max(time).alias("last_us"), F.count("*").alias("steps")
@@ -208,6 +213,64 @@ def alert_islands(
     return islands.where(held).withColumn("severity", F.lit(severity)).drop("island")
 
 
+def moving_quantile(
+    df: DataFrame, seconds: Column, share: float, by: Sequence[str] = (), minutes: int = 5,
+    buckets: Sequence[float] = tuple(LATENCY_BUCKETS),
+) -> DataFrame:
+    """Histogram quantile in windows of ``minutes`` that move by one minute.
+
+    Rows become bucket counts per minute first, and only those are spread over the windows.
+    """
+    minute = F.floor(F.col("us") / MINUTE).cast("bigint")
+    cells = latency_histogram(df.withColumn("_m", minute), seconds, [*by, "_m"], buckets)
+    starts = F.sequence(F.col("_m") - (minutes - 1), F.col("_m"))
+    windows = cells.withColumn("_w", F.explode(starts)).groupBy(*by, "_w", "le").agg(
+        F.sum("cumulative").alias("cumulative")
+    )
+    return histogram_quantile(windows, share, [*by, "_w"]).select(
+        *by, (F.col("_w") * MINUTE).alias("window_us"), "quantile"
+    )
+
+
+# Alert limits (server errors per second, p95 seconds, requests per second,
+# messages behind), minutes they must hold, and severities.
+ALERTS = {
+    "server_errors": (0.01, 5, "warning"),
+    "latency": (0.8, 5, "warning"),
+    "request_rate": (100.0, 5, "info"),
+    "consumer_lag": (1000.0, 5, "warning"),
+}
+
+
+def service_alerts(
+    df: DataFrame, status: Column, seconds: Column, by: Sequence[str] = (), minutes: int = 5,
+    limits: dict[str, float] | None = None,
+) -> DataFrame:
+    """Stretches in which server errors, p95 latency or the request rate pass their limits."""
+    limits = {name: limit for name, (limit, _, _) in ALERTS.items()} | (limits or {})
+    rates = materialize(moving_rates(df, status, by, minutes))
+    slow = materialize(moving_quantile(df, seconds, 0.95, by, minutes))
+    series = {
+        "server_errors": (rates, F.col("server_errors") / (minutes * 60)),
+        "latency": (slow, F.col("quantile")),
+        "request_rate": (rates, F.col("requests") / (minutes * 60)),
+    }
+    out = None
+    for name, (table, value) in series.items():
+        _, hold, severity = ALERTS[name]
+        rows = alert_islands(table, value > limits[name], hold, by, severity=severity)
+        rows = rows.select(*by, F.lit(name).alias("alert"), "first_us", "last_us", "steps", "severity")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def lag_alerts(lags: DataFrame, by: Sequence[str] = ("topic",), limit: float | None = None) -> DataFrame:
+    """Stretches in which a topic's total lag (rows of ``window_us``, ``lag``) is too high."""
+    most, hold, severity = ALERTS["consumer_lag"]
+    series = lags.groupBy(*by, "window_us").agg(F.sum("lag").alias("lag"))
+    return alert_islands(series, F.col("lag") > (limit or most), hold, by, severity=severity)
+
+
 def rolling_score(
     df: DataFrame, n: int = 100, by: Sequence[str] = ("model_variant",),
     order: Sequence[str] = ("us", "seq"),

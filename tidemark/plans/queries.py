@@ -719,17 +719,19 @@ def latency_shares(spark, sf):
 
 _RATES = f"""{q.REQUESTS}, cells AS (
   SELECT us // 60000000 AS m, count(*) AS n, count(*) FILTER (status >= 400) AS e,
+         count(*) FILTER (status >= 500) AS e5,
          count(*) FILTER (status BETWEEN 200 AND 299) AS s FROM requests GROUP BY 1
-), spread AS (SELECT n, e, s, unnest(range(m - {{back}}, m + 1)) AS w FROM cells
+), spread AS (SELECT n, e, e5, s, unnest(range(m - {{back}}, m + 1)) AS w FROM cells
 ), rates AS (
   SELECT w * 60000000 AS window_us, CAST(sum(n) AS BIGINT) AS requests, CAST(sum(e) AS BIGINT) AS errors,
+         CAST(sum(e5) AS BIGINT) AS server_errors,
          sum(e) / sum(n) AS error_rate, sum(s) / sum(n) AS success_rate, sum(n) / ({{back}} + 1) / 60 AS per_second
   FROM spread GROUP BY w)"""
 
 
 @query(
     "error_rate_5m",
-    f"""WITH {_RATES.format(back=4)} SELECT window_us, requests, errors,
+    f"""WITH {_RATES.format(back=4)} SELECT window_us, requests, errors, server_errors,
     {', '.join(sr(c, c) for c in ('error_rate', 'success_rate', 'per_second'))} FROM rates""",
 )
 def error_rate_5m(spark, sf):
@@ -755,6 +757,60 @@ def alert_islands(spark, sf):
     return slo.alert_islands(rates, F.col("errors") > 0.3 * F.col("requests"), hold_minutes=5)
 
 
+_P95 = """cell_hist AS (
+  SELECT us // 60000000 AS m, latency_ms / 1000 AS s FROM requests
+), windows AS (SELECT s, unnest(range(m - {back}, m + 1)) AS w FROM cell_hist
+), bounds AS (
+  SELECT unnest([0.001, 0.005, 0.01, 0.05, 0.1, 0.5, 1.0, CAST('inf' AS DOUBLE)]) AS le
+), whist AS (
+  SELECT w, le, count(*) FILTER (s <= le) AS c FROM windows CROSS JOIN bounds GROUP BY w, le
+), wrank AS (
+  SELECT *, coalesce(lag(le) OVER x, 0) AS low, coalesce(lag(c) OVER x, 0) AS below,
+         max(c) OVER (PARTITION BY w) * 0.95 AS rank
+  FROM whist WINDOW x AS (PARTITION BY w ORDER BY le)
+), p95 AS (
+  SELECT w * 60000000 AS window_us, arg_min(CASE WHEN isinf(le) THEN low
+         ELSE low + (le - low) * (rank - below) / (c - below) END, le) AS p95
+  FROM wrank WHERE c >= rank GROUP BY w)"""
+
+
+@query(
+    "latency_p95_5m",
+    f"WITH {q.REQUESTS}, {_P95.format(back=4)} SELECT window_us, {sr('p95', 'quantile')} FROM p95",
+)
+def latency_p95_5m(spark, sf):
+    return rounded(slo.moving_quantile(v.requests(spark, sf), F.col("latency_ms") / 1000, 0.95))
+
+
+def _islands(name: str, table: str, condition: str, severity: str) -> str:
+    return f"""{name}_m AS (SELECT window_us, {condition} AS on_ FROM {table}
+    ), {name}_e AS (
+      SELECT *, CASE WHEN lag(on_) OVER w AND window_us - lag(window_us) OVER w <= 60000000
+                THEN 0 ELSE 1 END AS start_ FROM {name}_m WINDOW w AS (ORDER BY window_us)
+    ), {name}_i AS (SELECT *, sum(start_) OVER (ORDER BY window_us) AS island FROM {name}_e WHERE on_
+    ), {name}_a AS (
+      SELECT '{name}' AS alert, min(window_us) AS first_us, max(window_us) AS last_us,
+             count(*) AS steps, '{severity}' AS severity
+      FROM {name}_i GROUP BY island HAVING max(window_us) - min(window_us) >= 300000000)"""
+
+
+@query(
+    "service_alerts",
+    f"""WITH {_RATES.format(back=59)}, {_P95.format(back=59)},
+    {_islands('server_errors', 'rates', 'server_errors / 3600 > 0.001', 'warning')},
+    {_islands('latency', 'p95', 'p95 > 0.3', 'warning')},
+    {_islands('request_rate', 'rates', 'requests / 3600 > 0.005', 'info')}
+    SELECT * FROM server_errors_a UNION ALL SELECT * FROM latency_a
+    UNION ALL SELECT * FROM request_rate_a""",
+)
+def service_alerts(spark, sf):
+    """Hourly windows and limits that fit the sparse test log."""
+    return slo.service_alerts(
+        v.requests(spark, sf), F.col("status"), F.col("latency_ms") / 1000, minutes=60,
+        limits={"server_errors": 0.001, "latency": 0.3, "request_rate": 0.005},
+    )
+
+
 @query(
     "freshness",
     f"""WITH {q.PREDS}, a AS (
@@ -1021,7 +1077,7 @@ _LIVE = f"""{q.LABELS}, {q.PREDS[q.PREDS.index("preds AS"):]}, known AS (
          CASE WHEN fat IS NULL OR us - tat <= fat - us THEN y ELSE fy END AS ny
   FROM back AS b JOIN fwd USING (seq)
 ), matched AS (SELECT * FROM near WHERE abs(nat - us) <= 30000000)
-{q.curve('matched', y='ny')}, ap AS (SELECT {q.AP} AS ap, {q.AUC} AS auc FROM curve),
+{q.curve('matched', y='ny')}, ap AS (SELECT {q.AP} AS ap, coalesce({q.AUC}, 0) AS auc FROM curve),
 c AS (SELECT {_COUNTS.format(y='ny', p='prediction')} FROM matched),
 d AS (SELECT *, {_RATIOS} FROM c CROSS JOIN ap),
 ver AS (SELECT model_version FROM matched GROUP BY 1 ORDER BY count(*) DESC, model_version LIMIT 1)"""
