@@ -221,13 +221,21 @@ def moving_quantile(
 
     Rows become bucket counts per minute first, and only those are spread over the windows.
     """
+    bounds = [*buckets, float("inf")]
     minute = F.floor(F.col("us") / MINUTE).cast("bigint")
-    cells = latency_histogram(df.withColumn("_m", minute), seconds, [*by, "_m"], buckets)
+    cells = df.groupBy(*by, minute.alias("_m")).agg(
+        *[F.count_if(seconds <= b).alias(f"_{i}") for i, b in enumerate(bounds)]
+    )
     starts = F.sequence(F.col("_m") - (minutes - 1), F.col("_m"))
-    windows = cells.withColumn("_w", F.explode(starts)).groupBy(*by, "_w", "le").agg(
-        F.sum("cumulative").alias("cumulative")
+    windows = cells.withColumn("_w", F.explode(starts)).groupBy(*by, "_w").agg(
+        *[F.sum(f"_{i}").alias(f"_{i}") for i in range(len(bounds))]
     )
-    return histogram_quantile(windows, share, [*by, "_w"]).select(
+    rows = [
+        F.struct(F.lit(b).alias("le"), F.col(f"_{i}").alias("cumulative"))
+        for i, b in enumerate(bounds)
+    ]
+    histogram = windows.select(*by, "_w", F.inline(F.array(*rows)))
+    return histogram_quantile(histogram, share, [*by, "_w"]).select(
         *by, (F.col("_w") * MINUTE).alias("window_us"), "quantile"
     )
 

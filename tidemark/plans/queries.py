@@ -1096,7 +1096,7 @@ def live_performance(spark, sf):
     preds = v.predictions(spark, sf).drop("label")
     return rounded(
         metrics.live_performance(
-            preds, materialize(labelled(spark, sf)), NOW_US, hours=480, buffer_minutes=60,
+            preds, labelled(spark, sf), NOW_US, hours=480, buffer_minutes=60,
             by=["product_id"],
         )
     )
