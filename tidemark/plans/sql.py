@@ -149,7 +149,7 @@ def curve(table: str, y: str = "label", by: str = "") -> str:
 AP = "coalesce(sum(pos * CAST(cum_pos AS DOUBLE) / cum_n) / nullif(sum(pos), 0), 0)"
 AUC = (
     "1 - (sum(pos * CAST((cum_n - cum_pos) - (n - pos) AS DOUBLE)) + sum(pos * CAST(n - pos AS DOUBLE)) / 2)"
-    " / (sum(pos) * CAST(sum(n - pos) AS DOUBLE))"
+    " / nullif(sum(pos) * CAST(sum(n - pos) AS DOUBLE), 0)"
 )
 
 REQUESTS = """
