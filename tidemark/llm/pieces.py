@@ -16,19 +16,20 @@ first one; it returns the text unless that holds the mark character itself (it b
 
 from __future__ import annotations
 
-import itertools
+import hashlib
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_map, fresh
+from tidemark.llm.common import arrow_map
 
 MARK = "▁"
 UNKNOWN = 10.0
-CACHE = 200_000
+CACHE = 400_000
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 
@@ -42,10 +43,12 @@ class Pieces:
         self.text = {i: piece for i, piece, _ in rows}
         self.bytes = bytes_
         self.byte_of = {i: b for b, i in bytes_.items()}
+        # What stands for itself wherever it occurs: pieces and ASCII bytes.
+        self.plain = self.text | {i: chr(b) for b, i in bytes_.items() if b < 128}
         self.unknown = unknown
         self.longest = max(map(len, self.id), default=1)
         self.lowest = min(self.score.values(), default=0.0) - UNKNOWN
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.words: dict[str, bytes] = {}
         self.cuts = self._cuts()
 
     def _cuts(self) -> re.Pattern:
@@ -109,7 +112,7 @@ class Pieces:
                     raw = piece.encode("utf-8", "surrogatepass")
                     out.extend([self.bytes.get(b, self.unknown) for b in reversed(raw)])
                 end = back[end]
-            self.words[word] = tuple(out[::-1])
+            self.words[word] = array("i", out[::-1]).tobytes()
 
     def marked(self, text: str) -> list[str]:
         return self.cuts.findall(MARK + text.replace(" ", MARK)) if text else []
@@ -122,39 +125,43 @@ class Pieces:
             new = set().union(*split)
         self.learn(new)
         words = self.words
-        return [
-            np.fromiter(itertools.chain.from_iterable(map(words.__getitem__, ws)), "int32")
-            for ws in split
-        ]
+        return [np.frombuffer(b"".join(map(words.__getitem__, ws)), "int32") for ws in split]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ``ids``; unknown ids give U+2047, broken bytes U+FFFD."""
+        try:
+            text = "".join(map(self.plain.__getitem__, ids.tolist()))
+        except KeyError:
+            text = self._decode_bytes(ids)
+        text = text.replace(MARK, " ")
+        return text[1:] if text.startswith(" ") else text
+
+    def _decode_bytes(self, ids: np.ndarray) -> str:
+        """As ``decode``, with runs of bytes read as UTF-8."""
         out: list[str] = []
         raw = bytearray()
-        for i in ids.tolist():
+        for i in [*ids.tolist(), None]:
             if i in self.byte_of:
                 raw.append(self.byte_of[i])
                 continue
             if raw:
                 out.append(raw.decode("utf-8", "replace"))
                 raw.clear()
-            out.append(self.text.get(i, "⁇"))
-        if raw:
-            out.append(raw.decode("utf-8", "replace"))
-        text = "".join(out).replace(MARK, " ")
-        return text[1:] if text.startswith(" ") else text
+            if i is not None:
+                out.append(self.text.get(i, "⁇"))
+        return "".join(out)
 
 
-def _parts(texts: list, size: int = 4_000_000):
-    """Runs of texts of about ``size`` characters, so that a batch's words stay bounded."""
+def _parts(column: pa.Array, size: int = 1_000_000):
+    """The texts of a column in runs of about ``size`` characters, which bounds what is held."""
     begin = total = 0
-    for i, text in enumerate(texts):
-        total += len(text or "")
+    for i, n in enumerate(pc.fill_null(pc.utf8_length(column), 0).to_pylist()):
+        total += n
         if total >= size:
-            yield begin, i + 1
+            yield begin, column.slice(begin, i + 1 - begin).to_pylist()
             begin, total = i + 1, 0
-    if begin < len(texts):
-        yield begin, len(texts)
+    if begin < len(column):
+        yield begin, column.slice(begin).to_pylist()
 
 
 def encode(
@@ -169,17 +176,9 @@ def encode(
     base = docs.drop(ids)
 
     def run(batch: pa.RecordBatch):
-        texts = batch.column(at).to_pylist()
-        for begin, end in _parts(texts):
-            split = model.encode([t or "" for t in texts[begin:end]])
-            offsets, total = [], 0
-            for t, x in zip(texts[begin:end], split, strict=True):
-                offsets.append(None if t is None else total)
-                total += len(x)
-            offsets.append(total)
-            values = np.concatenate(split) if split else np.zeros(0, "int32")
-            column = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
-            part = batch.slice(begin, end - begin)
+        for begin, texts in _parts(batch.column(at)):
+            column = _lists(texts, model.encode([t or "" for t in texts]))
+            part = batch.slice(begin, len(texts))
             yield pa.RecordBatch.from_arrays([*part.columns, column], names=[*names, ids])
 
     at, names = base.columns.index(text), base.columns
@@ -211,18 +210,44 @@ def _schema(df: DataFrame, more: str) -> str:
     return ", ".join([*own, more])
 
 
+def _lists(texts: list, split: list[np.ndarray]) -> pa.Array:
+    """The id arrays as an Arrow list column, NULL where the text is."""
+    offsets, total = [], 0
+    for text, ids in zip(texts, split, strict=True):
+        offsets.append(None if text is None else total)
+        total += len(ids)
+    offsets.append(total)
+    values = np.concatenate(split) if split else np.zeros(0, "int32")
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
+
+
 def round_trip(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     """Per row: doc_id, n_pieces, ids_sha256 (ids joined by commas), decoded_sha256, same_text.
 
-    Encodes and decodes every whole text; NULL text counts as none (0 pieces, NULL digests).
+    Encodes every whole text and decodes the ids again, in one map; NULL text counts as none
+    (0 pieces, NULL digests).
     """
-    coded = encode(docs.select("doc_id", "text"), path=path)
-    (name,) = fresh(coded, "decoded")
-    both = decode(coded, text=name, path=path)
-    return both.select(
-        "doc_id",
-        F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_pieces"),
-        F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(F.col(name).cast("binary"), 256).alias("decoded_sha256"),
-        F.col("text").eqNullSafe(F.col(name)).alias("same_text"),
-    )
+    model = Pieces.load(path)
+
+    def run(batch: pa.RecordBatch):
+        for begin, texts in _parts(batch.column(1)):
+            split = model.encode([t or "" for t in texts])
+            back = [None if t is None else model.decode(x) for t, x in zip(texts, split, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).slice(begin, len(texts)),
+                    pa.array(map(len, split), pa.int64()),
+                    pa.array([_digest(None if t is None else ",".join(map(str, x.tolist()))) for t, x in zip(texts, split, strict=True)], pa.string()),
+                    pa.array(map(_digest, back), pa.string()),
+                    pa.array([t == b for t, b in zip(texts, back, strict=True)], pa.bool_()),
+                ],
+                names=["doc_id", "n_pieces", "ids_sha256", "decoded_sha256", "same_text"],
+            )
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = "n_pieces long, ids_sha256 string, decoded_sha256 string, same_text boolean"
+    return arrow_map(docs.select("doc_id", "text"), f"doc_id {kind}, {schema}", run)
+
+
+def _digest(text: str | None) -> str | None:
+    return None if text is None else hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
