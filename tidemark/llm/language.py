@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import arrow_map, fold
 
 ORDER = 4
-SAMPLE_CHARS = 3_000_000  # characters of each language that are counted, about
+SAMPLE_CHARS = 1_500_000  # characters of each language that are counted, about
 CACHE = 200_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 

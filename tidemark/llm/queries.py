@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import language, pieces, quality
+from tidemark.llm import decontaminate, language, pieces, quality
 from tidemark.llm.common import table
 
 QUERIES: dict = {}
@@ -32,3 +32,26 @@ def op5(spark, sf):
 @query("op10_sentencepiece")
 def op10(spark, sf):
     return pieces.round_trip(table(spark, sf, "documents"))
+
+
+WORDS_SQL = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
+
+@query(
+    "op3_decontamination",
+    f"""WITH d AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+    i AS (SELECT item_id, {WORDS_SQL} AS w FROM benchmark),
+    lens AS (SELECT DISTINCT least(len(w), 10) AS l FROM i WHERE len(w) > 0),
+    iw AS (SELECT DISTINCT item_id, least(len(w), 10) AS l, array_to_string(w[s : s + least(len(w), 10) - 1], ' ') AS t
+      FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM i WHERE len(w) > 0)),
+    dw AS (SELECT doc_id, l, s, array_to_string(w[s : s + l - 1], ' ') AS t
+      FROM (SELECT doc_id, w, l, unnest(range(1, len(w) - l + 2)) AS s FROM d, lens WHERE len(w) >= l)),
+    hit AS (SELECT dw.doc_id, dw.s, dw.l, iw.item_id FROM dw JOIN iw USING (l, t)),
+    pos AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(s, s + l)) AS p FROM (SELECT DISTINCT doc_id, s, l FROM hit)) GROUP BY 1),
+    it AS (SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hit) GROUP BY 1)
+    SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(pos.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(it.n, 0) AS BIGINT) AS n_items,
+      sha256(coalesce(it.ids, '')) AS items_sha256, coalesce(pos.n, 0) > 0 AS contaminated
+    FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)""",
+)
+def op3(spark, sf):
+    return decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
