@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, language, pieces, quality
+from tidemark.llm import decontaminate, language, neighbours, pages, pieces, quality
 from tidemark.llm.common import table
 
 QUERIES: dict = {}
@@ -55,3 +55,13 @@ WORDS_SQL = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'AB
 )
 def op3(spark, sf):
     return decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op8_nearest_neighbours")
+def op8(spark, sf):
+    return neighbours.search(table(spark, sf, "embeddings"))
+
+
+@query("op9_html_text")
+def op9(spark, sf):
+    return pages.extract(table(spark, sf, "pages"))
