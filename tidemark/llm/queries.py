@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, language, neighbours, pages, pieces, quality
+from tidemark.llm import decontaminate, jaccard, language, neighbours, pages, pieces, quality, spans
 from tidemark.llm.common import table
 
 QUERIES: dict = {}
@@ -65,3 +65,40 @@ def op8(spark, sf):
 @query("op9_html_text")
 def op9(spark, sf):
     return pages.extract(table(spark, sf, "pages"))
+
+
+ASCII_WORDS_SQL = r"""list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"""
+LOWER_SQL = ASCII_WORDS_SQL.replace("coalesce(text, '')", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+
+
+@query(
+    "op4_jaccard_join",
+    f"""WITH RECURSIVE d AS (SELECT doc_id, {LOWER_SQL} AS w FROM documents),
+    s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+    shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s AS a JOIN s AS b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+    linked AS (SELECT a, b FROM shared JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+    both_ AS (SELECT a, b FROM linked UNION SELECT b, a FROM linked),
+    reach(a, b) AS (SELECT a, b FROM both_ UNION SELECT r.a, e.b FROM reach AS r JOIN both_ AS e ON r.b = e.a)
+    SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(r.low, d.doc_id)) AS component_id
+    FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY 1) AS r USING (doc_id)""",
+)
+def op4(spark, sf):
+    return jaccard.groups(table(spark, sf, "documents"))
+
+
+@query(
+    "op6_substring_dedup",
+    f"""WITH d AS (SELECT doc_id, {ASCII_WORDS_SQL} AS w FROM documents),
+    win AS (SELECT doc_id, s, array_to_string(w[s : s + 12], ' ') AS t
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS s FROM d WHERE len(w) >= 13)),
+    low AS (SELECT t, min(doc_id) AS low FROM win GROUP BY 1),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS p FROM win JOIN low USING (t) WHERE low < doc_id),
+    word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+    kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS k, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY 1)
+    SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+    FROM d LEFT JOIN kept USING (doc_id)""",
+)
+def op6(spark, sf):
+    return spans.removal(table(spark, sf, "documents"))
