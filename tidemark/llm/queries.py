@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, jaccard, language, neighbours, pages, pieces, quality, spans
+from tidemark.llm import (
+    decontaminate,
+    jaccard,
+    language,
+    neighbours,
+    pages,
+    pieces,
+    quality,
+    shards,
+    spans,
+    toxicity,
+)
 from tidemark.llm.common import table
 
 QUERIES: dict = {}
@@ -102,3 +113,13 @@ def op4(spark, sf):
 )
 def op6(spark, sf):
     return spans.removal(table(spark, sf, "documents"))
+
+
+@query("op2_toxicity")
+def op2(spark, sf):
+    return toxicity.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op7_shards")
+def op7(spark, sf):
+    return shards.assign(table(spark, sf, "documents"))
