@@ -19,6 +19,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import fresh
 from tidemark.session import materialize
 
 WINDOW = 10
@@ -143,6 +144,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a hit, all columns unchanged."""
-    hits = find(docs, items).select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"))
-    on = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__h"))
+    id_, h = fresh(docs, "hit_id", "hit_text")
+    hits = find(docs, items).select(F.col("doc_id").alias(id_), F.col("h").alias(h))
+    on = docs["doc_id"].eqNullSafe(hits[id_]) & (F.xxhash64(docs["text"]) == hits[h])
     return docs.join(hits, on, "left_anti")

@@ -221,11 +221,11 @@ def _lists(texts: list, split: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
 
 
-def round_trip(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
+def round_trip(docs: DataFrame, path: str = VOCABULARY, with_ids: bool = False) -> DataFrame:
     """Per row: doc_id, n_pieces, ids_sha256 (ids joined by commas), decoded_sha256, same_text.
 
     Encodes every whole text and decodes the ids again, in one map; NULL text counts as none
-    (0 pieces, NULL digests).
+    (0 pieces, NULL digests). ``with_ids`` adds the ids themselves.
     """
     model = Pieces.load(path)
 
@@ -233,6 +233,7 @@ def round_trip(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
         for begin, texts in _parts(batch.column(1)):
             split = model.encode([t or "" for t in texts])
             back = [None if t is None else model.decode(x) for t, x in zip(texts, split, strict=True)]
+            ids = [_lists(texts, split)] if with_ids else []
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(begin, len(texts)),
@@ -240,12 +241,15 @@ def round_trip(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
                     pa.array([_digest(None if t is None else ",".join(map(str, x.tolist()))) for t, x in zip(texts, split, strict=True)], pa.string()),
                     pa.array(map(_digest, back), pa.string()),
                     pa.array([t == b for t, b in zip(texts, back, strict=True)], pa.bool_()),
+                    *ids,
                 ],
-                names=["doc_id", "n_pieces", "ids_sha256", "decoded_sha256", "same_text"],
+                names=names,
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", "n_pieces", "ids_sha256", "decoded_sha256", "same_text"] + ["ids"] * with_ids
     schema = "n_pieces long, ids_sha256 string, decoded_sha256 string, same_text boolean"
+    schema += ", ids array<int>" * with_ids
     return arrow_map(docs.select("doc_id", "text"), f"doc_id {kind}, {schema}", run)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from tidemark.llm import (
     decontaminate,
     jaccard,
@@ -20,6 +21,9 @@ QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 
+QUERIES["pipeline"] = corpus_pipeline.run
+
+
 def query(name: str, sql: str | None = None):
     def add(function):
         QUERIES[name] = function

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import fresh
 from tidemark.llm.shingles import WordHashes, runs
 
 WINDOW = 13
@@ -188,9 +189,10 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     """
     spans = repeated(docs.select("doc_id", "text").where("doc_id is not null"), window, gram)
     spans = spans.groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
-    spans = spans.select(F.col("doc_id").alias("__doc"), F.col("spans").alias("__spans"))
+    id_, cut = fresh(docs, "cut_id", "cut_spans")
+    spans = spans.select(F.col("doc_id").alias(id_), F.col("spans").alias(cut))
     names = docs.columns
-    joined = docs.join(spans, F.col("doc_id") == F.col("__doc"), "left").select(*[docs[c] for c in names], "__spans")
+    joined = docs.join(spans, docs["doc_id"] == spans[id_], "left").select(*[docs[c] for c in names], cut)
     at = names.index("text")
 
     def run(batches):
