@@ -4,7 +4,7 @@ An edge is a window of ``WINDOW`` words, leading from its first words to its las
 repeat are found first: of each window the least hash of its 6-grams is kept (winnowing), and only
 windows with a 6-gram that two documents kept become edges. Edges that occur in one document only
 are dropped. An edge runs on into the next one without branching if every occurrence of it is
-followed by that one and by nothing else, and that one occurs as often. Such runs are compacted:
+followed by that one and by nothing else, and that one occurs nowhere else. Such runs are compacted:
 their edges sit at consecutive places of the first document that holds them, so each edge is
 compared with its neighbour in those source coordinates. Every document that enters a compacted path walks
 the whole of it, so joining the occurrences with the paths' first edges gives all repeated spans as
@@ -45,90 +45,94 @@ def _minima(grams: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def _marks(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """fp, doc_id: the winnowed grams of each document."""
+def _minimum(hashes: np.ndarray, window: int, gram: int) -> np.ndarray:
+    """The least gram hash of each window."""
+    if len(hashes) < window:
+        return np.zeros(0, "uint64")
+    return _minima(runs(hashes, gram), window - gram + 1)
+
+
+def _marks(texts: DataFrame, window: int, gram: int) -> DataFrame:
+    """fp, doc_id, th: the winnowed grams of each text."""
     known = WordHashes()
 
     def run(batches):
         for batch in batches:
             for begin in range(0, len(batch), 256):
                 part = batch.slice(begin, 256)
-                found = []
-                for text in part.column(1):
-                    hashes = known.of(_words(text.as_py()))
-                    few = len(hashes) < window
-                    found.append(np.zeros(0, "uint64") if few else np.unique(_minima(runs(hashes, gram), window - gram + 1)))
-                ids = np.repeat(np.arange(len(found)), [len(f) for f in found])
+                found = [np.unique(_minimum(known.of(_words(t.as_py())), window, gram)) for t in part.column(2)]
+                rows = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(found).view("int64")), part.column(0).take(pa.array(ids))], names=["fp", "doc_id"]
+                    [pa.array(np.concatenate(found).view("int64")), part.column(0).take(rows), part.column(1).take(rows)],
+                    names=["fp", "doc_id", "th"],
                 )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"fp long, doc_id {kind}")
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    return texts.mapInArrow(run, f"fp long, doc_id {kind}, th long")
 
 
 def _edges(marked: DataFrame, window: int, gram: int) -> DataFrame:
-    """h, doc_id, at, following: windows with a marked gram, and the hash of the one that follows."""
+    """h, doc_id, at: windows whose least gram is marked. ``at`` is the place, after th << 32."""
     known = WordHashes()
 
     def run(batches):
         for batch in batches:
             for begin in range(0, len(batch), 64):
                 part = batch.slice(begin, 64)
-                out, ids, ats, nexts = [], [], [], []
-                for i, (text, marks) in enumerate(zip(part.column(1), part.column(2), strict=True)):
+                out, places = [], []
+                for text, th, marks in zip(*(part.column(c) for c in ("text", "th", "fps")), strict=True):
                     hashes = known.of(_words(text.as_py()))
                     wanted = marks.values.to_numpy(zero_copy_only=False).view("uint64")
-                    hit = np.isin(runs(hashes, gram), wanted).astype("int32")
-                    total = np.concatenate([[0], np.cumsum(hit)])
-                    width = window - gram + 1
-                    at = np.flatnonzero(total[width:] - total[:-width])
-                    edge = runs(hashes, window)
-                    far = np.zeros(len(edge), bool)
-                    far[at] = True
-                    next_ = np.append(edge[1:], 0).view("int64")[at]
-                    none = ~np.append(far[1:], False)[at]
-                    out.append(edge[at].view("int64"))
-                    ids.append(np.full(len(at), i))
-                    ats.append(at.astype("int32"))
-                    nexts.append(pa.array(next_, mask=none))
+                    at = np.flatnonzero(np.isin(_minimum(hashes, window, gram), wanted))
+                    out.append(runs(hashes, window)[at].view("int64"))
+                    places.append(at + (th.as_py() << 32))
+                rows = pa.array(np.repeat(np.arange(len(out)), [len(x) for x in out]))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate(out)), part.column(0).take(pa.array(np.concatenate(ids))),
-                        pa.array(np.concatenate(ats)), pa.concat_arrays(nexts),
-                    ],
-                    names=["h", "doc_id", "at", "following"],
+                    [pa.array(np.concatenate(out)), part.column("doc_id").take(rows), pa.array(np.concatenate(places))],
+                    names=["h", "doc_id", "at"],
                 )
 
     kind = marked.schema["doc_id"].dataType.simpleString()
-    return marked.mapInArrow(run, f"h long, doc_id {kind}, at int, following long")
+    return marked.mapInArrow(run, f"h long, doc_id {kind}, at long")
+
+
+def texts_of(docs: DataFrame, *others: str) -> DataFrame:
+    """doc_id, th (31 bits of the text's hash, which tell rows of one id apart), text, and others."""
+    th = F.pmod(F.xxhash64("text"), F.lit(1 << 31)).alias("th")
+    rest = F.struct(*[F.col(f"`{c}`") for c in others]).alias("rest") if others else None
+    rows = docs.where("doc_id is not null").select("doc_id", th, "text", *([rest] if others else []))
+    return rows.where("th is not null")
 
 
 def repeated(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """doc_id, at, n (windows), source, source_at: spans that start in an earlier document too.
+    """doc_id, th, spans of the ``texts`` that hold spans which start in an earlier document too.
 
-    ``texts`` has doc_id (not NULL) and text. Places count words from 0.
+    A span is (at, n, source, source_at): place, windows, and source coordinates, counted in words
+    from 0. Paths are found by comparing, for neighbours in the source, the sets of all places of
+    both edges (as counts and as combined hashes): they must be the same, one word apart.
     """
-    marks = _marks(texts, window, gram).repartition("fp")
-    twice = marks.groupBy("fp").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("fp")
-    of = marks.join(twice.hint("shuffle_hash"), "fp").groupBy("doc_id").agg(F.collect_list("fp").alias("fps"))
-    marked = texts.join(of, "doc_id").select("doc_id", "text", "fps")
-    edges = _edges(marked, window, gram).repartition("h")
+    # Both readers of an exchange ask for the same columns, not null, so that it is made once.
+    marks = _marks(texts, window, gram).where("fp is not null and doc_id is not null and th is not null").repartition("fp")
+    ends = F.struct("doc_id", "th")
+    twice = marks.groupBy("fp").agg(F.min(ends).alias("lo"), F.max(ends).alias("hi")).where("lo.doc_id < hi.doc_id").select("fp")
+    of = marks.join(twice.hint("shuffle_hash"), "fp").groupBy("doc_id", "th").agg(F.collect_list("fp").alias("fps"))
+    edges = _edges(texts.join(of, ["doc_id", "th"]), window, gram)
+    edges = edges.where("h is not null and doc_id is not null and shiftright(at, 32) is not null").repartition("h")
     graph = (
         edges.groupBy("h")
         .agg(
-            F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
-            F.min(F.struct("doc_id", "at")).alias("first"), F.count("following").alias("on"),
-            F.min("following").alias("f1"), F.max("following").alias("f2"),
+            F.count("*").alias("n"), F.max("doc_id").alias("hi"), F.min(F.struct("doc_id", "at")).alias("first"),
+            F.bit_xor(F.xxhash64("doc_id", "at")).alias("places"),
+            F.bit_xor(F.xxhash64("doc_id", F.col("at") + 1)).alias("next_places"),
         )
-        .where("lo < hi")
-        .select("h", "n", F.col("lo").alias("source"), F.col("first.at").alias("source_at"), F.expr("if(on = n and f1 = f2, f1, null) as only"))
+        .where("first.doc_id < hi")
+        .select("h", "n", F.col("first.doc_id").alias("source"), F.col("first.at").alias("source_at"), "places", "next_places")
     )
     along = Window.partitionBy("source").orderBy("source_at")
     runs_on = (
         (F.lag("source_at").over(along) == F.col("source_at") - 1)
-        & (F.lag("only").over(along) == F.col("h"))
         & (F.lag("n").over(along) == F.col("n"))
+        & (F.lag("next_places").over(along) == F.col("places"))
     )
     paths = (
         graph.withColumn("path", F.coalesce((~runs_on).cast("int"), F.lit(1)))
@@ -137,8 +141,13 @@ def repeated(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFr
         .agg(F.min(F.struct("source_at", "h")).alias("head"), F.count("*").alias("n"))
         .select("source", "n", F.col("head.source_at").alias("source_at"), F.col("head.h").alias("h"))
     )
-    found = edges.select("h", "doc_id", "at", "following").join(paths.hint("shuffle_hash"), "h")
-    return found.where("source < doc_id").select("doc_id", "at", "n", "source", "source_at")
+    found = edges.join(paths.hint("shuffle_hash"), "h").where("source < doc_id")
+    place = F.lit((1 << 32) - 1)
+    return found.groupBy("doc_id", F.shiftright("at", 32).alias("th")).agg(
+        F.collect_list(
+            F.struct(F.col("at").bitwiseAND(place).alias("at"), "n", "source", F.col("source_at").bitwiseAND(place).alias("source_at"))
+        ).alias("spans")
+    )
 
 
 def _cut(text: str | None, spans: list | None, window: int) -> tuple[int, list[bytes]]:
@@ -151,13 +160,6 @@ def _cut(text: str | None, spans: list | None, window: int) -> tuple[int, list[b
     return len(words), [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
 
 
-def _texts_with_spans(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """doc_id, text, spans of each row; rows with a NULL id have no spans."""
-    texts = docs.select("doc_id", "text").where("doc_id is not null")
-    spans = repeated(texts, window, gram).groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
-    return texts.join(spans, "doc_id", "left").select("doc_id", "text", "spans")
-
-
 def removal(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every row.
 
@@ -178,8 +180,11 @@ def removal(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string"
-    alone = docs.where("doc_id is null").select("doc_id", "text", F.expr("cast(null as array<struct<at:int,n:bigint>>)").alias("spans"))
-    return _texts_with_spans(docs, window, gram).mapInArrow(run, schema).unionByName(alone.mapInArrow(run, schema))
+    texts = texts_of(docs)
+    spans = repeated(texts, window, gram)
+    rows = texts.join(spans, ["doc_id", "th"], "left").select("doc_id", "text", "spans")
+    alone = docs.where("doc_id is null").select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
+    return rows.mapInArrow(run, schema).unionByName(alone.mapInArrow(run, schema))
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -187,22 +192,23 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
 
     A text without repeats stays as it is; in others the kept words are joined by one space.
     """
-    spans = repeated(docs.select("doc_id", "text").where("doc_id is not null"), window, gram)
-    spans = spans.groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
-    id_, cut = fresh(docs, "cut_id", "cut_spans")
-    spans = spans.select(F.col("doc_id").alias(id_), F.col("spans").alias(cut))
     names = docs.columns
-    joined = docs.join(spans, docs["doc_id"] == spans[id_], "left").select(*[docs[c] for c in names], cut)
+    others = [c for c in names if c not in ("doc_id", "text")]
+    texts = texts_of(docs, *others)
+    (cut,) = fresh(docs, "cut_spans")
+    joined = texts.join(repeated(texts, window, gram).withColumnRenamed("spans", cut), ["doc_id", "th"], "left")
+    own = [F.col(c) if c in ("doc_id", "text") else F.col(f"rest.`{c}`") for c in names]
     at = names.index("text")
 
     def run(batches):
         for batch in batches:
             column = [
-                t.as_py() if not s.is_valid else b" ".join(_cut(t.as_py(), s.as_py(), window)[1]).decode("utf-8", "surrogatepass")
+                b" ".join(_cut(t.as_py(), s.as_py(), window)[1]).decode("utf-8", "surrogatepass") if s.is_valid else t.as_py()
                 for t, s in zip(batch.column(at), batch.column(len(names)), strict=True)
             ]
             columns = list(batch.columns[:-1])
             columns[at] = pa.array(column, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return joined.mapInArrow(run, docs.schema)
+    alone = docs.where("doc_id is null")
+    return joined.select(*own, cut).mapInArrow(run, docs.schema).unionByName(alone)
