@@ -54,9 +54,9 @@ def _frequencies(docs: DataFrame, n: int, bits: int) -> np.ndarray:
                 [pa.array(part.astype("int32")), pa.array(total[part])], names=["c", "n"]
             )
 
-    out = np.zeros(1 << bits, "int64")
-    for row in docs.select("text").mapInArrow(run, "c int, n long").groupBy("c").agg(F.sum("n").alias("n")).toPandas().itertuples():
-        out[row.c] = row.n
+    out = np.zeros(1 << bits, "int32")
+    found = docs.select("text").mapInArrow(run, "c int, n long").groupBy("c").agg(F.sum("n").alias("n")).toArrow()
+    out[found.column(0).to_numpy()] = np.minimum(found.column(1).to_numpy(), 2**31 - 1)
     return out
 
 
