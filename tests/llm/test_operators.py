@@ -308,7 +308,7 @@ def test_label_model_follows_accurate_voters():
     votes = np.zeros((3000, 4), int)
     for j, (hit, false) in enumerate([(0.8, 0.01), (0.7, 0.02), (0.3, 0.3)]):
         votes[:, j] = rng.random(3000) < np.where(truth, hit, false)
-    votes[:, 3] = -(votes[:, :2].sum(1) == 0)
+    votes[:, 3] = -(votes[:, :2].sum(1) == 0).astype(int)
     post = toxicity.label_model(votes, np.full(3000, -1))
     assert np.mean((post > 0.5) == truth) > 0.93
 
