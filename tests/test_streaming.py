@@ -143,6 +143,25 @@ def test_batch_tables(spark, tmp_path):
     tables.write_batch(df.where("x > 1"), path, 1)
     tables.write_batch(df.where("x > 1"), path, 1)
     assert tables.read_own(spark, path, df.schema, 1).count() == 1
-    assert tables.read_before(spark, path, df.schema, 1, 0, tables.DAY * 2).count() == 2
-    assert tables.read_before(spark, path, df.schema, 2, tables.DAY, tables.DAY * 2).count() == 2
-    assert tables.read_before(spark, path, df.schema, 2, tables.DAY * 5, tables.DAY * 6).count() == 0
+    assert tables.read_before(spark, path, df.schema, 1, [(0, tables.DAY * 2)]).count() == 2
+    assert tables.read_before(spark, path, df.schema, 2, [(tables.DAY, tables.DAY * 2)]).count() == 2
+    assert tables.read_before(spark, path, df.schema, 2, [(tables.DAY * 5, tables.DAY * 6)]).count() == 0
+    assert tables.joined_spans([(5, 9), (1, 3), (2, 6), (20, 21)]) == [(1, 9), (20, 21)]
+
+
+def test_late_rows_get_labels(spark, tmp_path):
+    """Rows that come later than their horizon are labelled by their own batch, once."""
+    base, second = str(tmp_path), 1_000_000
+    each = sf.label_batch(f"{base}/rows", f"{base}/labels", f"{base}/progress", 0.001, 60, 300)
+
+    def batch(*seconds):
+        rows = [("A", t * second, i + 1000 * len(seconds) + seconds[0], 100.0 + t % 7) for i, t in enumerate(seconds)]
+        return spark.createDataFrame(rows, "product_id string, us bigint, seq bigint, price double")
+
+    each(batch(*range(1000, 1200, 5)), 0)
+    each(batch(1003, 1004, 20, 1201), 1)
+    each(batch(*range(1300, 1500, 5)), 2)
+    found = spark.read.parquet(f"{base}/labels")
+    times = sorted(r.us // second for r in found.collect())
+    assert times == sorted([*range(1000, 1200, 5), 1003, 1004, 20, 1201, *range(1300, 1435, 5)])
+    assert found.where("us = 1003000000").first().volatility_spike == 1

@@ -33,25 +33,35 @@ def mid_price(price: Column, bid: Column, ask: Column, has_price: Column | None
     return F.when(has_price, price).when(both, (bid + ask) / 2)
 
 
+def known(value: Column) -> Column:
+    """The value, or NULL where it is NaN or infinite. (Spark orders NaN above infinity.)"""
+    value = value.cast("double")
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
+
+
 def spread(bid: Column, ask: Column) -> Column:
+    """Spread of a two-sided book; NULL for a side that is missing, not positive or not finite."""
+    bid, ask = known(bid), known(ask)
     return F.when((bid > 0) & (ask > 0), ask - bid)
 
 
 def spread_bps(bid: Column, ask: Column) -> Column:
     """Spread in basis points of the middle, where the middle is positive."""
+    bid, ask = known(bid), known(ask)
     mid = (bid + ask) / 2
     return F.when(mid > 0, (ask - bid) / mid * 10000)
 
 
 def book_imbalance(bid_qty: Column, ask_qty: Column) -> Column:
-    """Bid share of the quoted quantity; NULL for a missing side or an empty book."""
+    """Bid share of the quoted quantity; NULL for a missing or non-finite side or an empty book."""
+    bid_qty, ask_qty = known(bid_qty), known(ask_qty)
     total = bid_qty + ask_qty
     return F.when(total > 0, bid_qty / total)
 
 
 def log_return(price: Column, start: Column) -> Column:
-    """ln(price / start), 0 when the start is not positive."""
-    return F.when(start > 0, F.ln(price / start)).otherwise(F.lit(0.0))
+    """ln(price / start), 0 when either is not positive."""
+    return F.when((start > 0) & (price > 0), F.ln(price / start)).otherwise(F.lit(0.0))
 
 
 def finite(value: Column) -> Column:
@@ -61,9 +71,9 @@ def finite(value: Column) -> Column:
 
 
 def priced(price: Column) -> Column:
-    """A usable price: NaN and 0 count as missing."""
-    price = price.cast("double")
-    return F.when((price != 0) & ~F.isnan(price), price)
+    """A usable price: 0, NaN and infinities count as missing."""
+    price = known(price)
+    return F.when(price != 0, price)
 
 
 def micros(ts: Column) -> Column:
@@ -89,12 +99,16 @@ def sanitize(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.withColumns({n: finite(F.col(n)) for n in names})
 
 
+def _number(value: Column) -> Column:
+    return F.when(~F.isnan(value), value)
+
+
 def default_fill(df: DataFrame, features: list[str] = MODEL_FEATURES) -> DataFrame:
-    """Cast the features and fill what is missing, whole columns included."""
+    """Cast the features and fill what is missing or NaN, whole columns included."""
     have = set(df.columns)
     return df.withColumns(
         {
-            f: F.coalesce(F.col(f).try_cast("double"), F.lit(feature_default(f)))
+            f: F.coalesce(_number(F.col(f).try_cast("double")), F.lit(feature_default(f)))
             if f in have
             else F.lit(feature_default(f))
             for f in features

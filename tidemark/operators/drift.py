@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.ticks import add_return_range, analysis_columns, common_columns
+from tidemark.functions.ticks import add_return_range, analysis_columns, common_columns, known
 from tidemark.operators.joins import asof_join
 from tidemark.operators.ranges import running, settled
 from tidemark.operators.splits import split_ratio, split_train_test
@@ -27,7 +27,7 @@ def _long(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> D
         return wide.unpivot([], list(columns), "feature", "x").withColumn("side", F.lit(name))
 
     both = side(reference, "ref").unionByName(side(current, "cur"))
-    return both.where(F.col("x").isNotNull() & ~F.isnan("x"))
+    return both.where(known(F.col("x")).isNotNull())
 
 
 def _steps(long: DataFrame) -> DataFrame:
@@ -67,12 +67,21 @@ def drift_wasserstein(
 ) -> DataFrame:
     """Exact first Wasserstein distance in units of the reference deviation."""
     steps = _steps(_long(reference, current, columns))
-    gap = F.abs(F.col("r_below") / F.col("n_ref") - F.col("c_below") / F.col("n_cur"))
+    gap = F.abs(F.try_divide("r_below", "n_ref") - F.try_divide("c_below", "n_cur"))
     area = gap * (F.col("x") - F.col("x_below"))
     unit = F.greatest(F.first("ref_std"), F.lit(STD_FLOOR))
-    return steps.groupBy("feature").agg(
-        (F.coalesce(F.sum(area), F.lit(0.0)) / unit).alias("score")
-    ).withColumn("drifted", F.col("score") >= cut)
+    # Without a value on one side there is no distance: NULL, and no verdict of drift.
+    both = (F.first("n_ref") > 0) & (F.first("n_cur") > 0)
+    found = steps.groupBy("feature").agg(
+        F.when(both, F.coalesce(F.sum(area), F.lit(0.0)) / unit).alias("score")
+    )
+    return _all_columns(found, columns).withColumn("drifted", F.coalesce(F.col("score") >= cut, F.lit(False)))
+
+
+def _all_columns(found: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``found`` with a row for each column, also for those without any value."""
+    names = found.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, columns))).alias("feature"))
+    return names.join(found, "feature", "left")
 
 
 def drift_wasserstein_approx(
@@ -90,9 +99,8 @@ def drift_wasserstein_approx(
     apart = F.zip_with("a", "b", lambda x, y: F.abs(x - y))
     total = F.aggregate(apart, F.lit(0.0), lambda acc, x: acc + x) / points
     unit = F.greatest(F.col("ref_std"), F.lit(STD_FLOOR))
-    return sketch.select("feature", (total / unit).alias("score")).withColumn(
-        "drifted", F.col("score") >= cut
-    )
+    found = sketch.select("feature", (total / unit).alias("score"))
+    return _all_columns(found, columns).withColumn("drifted", F.coalesce(F.col("score") >= cut, F.lit(False)))
 
 
 def drift_ks(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -100,7 +108,7 @@ def drift_ks(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -
     steps = _steps(_long(reference, current, columns))
     r = F.coalesce("r_below", F.lit(0)) + F.col("r")
     c = F.coalesce("c_below", F.lit(0)) + F.col("c")
-    gap = F.abs(r / F.col("n_ref") - c / F.col("n_cur"))
+    gap = F.abs(F.try_divide(r, F.col("n_ref")) - F.try_divide(c, F.col("n_cur")))
     out = steps.groupBy("feature").agg(
         F.max(gap).alias("statistic"), F.first("n_ref").alias("n_ref"), F.first("n_cur").alias("n_cur")
     )
@@ -108,7 +116,8 @@ def drift_ks(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -
     out = out.withColumn("_lambda", F.sqrt(n) * F.col("statistic"))
     out = out.withColumn("p_value", _kolmogorov(F.col("_lambda"))).drop("_lambda")
     band = F.when(F.col("p_value") > 0.05, "low").when(F.col("p_value") > 0.01, "medium")
-    return out.withColumn("band", band.otherwise("high"))
+    band = F.when(F.col("p_value").isNotNull(), band.otherwise("high"))
+    return _all_columns(out.withColumn("band", band), columns)
 
 
 def _kolmogorov(x: Column) -> Column:
@@ -130,7 +139,7 @@ def drift_categorical(reference: DataFrame, current: DataFrame, column: str) ->
     )
     total = counts.agg(F.sum("r").alias("nr"), F.sum("c").alias("nc"))
     shares = counts.crossJoin(F.broadcast(total)).select(
-        (F.col("r") / F.col("nr")).alias("p"), (F.col("c") / F.col("nc")).alias("q")
+        F.try_divide("r", "nr").alias("p"), F.try_divide("c", "nc").alias("q")
     )
     m = (F.col("p") + F.col("q")) / 2
 
@@ -139,7 +148,10 @@ def drift_categorical(reference: DataFrame, current: DataFrame, column: str) ->
 
     return shares.agg(
         (F.sum(F.abs(F.col("p") - F.col("q"))) / 2).alias("total_variation"),
-        F.sqrt(F.greatest((F.sum(part("p")) + F.sum(part("q"))) / 2, F.lit(0.0))).alias("js_distance"),
+        F.when(
+            (F.count("p") > 0) & (F.count("q") > 0),
+            F.sqrt(F.greatest((F.sum(part("p")) + F.sum(part("q"))) / 2, F.lit(0.0))),
+        ).alias("js_distance"),
     ).select(F.lit(column).alias("feature"), "*")
 
 

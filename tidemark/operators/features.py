@@ -24,10 +24,11 @@ from tidemark.session import rows_per_range
 
 SECOND = 1_000_000
 
-# Squared log returns are totalled in two parts, multiples of this grain and the rest. Sums
-# of the first part carry no rounding error, those of the second next to none, so a large
-# move earlier on the line leaves no noise in the frames after it.
+# Every amount is totalled in two parts, multiples of a grain and the rest. Sums of the first
+# part carry no rounding error, those of the second next to none, so an outlier earlier on
+# the line leaves no noise in the frames after it, and it does not matter where a total began.
 GRAIN = 2.0**-30
+PRICE_GRAIN = 2.0**-10
 
 # A bucket with more than this many times the rows of a range is not left to one task.
 DENSE = 5
@@ -56,13 +57,20 @@ class FrameSpec:
         }
 
 
+def rest(value: str, grain: float) -> str:
+    """SQL: what ``coarse`` leaves over."""
+    return f"({value}) - {coarse(value, grain)}"
+
+
 # Totals that include the current tick: what a tick adds.
 _TICKS = {
     "ticks": "if(kind = 1, 1L, 0L)",
     "prices": "if(p is not null, 1L, 0L)",
-    "spread_sum": "if(kind = 1, coalesce(spread, 0D), 0D)",
+    "spread_sum": f"if(kind = 1, coalesce({coarse('spread', PRICE_GRAIN)}, 0D), 0D)",
+    "spread_rest": f"if(kind = 1, coalesce({rest('spread', PRICE_GRAIN)}, 0D), 0D)",
     "spread_n": "if(kind = 1 and spread is not null, 1L, 0L)",
-    "book_sum": "if(kind = 1, coalesce(book, 0D), 0D)",
+    "book_sum": f"if(kind = 1, coalesce({coarse('book', GRAIN)}, 0D), 0D)",
+    "book_rest": f"if(kind = 1, coalesce({rest('book', GRAIN)}, 0D), 0D)",
     "book_n": "if(kind = 1 and book is not null, 1L, 0L)",
 }
 # Totals of pairs that end before the current tick: what the pair with the next tick adds.
@@ -73,19 +81,21 @@ _PAIRS = {
     for name, condition, value, zero in (
         ("n", f"pair and {near}", "1L", "0L"),
         ("valid", f"valid and {near}", "1L", "0L"),
-        ("r", f"valid and {near}", "r", "0D"),
+        ("r", f"valid and {near}", coarse("r", GRAIN), "0D"),
+        ("r_rest", f"valid and {near}", rest("r", GRAIN), "0D"),
         ("rr", f"valid and {near}", coarse("r * r", GRAIN), "0D"),
-        ("rr_rest", f"valid and {near}", f"r * r - {coarse('r * r', GRAIN)}", "0D"),
-        ("dp", f"pair and {near}", "abs(q - p)", "0D"),
+        ("rr_rest", f"valid and {near}", rest("r * r", GRAIN), "0D"),
+        ("dp", f"pair and {near}", coarse("abs(q - p)", PRICE_GRAIN), "0D"),
+        ("dp_rest", f"pair and {near}", rest("abs(q - p)", PRICE_GRAIN), "0D"),
     )
 }
 _VOLATILITY = [
-    "band_n", "band_valid", "band_r", "band_rr", "band_rr_rest", "any_valid", "any_r", "any_rr",
-    "any_rr_rest",
+    "band_n", "band_valid", "band_r", "band_r_rest", "band_rr", "band_rr_rest", "any_valid", "any_r",
+    "any_r_rest", "any_rr", "any_rr_rest",
 ]
 _NEEDED = {
-    "30s": ["prices", "book_sum", "book_n"],
-    "60s": ["prices", "spread_sum", "spread_n", "book_sum", "book_n", *_VOLATILITY],
+    "30s": ["prices", "book_sum", "book_rest", "book_n"],
+    "60s": ["prices", "spread_sum", "spread_rest", "spread_n", "book_sum", "book_rest", "book_n", *_VOLATILITY],
     "300s": [*_TICKS, *_PAIRS],
 }
 
@@ -100,7 +110,7 @@ def tick_features(
     """All ten model features of each tick.
 
     ``ticks`` has the ``by`` columns, ``us`` (BIGINT micros), ``seq`` (arrival number that
-    breaks ties in time), ``price``, ``best_bid``, ``best_ask``, ``bid_qty``, ``ask_qty``.
+    breaks ties in time; rows that share even that stay apart, in no set order), ``price``, ``best_bid``, ``best_ask``, ``bid_qty``, ``ask_qty``.
     ``keep`` names further columns to carry along. A product's time line is cut into buckets
     of ``width`` micros (12 long frames by default) with one frame of overlap, so a product
     that holds most of the rows is still spread over many tasks. If a burst overfills a
@@ -123,13 +133,14 @@ def tick_features(
     group = [*by, "bucket"]
     cells = rows.selectExpr(*_quoted(by), f"us div {width}L as bucket")
     total, largest = group_load(cells, group)
+    rows = rows.withColumn("_row", F.rand(7))  # tells equal rows apart
     if largest > DENSE * rows_per_range(spark):
         totals, group = _by_ranges(rows, spec, by, keep), by
     else:
         placed = by_group(halo(rows, width, back=reach), group, total)
         totals = _by_buckets(placed, spec, group, keep)
 
-    per_tick = totals.groupBy(*group, "us", "seq").agg(
+    per_tick = totals.groupBy(*group, "us", "seq", "_row").agg(
         F.expr("max(if(frame = 'own', price, null)) as price"),
         F.expr("max(if(frame = '300s', q, null)) as first_price"),
         *[
@@ -180,13 +191,13 @@ def _by_buckets(
 ) -> DataFrame:
     """Totals at the markers, each time bucket on its own: one shuffle and one sort."""
     marks = _marks(rows, spec, "home")
-    line = f"partition by {', '.join(_quoted(group))} order by at, kind, seq"
+    line = f"partition by {', '.join(_quoted(group))} order by at, kind, seq, _row"
     upto = f"over ({line} rows between unbounded preceding and current row)"
     before = f"over ({line} rows between unbounded preceding and 1 preceding)"
     following = f"lead(if(p is null, null, struct(p, us))) ignore nulls over ({line})"
     return _pairs(marks.selectExpr("*", f"{following} as next"), spec).selectExpr(
         *_quoted([*group, *[f"_keep_{k}" for k in keep]]),
-        "us", "seq", "home", "frame", "price", "q",
+        "us", "seq", "_row", "home", "frame", "price", "q",
         *[f"sum({e}) {upto} as {c}" for c, e in _TICKS.items()],
         *[f"coalesce(sum({e}) {before}, {_zero(c)}) as {c}" for c, e in _PAIRS.items()],
     ).where("home")
@@ -203,7 +214,7 @@ def _by_ranges(
     """
     marks = _marks(rows, spec, "true")
     points = range_points(rows, "us")
-    order = ["at", "kind", "seq"]
+    order = ["at", "kind", "seq", "_row"]
     tick = F.expr("if(p is null, null, struct(p, us))")
     marks = running(
         marks, by, order, {"next": ("last", tick)}, points, inclusive=False, reverse=True
@@ -215,7 +226,7 @@ def _by_ranges(
         running(pairs, by, order, ticks, points), by, order, before, points, inclusive=False
     )
     return totals.selectExpr(
-        *_quoted([*by, *[f"_keep_{k}" for k in keep]]), "us", "seq", "frame", "price", "q",
+        *_quoted([*by, *[f"_keep_{k}" for k in keep]]), "us", "seq", "_row", "frame", "price", "q",
         *_TICKS,
         *[f"coalesce({c}, {_zero(c)}) as {c}" for c in _PAIRS],
     )
@@ -229,12 +240,13 @@ def _features() -> list[str]:
     """The features from the totals of the short (s), mid (m) and long (l) frame."""
 
     def mean(total: str, count: str, default: str) -> str:
-        return f"coalesce(try_divide({total}, {count}), {default})"
+        remains = total.removesuffix("_sum") + "_rest"
+        return f"coalesce(try_divide({total} + {remains}, {count}), {default})"
 
     def deviation(kind: str) -> str:
         n = f"{kind}_valid"
         square = f"({kind}_rr + {kind}_rr_rest) / {n}"
-        average = f"{kind}_r / {n}"
+        average = f"({kind}_r + {kind}_r_rest) / {n}"
         return (
             f"if({n} > 1, sqrt(greatest({square} - {average} * {average}, 0D)), 0D)"
         )
@@ -246,14 +258,14 @@ def _features() -> list[str]:
         )
 
     values = {
-        "log_return_300s": ("l", "if(first_price > 0, ln(price / first_price), 0D)"),
+        "log_return_300s": ("l", "if(first_price > 0 and price > 0, ln(price / first_price), 0D)"),
         "spread_mean_300s": ("l", mean("l_spread_sum", "l_spread_n", "0D")),
         "trade_intensity_300s": ("l", "l_ticks"),
         "order_book_imbalance_300s": ("l", mean("l_book_sum", "l_book_n", "0.5D")),
         "spread_mean_60s": ("m", mean("m_spread_sum", "m_spread_n", "0D")),
         "order_book_imbalance_60s": ("m", mean("m_book_sum", "m_book_n", "0.5D")),
         "price_velocity_300s": (
-            "l", f"if(l_band_n > 0, l_band_dp / l_band_n, {mean('l_any_dp', 'l_any_n', '0D')})"
+            "l", f"if(l_band_n > 0, (l_band_dp + l_band_dp_rest) / l_band_n, {mean('l_any_dp', 'l_any_n', '0D')})"
         ),
         "realized_volatility_300s": ("l", volatility("l")),
         "order_book_imbalance_30s": ("s", mean("s_book_sum", "s_book_n", "0.5D")),

@@ -118,13 +118,14 @@ def _carry(line: DataFrame, found: DataFrame, by, direction: str, tie: str | Non
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """One row per key, the first in ``order``.
+    """One row per key, the first in ``order``; rows without a value there come last.
 
     An aggregate with a map-side half, so a key with very many copies is thinned out
     before the shuffle.
     """
     rest = [c for c in df.columns if c not in keys]
-    row = F.min_by(F.struct(*rest), F.col(order)).alias("_row")
+    first = F.struct(F.col(order).isNull(), F.col(order))
+    row = F.min_by(F.struct(*rest), first).alias("_row")
     return df.groupBy(*keys).agg(row).select(
         *[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns]
     )

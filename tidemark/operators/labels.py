@@ -59,6 +59,7 @@ def forward_volatility(
     spark = df.sparkSession
     cells = rows.select(*by, "us", F.floor(F.col("us") / width).alias("bucket"))
     total, largest = group_load(cells, [*by, "bucket"])
+    rows = rows.withColumn("_row", F.rand(7))  # tells equal rows apart
     if largest > DENSE * rows_per_range(spark):
         group, points = by, range_points(rows, "us")
         rows = rows.withColumn("home", F.lit(True))
@@ -68,7 +69,7 @@ def forward_volatility(
 
     end = f"us + {h}L"
     if g < h:
-        order = ["us", "seq"]
+        order = ["us", "seq", "_row"]
         rows = next_value(rows, group, order, "_later", "us", points)
         pause = F.expr(f"if(_later - us > {g}L, us, null)")
         rows = running(rows, group, order, {"_stop": ("last", pause)}, points, reverse=True)
@@ -81,11 +82,11 @@ def forward_volatility(
             if(home, named_struct('kind', 1, 'frame', 'from', 'at', us), null),
             if(home, named_struct('kind', 1, 'frame', 'to', 'at', {end}), null))))""",
     )
-    line = ["at", "kind", "seq"]
+    line = ["at", "kind", "seq", "_row"]
     own = "if(kind = 0, named_struct('price', price), null)"
     marks = next_value(marks, group, line, "next", own, points).selectExpr(
-        "*", "if(kind = 0, coalesce((next.price - price) / price, 0D), 0D) as x"
-    )
+        "*", "if(kind = 0, (next.price - price) / price, 0D) as ratio"
+    ).selectExpr("*", "if(abs(ratio) < double('infinity'), ratio, 0D) as x").drop("ratio")
     # Totals of the return and its square, each in parts that add up without rounding.
     parts = _parts("x")
     totals = running(
@@ -101,7 +102,7 @@ def forward_volatility(
         points,
     ).where("home")
 
-    sums = totals.groupBy(*group, "us", "seq").agg(
+    sums = totals.groupBy(*group, "us", "seq", "_row").agg(
         F.expr("max(if(frame = 'own', price, null)) as price"),
         *[
             F.expr(f"sum(case frame when 'to' then {c} when 'from' then -{c} end) as {c}")

@@ -22,33 +22,33 @@ def score_curve(
     label: str = "label",
     score: str = "score",
     by: Sequence[str] = (),
-    rounded: bool = True,
+    rounded: bool = False,
 ) -> DataFrame:
     """Positives and rows of each distinct score, and running counts from the top score.
 
-    ``rounded`` takes the scores in four places, as they are logged. There are at most
-    10,001 of them per key then, and the running count needs no range cut.
+    ``rounded`` takes the scores in four places, as they are logged.
     """
     groups = df.groupBy(*by, _score(score, rounded)).agg(
         F.sum(F.col(label).cast("bigint")).alias("pos"), F.count("*").alias("n")
     )
     groups = groups.withColumn("_down", -F.col("score"))
     values = {"cum_pos": ("sum", F.col("pos")), "cum_n": ("sum", F.col("n"))}
-    return running(groups, by, ["_down"], values, points=[] if rounded else None).drop("_down")
+    return running(groups, by, ["_down"], values).drop("_down")
 
 
 def _average_precision() -> Column:
-    part = F.sum(F.col("pos") * F.col("cum_pos") / F.col("cum_n"))
+    # Counts are multiplied as DOUBLE: their products do not fit into BIGINT.
+    part = F.sum(F.col("pos").cast("double") * F.col("cum_pos") / F.col("cum_n"))
     return F.coalesce(F.try_divide(part, F.sum("pos").cast("double")), F.lit(0.0))
 
 
 def _roc_auc() -> Column:
     """Share of (positive, negative) pairs in the right order, ties half."""
-    neg = F.col("n") - F.col("pos")
+    pos, neg = F.col("pos").cast("double"), (F.col("n") - F.col("pos")).cast("double")
     cum_neg = F.col("cum_n") - F.col("cum_pos")
-    p, n = F.sum("pos").cast("double"), F.sum(neg).cast("double")
-    above = F.sum((F.col("pos") * (cum_neg - neg)).cast("double"))
-    equal = F.sum((F.col("pos") * neg).cast("double"))
+    p, n = F.sum("pos").cast("double"), F.sum(F.col("n") - F.col("pos")).cast("double")
+    above = F.sum(pos * (cum_neg - neg))
+    equal = F.sum(pos * neg)
     return F.coalesce(1 - F.try_divide(above + equal / 2, p * n), F.lit(0.0))
 
 
@@ -103,7 +103,7 @@ def classification_metrics(
     label: str = "label",
     score: str = "score",
     prediction: str = "prediction",
-    rounded: bool = True,
+    rounded: bool = False,
 ) -> DataFrame:
     """All metrics of each key from one grouping by score."""
     y, p = F.col(label) == 1, F.col(prediction) == 1
@@ -114,7 +114,7 @@ def classification_metrics(
         F.count_if(p).alias("predicted"),
     ).withColumn("_down", -F.col("score"))
     values = {"cum_pos": ("sum", F.col("pos")), "cum_n": ("sum", F.col("n"))}
-    curve = running(groups, by, ["_down"], values, points=[] if rounded else None)
+    curve = running(groups, by, ["_down"], values)
     tp, predicted, pos, n = (F.sum(c) for c in ("tp", "predicted", "pos", "n"))
     counts = curve.groupBy(*by).agg(
         _average_precision().alias("pr_auc"),

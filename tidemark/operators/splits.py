@@ -11,15 +11,20 @@ from pyspark.sql import functions as F
 from tidemark.operators.ranges import cut_keys, order_statistics
 
 
+def _minutes(minutes: float) -> Column:
+    """An interval to the microsecond; fractions of a minute count."""
+    return F.make_dt_interval(secs=F.lit(f"{minutes * 60:.6f}").cast("decimal(18,6)"))
+
+
 def time_slice(
     df: DataFrame, now: Column, hours: float | None, buffer_minutes: float = 0, ts: str = "ts"
 ) -> DataFrame:
     """Rows with now - hours <= ts <= now - buffer; without ``hours`` all up to the buffer."""
-    newest = now - F.make_dt_interval(mins=F.lit(int(buffer_minutes)))
+    newest = now - _minutes(buffer_minutes)
     df = df.where(F.col(ts) <= newest)
     if hours is None:
         return df
-    return df.where(F.col(ts) >= now - F.make_dt_interval(mins=F.lit(int(hours * 60))))
+    return df.where(F.col(ts) >= now - _minutes(hours * 60))
 
 
 def pair_filter(df: DataFrame, pairs: Sequence[str]) -> DataFrame:

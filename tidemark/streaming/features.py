@@ -2,8 +2,9 @@
 
 Row windows do not run on an unbounded table. Each micro-batch therefore takes the stored
 ticks its frames reach back to, runs the batch operator on both, and keeps its own rows.
-For ticks that come in order the result equals the batch result; a late tick gets features
-itself but does not change what has been written before.
+For ticks that come in order the result equals the batch result; a late tick gets its own
+features and label but does not change what has been written before. However old a late tick
+is, only the stored days around it are read.
 """
 
 from __future__ import annotations
@@ -16,7 +17,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.features import SECOND, FrameSpec, tick_features
 from tidemark.operators.labels import spike_label
-from tidemark.streaming.tables import newest_event, read_before, read_own, write_batch
+from tidemark.streaming.tables import (
+    joined_spans,
+    newest_event,
+    own_spans,
+    read_before,
+    read_own,
+    write_batch,
+)
 
 TICK_COLUMNS = ["product_id", "us", "seq", "price", "best_bid", "best_ask", "bid_qty", "ask_qty"]
 
@@ -36,10 +44,10 @@ def feature_batch(
         ticks = batch.select(*TICK_COLUMNS)
         write_batch(ticks, ticks_path, number)
         own = read_own(spark, ticks_path, ticks.schema, number)
-        first, last = own.agg(F.min("us"), F.max("us")).first()
-        if first is None:
+        spans = own_spans(own, back=reach)
+        if not spans:
             return
-        past = read_before(spark, ticks_path, ticks.schema, number, first - reach, last)
+        past = read_before(spark, ticks_path, ticks.schema, number, spans)
         both = own.withColumn("_new", F.lit(True)).unionByName(past.withColumn("_new", F.lit(False)))
         out = tick_features(both, spec, keep=["_new"]).where("_new").drop("_new")
         write_batch(out, out_path, number)
@@ -55,8 +63,8 @@ def label_batch(
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that labels rows once their horizon has passed.
 
-    A row at t is labelled by the batch that first sees an event later than t + horizon.
-    The threshold is a stored one. ``progress_path`` keeps the newest event time per batch.
+    A row at t is labelled by the batch that first sees an event later than t + horizon; a row that
+    arrives later than that is labelled by its own batch. The threshold is a stored one. ``progress_path`` keeps the newest event time per batch.
     """
     h = int(horizon * SECOND)
 
@@ -65,15 +73,18 @@ def label_batch(
         rows = batch.select("product_id", "us", "seq", "price")
         write_batch(rows, rows_path, number)
         own = read_own(spark, rows_path, rows.schema, number)
-        first, last = own.agg(F.min("us"), F.max("us")).first()
-        before, now = newest_event(spark, progress_path, number, last)
+        spans = own_spans(own, ahead=h)
+        before, now = newest_event(spark, progress_path, number, own.agg(F.max("us")).first()[0])
         if now is None:
             return
-        since = first if before is None else before - h
-        recent = read_before(spark, rows_path, rows.schema, number + 1, since, now)
-        labeled = spike_label(recent, horizon, gap, threshold=threshold)
-        ready = (F.col("us") >= since) & (F.col("us") < now - h)
-        write_batch(labeled.where(ready), out_path, number)
+        # Rows that waited for their horizon are at most that old; late ones come with this batch.
+        waited = [] if before is None else [(before - h, before)]
+        past = read_before(spark, rows_path, rows.schema, number, joined_spans(waited + spans))
+        both = own.withColumn("_new", F.lit(True)).unionByName(past.withColumn("_new", F.lit(False)))
+        labeled = spike_label(both, horizon, gap, threshold=threshold, keep=["_new"])
+        due = F.lit(False) if before is None else F.col("us") >= before - h
+        ready = (F.col("us") < now - h) & (F.col("_new") | due)
+        write_batch(labeled.where(ready).drop("_new"), out_path, number)
 
     return run
 

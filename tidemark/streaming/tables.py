@@ -37,20 +37,41 @@ def read_own(spark: SparkSession, path: str, schema: T.StructType, batch: int) -
         return spark.createDataFrame([], schema)
 
 
+def own_spans(own: DataFrame, back: int = 0, ahead: int = 0) -> list[tuple[int, int]]:
+    """The stretches of time around the rows of a batch, one for each day it has rows of."""
+    day = F.floor(F.col("us") / DAY).alias("day")
+    rows = own.where("us is not null").groupBy(day).agg(F.min("us"), F.max("us")).collect()
+    return joined_spans([(r[1] - back, r[2] + ahead) for r in rows])
+
+
+def joined_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Stretches in order, overlapping ones put together."""
+    out: list[tuple[int, int]] = []
+    for begin, end in sorted(spans):
+        if out and begin <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((begin, end))
+    return out
+
+
 def read_before(
-    spark: SparkSession, path: str, schema: T.StructType, batch: int, from_us: int, to_us: int
+    spark: SparkSession, path: str, schema: T.StructType, batch: int, spans: list[tuple[int, int]]
 ) -> DataFrame:
-    """Rows of earlier batches between two times. Only the folders of those days are listed."""
+    """Rows of earlier batches within any of ``spans``. Only the folders of those days are listed."""
     full = T.StructType(
         [*schema.fields, T.StructField("day", T.IntegerType()), T.StructField("batch", T.LongType())]
     )
-    days = ",".join(str(d) for d in range(from_us // DAY, to_us // DAY + 1))
+    days = sorted({d for begin, end in spans for d in range(begin // DAY, end // DAY + 1)})
     try:
-        rows = spark.read.schema(full).option("basePath", path).parquet(f"{path}/day={{{days}}}")
+        some = ",".join(map(str, days))
+        rows = spark.read.schema(full).option("basePath", path).parquet(f"{path}/day={{{some}}}")
     except AnalysisException:
         rows = spark.createDataFrame([], full)
-    wanted = F.col("us").between(from_us, to_us) & (F.col("batch") < batch)
-    return rows.where(wanted).drop("day", "batch")
+    wanted = F.lit(False)
+    for begin, end in spans:
+        wanted = wanted | F.col("us").between(begin, end)
+    return rows.where(wanted & (F.col("batch") < batch)).drop("day", "batch")
 
 
 def newest_event(spark: SparkSession, path: str, batch: int, own: int | None) -> tuple:
