@@ -26,6 +26,7 @@ GOAL = 0.97  # share of the sample's neighbours that must be found
 SAMPLE_QUERIES = 64
 SAMPLE_ROWS = 4_000  # rows that the cost of a setting is estimated on
 BLOCK = 2_048
+HELD = 500_000  # findings that a task holds before it passes them on
 TABLES, HASHES, PROBES = (1, 2, 4, 8), (1, 2, 3, 4, 6, 8, 10, 12), (1, 2, 4, 8, 16, 32, 64, 128)
 WIDTHS = (0.5, 1.0, 2.0)
 
@@ -205,23 +206,46 @@ def _batch(out: list, names: str) -> pa.RecordBatch:
     )
 
 
+def _none() -> tuple:
+    return np.zeros(0, "int64"), np.zeros(0, "int64"), np.zeros(0)
+
+
+def _found(best: tuple) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in best], names=["query_id", "vec_id", "score"])
+
+
+def _best(found: list[tuple], k: int) -> tuple:
+    """The k nearest of each query among what several meetings found, each pair once."""
+    asked, ids, far = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((ids, far, asked))
+    asked, ids, far = asked[order], ids[order], far[order]
+    new = np.ones(len(asked), bool)
+    new[1:] = (asked[1:] != asked[:-1]) | (ids[1:] != ids[:-1]) | (far[1:] != far[:-1])
+    asked, ids, far = asked[new], ids[new], far[new]
+    first = np.arange(len(asked)) - np.searchsorted(asked, asked) < k
+    return asked[first], ids[first], far[first]
+
+
 def _meet(queries: DataFrame, rows: DataFrame, hashes: Hashes, probes: int, k: int) -> DataFrame:
-    """(query_id, vec_id, score): per meeting of blocks the k nearest of each query."""
+    """The k nearest of each query; a task thins out its findings before they are shuffled."""
 
     def run(batches):
+        found, held = [_none()], 0
         for batch in batches:
-            for q_ids, q_vs, r_ids, r_vs in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                asked, ids = np.frombuffer(q_ids, "int64"), np.frombuffer(r_ids, "int64")
-                qs, own = (np.frombuffer(x).reshape(n, -1) for x, n in ((q_vs, len(asked)), (r_vs, len(ids))))
-                found = [_nearest(q, a, ids, own, k) for q, a in zip(qs, asked, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.repeat(asked, [len(f[0]) for f in found])),
-                        pa.array(np.concatenate([f[0] for f in found])),
-                        pa.array(np.concatenate([f[1] for f in found])),
-                    ],
-                    names=["query_id", "vec_id", "score"],
-                )
+            for q_ids, q_vs, r_ids, r_vs in zip(*(batch.column(i) for i in range(4)), strict=True):
+                asked, ids = np.frombuffer(q_ids.as_py(), "int64"), np.frombuffer(r_ids.as_py(), "int64")
+                qs, own = (np.frombuffer(x.as_py()).reshape(n, -1) for x, n in ((q_vs, len(asked)), (r_vs, len(ids))))
+                for q, a in zip(qs, asked, strict=True):
+                    near, far = _nearest(q, a, ids, own, k)
+                    found.append((np.full(len(near), a), near, far))
+                    held += len(near)
+                if held > HELD:
+                    best = _best(found, k)
+                    found, held = [best], len(best[0])
+                    if held > HELD // 2:
+                        yield _found(best)
+                        found, held = [_none()], 0
+        yield _found(_best(found, k))
 
     pairs = _blocks(queries, hashes, probes, "q").join(_blocks(rows, hashes, 0, "r"), ["t", "key"])
     found = pairs.select("q_ids", "q_vs", "r_ids", "r_vs").mapInArrow(run, "query_id long, vec_id long, score double")
