@@ -16,7 +16,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import arrow_map, fold
@@ -109,14 +109,25 @@ def train(texts: list[str | None], labels: list[int], seed: int = 0) -> Model:
     return Model(vectors, output, bias)
 
 
-def sample(rows: DataFrame, text: str = "text", id_: str = "doc_id",
-           limit: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> DataFrame:
-    """About ``limit`` rows and ``chars`` characters, picked by a hash of the id."""
-    size = rows.agg(F.count("*"), F.sum(F.length(text))).first()
-    share = min(1.0, limit / max(1, size[0]), chars / max(1, size[1] or 1))
-    if share == 1.0:
-        return rows
-    return rows.where(F.pmod(F.xxhash64(F.col(id_)), F.lit(1 << 30)) < int(share * (1 << 30)))
+def share_of(column: str, share: float, seed: int = 0) -> Column:
+    """Whether a hash of ``column`` falls into the first ``share`` of its range."""
+    return F.pmod(F.xxhash64(F.col(column), F.lit(seed)), F.lit(1 << 30)) < int(min(1.0, share) * (1 << 30))
+
+
+def sample(docs: DataFrame, known: DataFrame, limit: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> list:
+    """(doc_id, text, label) of about ``limit`` labelled rows and ``chars`` characters.
+
+    ``known`` has doc_id and label. The ids are picked first, by their hash; they are as few as
+    ``limit`` says, so they are broadcast and no text is shuffled.
+    """
+    share = limit / max(1, known.count())
+    picked = F.broadcast(known.where(share_of("doc_id", share)))
+    rows = docs.select("doc_id", "text").join(picked, "doc_id")
+    size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    if size > chars:
+        rows = rows.where(share_of("doc_id", share * chars / size))
+    found = rows.select("doc_id", "text", "label").collect()
+    return sorted(((r[0], r[1] or "", r[2]) for r in found), key=lambda r: (str(r[0]), r[1], r[2]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", mod: int = 5, held: int = 0) -> Model:
@@ -128,9 +139,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", mod: int = 5
     known = labels.where(F.col(label).isin(0, 1) & (fold("doc_id", mod) != held)).select(
         "doc_id", F.col(label).cast("int").alias("label")
     )
-    rows = sample(docs.select("doc_id", "text").join(known, "doc_id"))
-    rows = sorted(rows.select("doc_id", "label", "text").collect(), key=lambda r: (r[0], r[1], r[2] or ""))
-    return train([r[2] for r in rows], [r[1] for r in rows])
+    rows = sample(docs, known)
+    return train([r[1] for r in rows], [r[2] for r in rows])
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

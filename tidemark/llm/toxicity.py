@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import arrow_map, fold
-from tidemark.llm.quality import sample
+from tidemark.llm.quality import sample, share_of
 
 SAMPLE_ROWS, SAMPLE_CHARS = 4_000, 8_000_000  # labelled rows; a third as many unlabelled ones
 LEARNED = 80  # words in the learned lists
@@ -174,11 +174,11 @@ def fit(docs: DataFrame, labels: DataFrame, mod: int = 3, held: int = 1) -> Mode
     """Train outside the held-out fold; at most about ``SAMPLE_ROWS`` * 4 / 3 texts reach the driver."""
     known = labels.where(F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("label"))
     texts = docs.where(fold("doc_id", mod) != held).select("doc_id", "text")
-    taught = sample(texts.join(known, "doc_id"), limit=SAMPLE_ROWS, chars=SAMPLE_CHARS)
-    free = sample(texts.join(labels, "doc_id", "left_anti"), limit=SAMPLE_ROWS // 3, chars=SAMPLE_CHARS // 3)
-    rows = [(r[0], r[1] or "", r[2]) for r in taught.select("doc_id", "text", "label").collect()]
-    rows += [(r[0], r[1] or "", -1) for r in free.select("doc_id", "text").collect()]
-    rows.sort()
+    rows = sample(texts, known, SAMPLE_ROWS, SAMPLE_CHARS)
+    count, size = texts.agg(F.count("*"), F.sum(F.length("text"))).first()
+    share = min(SAMPLE_ROWS / 3 / max(1, count), SAMPLE_CHARS / 3 / max(1, size or 1))
+    free = texts.where(share_of("doc_id", share, 1)).join(labels.select("doc_id").distinct(), "doc_id", "left_anti")
+    rows += sorted(((r[0], r[1] or "", -1) for r in free.collect()), key=lambda r: (str(r[0]), r[1]))
     return train([r[1] for r in rows], [r[2] for r in rows])
 
 
