@@ -28,7 +28,7 @@ from tidemark.session import materialize
 
 SHINGLE = 3
 PERCENT = 90
-BITS = (16, 21)  # the frequency table has 2**BITS counters, more for more rows
+BITS = 20  # the frequency table has 2**BITS counters
 
 
 def _sets(texts: pa.Array, n: int, known: WordHashes):
@@ -62,9 +62,7 @@ def _frequencies(docs: DataFrame, n: int, bits: int) -> np.ndarray:
 
 def listed(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """doc_id, n, key (of the set, NULL if empty), tokens: the set's first shingles in order."""
-    rows = docs.count()
-    bits = min(BITS[1], max(BITS[0], int(rows).bit_length() + 2))
-    often, known, shift = _frequencies(docs, n, bits), WordHashes(), np.uint64(64 - bits)
+    often, known, shift = _frequencies(docs, n, BITS), WordHashes(), np.uint64(64 - BITS)
 
     def run(batch: pa.RecordBatch):
         sizes, keys, tokens = [], [], []
