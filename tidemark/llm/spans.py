@@ -104,12 +104,14 @@ def texts_of(docs: DataFrame, *others: str) -> DataFrame:
     return rows.where("th is not null")
 
 
-def repeated(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def repeated(texts: DataFrame, window: int = WINDOW, gram: int = GRAM, sources: bool = True) -> DataFrame:
     """doc_id, th, spans of the ``texts`` that hold spans which start in an earlier document too.
 
     A span is (at, n, source, source_at): place, windows, and source coordinates, counted in words
     from 0. Paths are found by comparing, for neighbours in the source, the sets of all places of
-    both edges (as counts and as combined hashes): they must be the same, one word apart.
+    both edges: they must be the same, one word apart. A set is held as the sum of its places'
+    hashes (32 bits, as only neighbours in one source are compared). Without ``sources`` a span is
+    (at, n) only.
     """
     # Both readers of an exchange ask for the same columns, not null, so that it is made once.
     marks = _marks(texts, window, gram).where("fp is not null and doc_id is not null and th is not null").repartition("fp")
@@ -118,21 +120,24 @@ def repeated(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFr
     of = marks.join(twice.hint("shuffle_hash"), "fp").groupBy("doc_id", "th").agg(F.collect_list("fp").alias("fps"))
     edges = _edges(texts.join(of, ["doc_id", "th"]), window, gram)
     edges = edges.where("h is not null and doc_id is not null and shiftright(at, 32) is not null").repartition("h")
+    low = F.lit((1 << 32) - 1)
+
+    def together(at):
+        return F.sum(F.xxhash64("doc_id", at).bitwiseAND(low)).bitwiseAND(low)
+
     graph = (
         edges.groupBy("h")
         .agg(
-            F.count("*").alias("n"), F.max("doc_id").alias("hi"), F.min(F.struct("doc_id", "at")).alias("first"),
-            F.bit_xor(F.xxhash64("doc_id", "at")).alias("places"),
-            F.bit_xor(F.xxhash64("doc_id", F.col("at") + 1)).alias("next_places"),
+            F.max("doc_id").alias("hi"), F.min(F.struct("doc_id", "at")).alias("first"),
+            F.shiftleft(together(F.col("at")), 32).bitwiseOR(together(F.col("at") + 1)).alias("places"),
         )
         .where("first.doc_id < hi")
-        .select("h", "n", F.col("first.doc_id").alias("source"), F.col("first.at").alias("source_at"), "places", "next_places")
+        .select("h", F.col("first.doc_id").alias("source"), F.col("first.at").alias("source_at"), "places")
     )
     along = Window.partitionBy("source").orderBy("source_at")
     runs_on = (
         (F.lag("source_at").over(along) == F.col("source_at") - 1)
-        & (F.lag("n").over(along) == F.col("n"))
-        & (F.lag("next_places").over(along) == F.col("places"))
+        & (F.lag("places").over(along).bitwiseAND(low) == F.shiftrightunsigned("places", 32))
     )
     paths = (
         graph.withColumn("path", F.coalesce((~runs_on).cast("int"), F.lit(1)))
@@ -142,12 +147,10 @@ def repeated(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFr
         .select("source", "n", F.col("head.source_at").alias("source_at"), F.col("head.h").alias("h"))
     )
     found = edges.join(paths.hint("shuffle_hash"), "h").where("source < doc_id")
-    place = F.lit((1 << 32) - 1)
-    return found.groupBy("doc_id", F.shiftright("at", 32).alias("th")).agg(
-        F.collect_list(
-            F.struct(F.col("at").bitwiseAND(place).alias("at"), "n", "source", F.col("source_at").bitwiseAND(place).alias("source_at"))
-        ).alias("spans")
-    )
+    span = [F.col("at").bitwiseAND(low).alias("at"), F.col("n")]
+    if sources:
+        span += [F.col("source"), F.col("source_at").bitwiseAND(low).alias("source_at")]
+    return found.groupBy("doc_id", F.shiftright("at", 32).alias("th")).agg(F.collect_list(F.struct(*span)).alias("spans"))
 
 
 def _cut(text: str | None, spans: list | None, window: int) -> tuple[int, list[bytes]]:
@@ -181,7 +184,7 @@ def removal(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string"
     texts = texts_of(docs)
-    spans = repeated(texts, window, gram)
+    spans = repeated(texts, window, gram, sources=False)
     rows = texts.join(spans, ["doc_id", "th"], "left").select("doc_id", "text", "spans")
     alone = docs.where("doc_id is null").select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
     return rows.mapInArrow(run, schema).unionByName(alone.mapInArrow(run, schema))
@@ -196,7 +199,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     others = [c for c in names if c not in ("doc_id", "text")]
     texts = texts_of(docs, *others)
     (cut,) = fresh(docs, "cut_spans")
-    joined = texts.join(repeated(texts, window, gram).withColumnRenamed("spans", cut), ["doc_id", "th"], "left")
+    joined = texts.join(repeated(texts, window, gram, sources=False).withColumnRenamed("spans", cut), ["doc_id", "th"], "left")
     own = [F.col(c) if c in ("doc_id", "text") else F.col(f"rest.`{c}`") for c in names]
     at = names.index("text")
 
