@@ -3,10 +3,13 @@
 A page is cut into blocks at the tags that start a new line; script, style and other unseen
 content is left out, and character references are decoded. Each block is described by its
 number of words and its link density, those of the blocks before and after it, and the boxes it
-stands in: one that is marked as page furniture (by tag, role, class or id), one that is marked as
-the main part, and whether it stands outside the main part of a page that has one. A decision tree, grown on a small
-labelled table, then keeps or drops each block. One map over the pages; a page's work grows
-with its length only, and open boxes are kept as counts, so deep nesting costs nothing.
+stands in: how plainly one is marked as page furniture (2 by tag, role or a class or id of its own, 1 by a form
+or a word within a longer name, as in "with-sidebar"), one that is marked as the main part, and whether
+it stands outside the main part of a page that has one. A main part inside a box of 1 is free of
+that mark; one inside a box of 2 is none. A decision tree, grown on a small labelled table, then keeps or
+drops each block: marks are columns among others, and where a page marks no main part, words
+and neighbours decide. One map over the pages; a page's work grows with its length only, and
+open boxes are kept as counts, so deep nesting costs nothing.
 """
 
 from __future__ import annotations
@@ -42,34 +45,42 @@ _TOKEN = re.compile(
 )
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role|aria-label|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _SPLIT = re.compile(r"[^a-z]+")
+MAIN, HIDE = 3, 4
 
 
 def _box(tag: str, attributes: str) -> int:
-    """1 for furniture, 2 for the main part, 3 for hidden content, 0 else."""
+    """1 or 2 for furniture (perhaps, plainly), ``MAIN``, ``HIDE`` for hidden content, 0 else."""
     if tag in HIDDEN:
-        return 3
+        return HIDE
     if tag in FURNITURE_TAGS or tag == "header":
-        return 1
+        return 1 if tag == "form" else 2
+    mark = 0
     if attributes:
         for name, value in _NAMES.findall(attributes):
             name, value = name.lower(), value.strip("\"' ").lower()
             if name == "hidden" or (name == "style" and "display:none" in value.replace(" ", "")):
-                return 3
+                return HIDE
             if name == "aria-hidden" and value == "true":
-                return 3
-            if name in ("class", "id", "role") and not FURNITURE_WORDS.isdisjoint(_SPLIT.split(value)):
-                return 2 if tag in MAIN_TAGS or tag in ("body", "html") else 1
+                return HIDE
             if name == "role" and value == "main":
-                return 2
-    return 2 if tag in MAIN_TAGS else 0
+                return MAIN
+            if name in ("class", "id", "role"):
+                if not FURNITURE_WORDS.isdisjoint(value.split()):
+                    mark = 2
+                elif not mark and not FURNITURE_WORDS.isdisjoint(_SPLIT.split(value)):
+                    mark = 1
+    if tag in MAIN_TAGS:
+        return MAIN
+    return 0 if tag in ("body", "html") else mark
 
 
-def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
-    """(text, words, words in links, in furniture, in the main part) of each block in page order."""
+def blocks(page: str) -> list[tuple[str, int, int, int, bool]]:
+    """(text, words, words in links, furniture mark, in the main part) of each block in page order."""
     out = []
     parts: list[str] = []
     links: list[str] = []
-    counts = [0, 0, 0, 0]
+    counts = [0, 0, 0, 0, 0]
+    around = 0  # boxes of 1 that hold the outermost main part
     opened: list[tuple[str, int]] = []
     depth: dict[str, int] = {}
     anchor = 0
@@ -80,14 +91,15 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
                 linked = len(entities.unescape(" ".join(links)).split())
-                out.append((text, len(text.split()), linked, counts[1] > 0, counts[2] > 0))
+                mark = 2 if counts[2] else int(counts[1] > (around if counts[MAIN] else 0))
+                out.append((text, len(text.split()), linked, mark, counts[MAIN] > 0))
             parts.clear()
             links.clear()
 
     while at < size:
         found = _TOKEN.search(page, at)
         text = page[at : found.start()] if found else page[at:]
-        if text and not counts[3]:
+        if text and not counts[HIDE]:
             parts.append(text)
             if anchor:
                 links.append(text)
@@ -121,6 +133,11 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
             depth[name] -= 1
             counts[box] -= 1
         box = _box(tag, found[3].rstrip("/"))
+        if box == MAIN and not counts[MAIN]:
+            if counts[2]:
+                box = 0
+            else:
+                around = counts[1]
         opened.append((tag, box))
         depth[tag] = depth.get(tag, 0) + 1
         counts[box] += 1
@@ -134,13 +151,13 @@ def _end(page: str, tag: str, at: int) -> int:
 
 
 # The labelled table, one block a row: words, link density, those of the block before and of
-# the block after, in furniture, in the main part, outside the main part of a page that has
+# the block after, furniture mark, in the main part, outside the main part of a page that has
 # one; 1 = main text.
 TABLE = [
-    (1, 1.0, 0, 0.0, 1, 1.0, 1, 0, 1, 0), (1, 1.0, 1, 1.0, 8, 0.0, 1, 0, 1, 0), (8, 0.0, 1, 1.0, 9, 0.0, 1, 0, 1, 0),
-    (30, 0.0, 6, 0.5, 12, 0.0, 1, 0, 1, 0), (12, 0.0, 40, 0.0, 0, 0.0, 1, 0, 1, 0), (25, 0.1, 80, 0.0, 30, 0.1, 1, 1, 0, 0),
-    (60, 0.0, 90, 0.0, 40, 0.0, 1, 1, 0, 0), (3, 0.6, 50, 0.0, 80, 0.0, 1, 1, 0, 0), (1, 0.0, 30, 0.0, 60, 0.0, 1, 1, 0, 0),
-    (5, 0.0, 9, 0.0, 2, 0.0, 1, 1, 0, 0), (40, 0.0, 0, 0.0, 0, 0.0, 1, 1, 0, 0), (18, 0.0, 3, 0.0, 0, 0.0, 1, 1, 0, 0),
+    (1, 1.0, 0, 0.0, 1, 1.0, 2, 0, 1, 0), (1, 1.0, 1, 1.0, 8, 0.0, 2, 0, 1, 0), (8, 0.0, 1, 1.0, 9, 0.0, 2, 0, 1, 0),
+    (30, 0.0, 6, 0.5, 12, 0.0, 2, 0, 1, 0), (12, 0.0, 40, 0.0, 0, 0.0, 2, 0, 1, 0), (25, 0.1, 80, 0.0, 30, 0.1, 2, 1, 0, 0),
+    (60, 0.0, 90, 0.0, 40, 0.0, 2, 1, 0, 0), (3, 0.6, 50, 0.0, 80, 0.0, 2, 1, 0, 0), (1, 0.0, 30, 0.0, 60, 0.0, 2, 1, 0, 0),
+    (5, 0.0, 9, 0.0, 2, 0.0, 2, 1, 0, 0), (40, 0.0, 0, 0.0, 0, 0.0, 2, 1, 0, 0), (18, 0.0, 3, 0.0, 0, 0.0, 2, 1, 0, 0),
     (9, 0.0, 9, 0.0, 60, 0.0, 0, 1, 0, 1), (60, 0.0, 9, 0.0, 90, 0.0, 0, 1, 0, 1), (1, 0.0, 60, 0.0, 40, 0.0, 0, 1, 0, 1),
     (40, 0.05, 1, 0.0, 5, 0.0, 0, 1, 0, 1), (5, 0.0, 40, 0.0, 12, 0.1, 0, 1, 0, 1), (2, 1.0, 40, 0.0, 30, 0.0, 0, 1, 0, 1),
     (6, 0.9, 80, 0.0, 70, 0.1, 0, 1, 0, 1), (1, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1), (2, 0.0, 1, 1.0, 1, 0.0, 0, 1, 0, 1),
@@ -155,10 +172,52 @@ TABLE = [
     (5, 0.9, 2, 1.0, 40, 0.0, 0, 0, 0, 0), (14, 0.8, 30, 0.9, 20, 0.7, 0, 0, 0, 0), (3, 1.0, 50, 0.0, 2, 1.0, 0, 0, 0, 0),
     (1, 1.0, 0, 0.0, 60, 0.0, 0, 0, 0, 0), (9, 1.0, 16, 0.0, 0, 0.0, 0, 0, 0, 0), (16, 0.0, 0, 0.0, 1, 1.0, 0, 0, 0, 1),
     (2, 0.0, 40, 0.0, 0, 0.0, 0, 0, 0, 1), (1, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1), (30, 0.7, 4, 1.0, 3, 1.0, 0, 0, 0, 0),
+    (9, 0.0, 6, 1.0, 4, 0.0, 0, 0, 0, 0), (12, 0.0, 4, 1.0, 7, 0.0, 0, 0, 0, 0), (6, 0.0, 2, 1.0, 0, 0.0, 0, 0, 0, 0),
+    (8, 0.0, 12, 1.0, 0, 0.0, 0, 0, 0, 0), (3, 0.0, 1, 1.0, 2, 1.0, 0, 0, 0, 0), (22, 0.0, 1, 1.0, 2, 1.0, 0, 0, 0, 0),
+    (14, 0.1, 8, 0.9, 3, 0.0, 0, 0, 0, 0), (30, 0.0, 1, 1.0, 1, 1.0, 0, 0, 0, 0), (5, 0.0, 3, 0.0, 2, 0.0, 0, 0, 0, 0),
+    (9, 0.0, 2, 0.0, 3, 0.0, 0, 0, 0, 0), (2, 0.0, 1, 0.0, 8, 0.0, 0, 0, 0, 0), (10, 0.0, 2, 0.0, 1, 1.0, 0, 0, 0, 0),
+    (6, 0.0, 2, 0.0, 0, 0.0, 0, 0, 0, 0), (7, 0.0, 3, 0.0, 5, 0.0, 0, 0, 0, 0), (13, 0.0, 3, 0.0, 2, 0.0, 0, 0, 0, 0),
+    (4, 0.0, 0, 0.0, 3, 1.0, 0, 0, 0, 0), (10, 0.0, 0, 0.0, 1, 1.0, 0, 0, 0, 0), (8, 0.0, 0, 0.0, 6, 0.0, 0, 0, 0, 0),
+    (2, 0.0, 9, 0.0, 3, 0.0, 0, 0, 0, 0), (6, 0.0, 8, 0.0, 2, 0.0, 0, 0, 0, 0), (90, 0.0, 2, 1.0, 2, 1.0, 0, 0, 0, 1),
+    (60, 0.05, 1, 1.0, 1, 1.0, 0, 0, 0, 1), (48, 0.0, 6, 1.0, 3, 1.0, 0, 0, 0, 1), (7, 0.0, 2, 1.0, 45, 0.0, 0, 0, 0, 1),
+    (5, 0.0, 6, 1.0, 25, 0.0, 0, 0, 0, 1), (30, 0.0, 5, 0.0, 35, 0.0, 0, 0, 0, 1), (22, 0.0, 30, 0.0, 2, 1.0, 0, 0, 0, 1),
+    (18, 0.0, 25, 0.0, 20, 0.0, 0, 0, 0, 1), (40, 0.1, 20, 0.0, 3, 0.0, 0, 0, 0, 1), (8, 0.0, 30, 0.0, 6, 0.0, 0, 0, 0, 1),
+    (14, 0.0, 1, 1.0, 30, 0.0, 0, 0, 0, 1), (20, 0.0, 3, 0.0, 4, 0.0, 0, 0, 0, 1), (35, 0.1, 2, 0.0, 0, 0.0, 0, 0, 0, 1),
+    (10, 0.0, 16, 0.0, 12, 0.0, 0, 0, 0, 1), (4, 0.0, 0, 0.0, 40, 0.0, 0, 0, 0, 1), (12, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1),
+    (5, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1), (60, 0.0, 50, 0.0, 70, 0.0, 1, 0, 0, 1), (45, 0.0, 6, 0.0, 50, 0.0, 1, 0, 0, 1),
+    (35, 0.05, 40, 0.0, 30, 0.0, 1, 0, 0, 1), (30, 0.0, 40, 0.0, 1, 1.0, 1, 0, 0, 1),
+    (8, 0.0, 45, 0.0, 50, 0.0, 1, 0, 0, 1), (5, 0.0, 2, 1.0, 60, 0.0, 1, 0, 0, 1), (4, 0.0, 1, 1.0, 2, 1.0, 1, 0, 0, 0),
+    (10, 0.0, 3, 1.0, 4, 0.0, 1, 0, 0, 0), (2, 0.0, 5, 0.0, 3, 0.0, 1, 0, 0, 0), (3, 1.0, 2, 1.0, 40, 0.0, 1, 0, 0, 0),
+    (12, 0.0, 2, 0.0, 3, 0.0, 1, 0, 0, 0), (8, 0.0, 4, 1.0, 0, 0.0, 1, 0, 0, 0), (20, 0.0, 1, 1.0, 2, 1.0, 1, 0, 0, 0),
+    (70, 0.0, 60, 0.0, 80, 0.0, 2, 0, 0, 1), (55, 0.0, 45, 0.0, 50, 0.0, 2, 0, 0, 1),
+    (50, 0.05, 60, 0.0, 42, 0.0, 2, 0, 0, 1), (90, 0.0, 6, 0.0, 80, 0.0, 2, 0, 0, 1),
+    (60, 0.0, 70, 0.0, 2, 1.0, 2, 0, 0, 1), (4, 0.0, 1, 1.0, 2, 1.0, 2, 0, 0, 0), (12, 0.0, 3, 0.0, 2, 0.0, 2, 0, 0, 0),
+    (25, 0.0, 2, 0.0, 3, 0.0, 2, 0, 0, 0), (9, 0.0, 0, 0.0, 5, 0.0, 2, 0, 0, 0), (30, 0.0, 4, 1.0, 2, 0.0, 2, 0, 0, 0),
+    (2, 1.0, 1, 1.0, 3, 1.0, 2, 0, 0, 0), (8, 0.0, 2, 1.0, 60, 0.0, 2, 0, 0, 0), (20, 0.0, 60, 0.0, 0, 0.0, 2, 0, 0, 0),
+    (15, 0.0, 12, 0.0, 18, 0.0, 2, 0, 0, 0), (6, 0.0, 50, 0.0, 50, 0.0, 2, 0, 0, 0),
+    (60, 0.0, 50, 0.0, 70, 0.0, 1, 1, 0, 1), (45, 0.0, 6, 0.0, 50, 0.0, 1, 1, 0, 1), (40, 0.0, 40, 0.0, 2, 1.0, 1, 1, 0, 1),
+    (7, 0.0, 3, 0.0, 50, 0.0, 1, 1, 0, 1), (30, 0.0, 45, 0.0, 30, 0.0, 1, 1, 0, 1), (5, 0.0, 2, 1.0, 3, 0.0, 1, 1, 0, 0),
+    (12, 0.0, 2, 0.0, 3, 0.0, 1, 1, 0, 0), (2, 0.0, 12, 0.0, 9, 0.0, 1, 1, 0, 0), (3, 1.0, 40, 0.0, 2, 1.0, 1, 1, 0, 0),
+    (20, 0.0, 2, 0.0, 2, 0.0, 1, 1, 0, 0), (9, 0.0, 3, 1.0, 0, 0.0, 1, 1, 0, 0), (60, 0.9, 5, 0.0, 50, 0.0, 0, 0, 0, 0),
+    (40, 0.7, 30, 0.0, 60, 0.0, 0, 0, 0, 0), (90, 1.0, 2, 1.0, 2, 1.0, 0, 0, 0, 0), (45, 0.8, 0, 0.0, 0, 0.0, 0, 0, 0, 0),
+    (50, 0.9, 60, 0.0, 70, 0.0, 1, 0, 0, 0), (60, 0.9, 60, 0.0, 70, 0.0, 2, 0, 0, 0),
+    (60, 0.0, 0, 0.0, 50, 0.0, 0, 0, 0, 1), (50, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1), (80, 0.0, 60, 0.0, 0, 0.0, 0, 0, 0, 1),
+    (40, 0.0, 0, 0.0, 3, 0.0, 0, 0, 0, 1), (90, 0.0, 120, 0.0, 100, 0.0, 0, 0, 0, 1),
+    (33, 0.0, 90, 0.0, 6, 0.0, 0, 0, 0, 1), (60, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1), (90, 0.0, 0, 0.0, 80, 0.0, 0, 1, 0, 1),
+    (120, 0.1, 90, 0.0, 100, 0.0, 0, 1, 0, 1), (50, 0.9, 2, 1.0, 3, 0.0, 0, 1, 0, 1),
+    (90, 0.0, 120, 0.0, 100, 0.0, 2, 1, 0, 0), (50, 0.0, 40, 0.0, 45, 0.0, 2, 1, 0, 0),
+    (60, 0.0, 0, 0.0, 70, 0.0, 2, 1, 0, 0), (45, 0.9, 40, 0.0, 3, 0.0, 2, 1, 0, 0), (60, 0.0, 0, 0.0, 0, 0.0, 1, 1, 0, 1),
+    (60, 0.0, 0, 0.0, 50, 0.0, 1, 0, 0, 1), (60, 0.0, 0, 0.0, 0, 0.0, 1, 0, 0, 1),
+    (100, 0.0, 120, 0.0, 100, 0.0, 1, 1, 0, 1), (60, 0.0, 50, 0.0, 70, 0.0, 0, 0, 1, 0),
+    (100, 0.0, 120, 0.0, 100, 0.0, 0, 0, 1, 0), (60, 0.0, 0, 0.0, 50, 0.0, 0, 0, 1, 0),
+    (45, 0.0, 3, 1.0, 3, 0.0, 0, 0, 1, 0), (60, 0.0, 0, 0.0, 0, 0.0, 2, 0, 1, 0), (80, 0.0, 90, 0.0, 70, 0.0, 2, 0, 1, 0),
+    (16, 0.0, 4, 0.0, 3, 0.0, 0, 0, 0, 0), (11, 0.0, 4, 1.0, 3, 1.0, 0, 0, 0, 0), (20, 0.0, 30, 0.0, 25, 0.0, 0, 0, 0, 1),
+    (22, 0.0, 0, 0.0, 20, 0.0, 0, 0, 0, 1), (60, 0.0, 50, 0.0, 70, 0.0, 1, 0, 1, 0), (8, 0.0, 1, 1.0, 40, 0.0, 1, 0, 1, 0),
+    (3, 1.0, 2, 1.0, 2, 1.0, 1, 0, 1, 0),
 ]
 
 
-def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 8):
+def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 12):
     """A tree of (column, border, left, right) that lowers Gini impurity most; leaves are 0 or 1."""
     share = labels.mean() if len(labels) else 0.0
     if depth == 0 or share in (0.0, 1.0):
