@@ -10,10 +10,12 @@ from tidemark.llm import (
     neighbours,
     pages,
     pieces,
+    private,
     quality,
     shards,
     spans,
     toxicity,
+    whitening,
 )
 from tidemark.llm.common import table
 
@@ -127,3 +129,70 @@ def op2(spark, sf):
 @query("op7_shards")
 def op7(spark, sf):
     return shards.assign(table(spark, sf, "documents"))
+
+
+def _pii_sql() -> str:
+    """Every kind's matches are marked, split off, checked, and joined in order."""
+    base = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+        "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "card": r"[0-9]([\x20-]?[0-9])+",
+        "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    }
+    further = {kind: pattern for kind, (pattern, _, _) in private.FURTHER.items()}
+
+    def parts(k: int, kind: str, pattern: str, source: str) -> str:
+        marked = f"regexp_replace(t, '{pattern}', chr(1) || '\\0' || chr(1), 'g')"
+        return f"SELECT r, {k} AS k, '{kind}' AS kind, string_split({marked}, chr(1)) AS p FROM {source}"
+
+    own = " UNION ALL ".join(parts(i, k, v, "d") for i, (k, v) in enumerate(base.items()))
+    more = " UNION ALL ".join(parts(i + 4, k, v, "rest") for i, (k, v) in enumerate(further.items()))
+    digits = "regexp_replace(x, '[^0-9]', '', 'g')"
+    compact = "replace(x, ' ', '')"
+    luhn = (
+        f"list_sum(list_transform(range(1, length({digits}) + 1), lambda i: "
+        f"[[0, 1, 2, 3, 4, 5, 6, 7, 8, 9], [0, 2, 4, 6, 8, 1, 3, 5, 7, 9]][2 - i % 2][CAST(reverse({digits})[i] AS INT) + 1])) % 10 = 0"
+    )
+    mod97 = (
+        f"list_reduce(list_prepend(0, list_transform(string_split(substr({compact}, 5) || left({compact}, 4), ''), "
+        "lambda c: ascii(c) - CASE WHEN c >= 'A' THEN 55 ELSE 48 END)), "
+        "lambda a, v: (a * CASE WHEN v >= 10 THEN 100 ELSE 10 END + v) % 97) = 1"
+    )
+    checks = {
+        "email": "true",
+        "ip": "len(list_filter(string_split(x, '.'), lambda y: CAST(y AS HUGEINT) > 255)) = 0",
+        "card": f"length({digits}) BETWEEN 13 AND 19 AND {luhn}",
+        "phone": f"length({digits}) BETWEEN 9 AND 15",
+        "iban": f"length({compact}) BETWEEN 15 AND 34 AND {mod97}",
+        "ssn": "NOT regexp_matches(x, '^(?:000|666|9[0-9][0-9])|-00-|-0000$')",
+        "local_phone": "true",
+    }
+    for kind, (_, score, border) in private.FURTHER.items():
+        up, down = private.NEAR[kind]
+        near = "translate(bef || ' ' || aft, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+        mark = f"{score} + CASE WHEN regexp_matches({near}, '{up}') THEN 0.3 ELSE 0 END - CASE WHEN regexp_matches({near}, '{down}') THEN 0.2 ELSE 0 END"
+        checks[kind] += (
+            f" AND NOT regexp_matches(right(bef, 1), '{border}') AND NOT regexp_matches(left(aft, 1), '{border}') AND {mark} >= {private.THRESHOLD}"
+        )
+    valid = " ".join(f"WHEN kind = '{k}' THEN {v}" for k, v in checks.items())
+    name = "kind || ':' || s || ':' || (s + length(x))"
+    counts = ", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in base)
+    return f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), chr(1), chr(2)) AS t FROM documents),
+    own AS ({own}),
+    rest AS (SELECT r, array_to_string(list_transform(p, lambda x, i: CASE WHEN i % 2 = 0 THEN repeat(chr(2), length(x)) ELSE x END), '') AS t FROM own WHERE kind = 'phone'),
+    every AS (SELECT * FROM own UNION ALL {more}),
+    places AS (SELECT r, k, kind, p, unnest(range(2, len(p), 2)) AS i FROM every WHERE len(p) > 1),
+    m AS (SELECT r, k, kind, CAST(list_sum(list_transform(p[1 : i - 1], lambda x: length(x))) AS BIGINT) AS s, p[i] AS x, right(p[i - 1], 48) AS bef, left(p[i + 1], 48) AS aft FROM places),
+    ok AS (SELECT * FROM m WHERE CASE {valid} END),
+    sums AS (SELECT r, {counts}, string_agg({name}, ',' ORDER BY k, s) FILTER (k < 4) AS base, string_agg({name}, ',' ORDER BY k, s) AS spans FROM ok GROUP BY 1)
+    SELECT doc_id, {', '.join(f'coalesce(n_{k}, 0) AS n_{k}' for k in base)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN sums USING (r)"""
+
+
+@query("op11_pii", _pii_sql())
+def op11(spark, sf):
+    return private.report(table(spark, sf, "documents"))
+
+
+@query("op12_whitening")
+def op12(spark, sf):
+    return whitening.whiten(table(spark, sf, "embeddings"))
