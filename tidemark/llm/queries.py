@@ -9,6 +9,7 @@ from tidemark.llm import (
     language,
     neighbours,
     pages,
+    phrases,
     pieces,
     private,
     quality,
@@ -196,3 +197,24 @@ def op11(spark, sf):
 @query("op12_whitening")
 def op12(spark, sf):
     return whitening.whiten(table(spark, sf, "embeddings"))
+
+
+@query(
+    "op13_phrases",
+    r"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+    g AS (SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS t, count(*) AS f
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) AS v(k) WHERE len(w) >= k) GROUP BY 1, 2, 3),
+    n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM g WHERE k = 1 GROUP BY 1),
+    c AS (SELECT lang, k, t, f AS a, string_split(t, ' ') AS s FROM g WHERE k > 1 AND f >= 10),
+    inside AS (SELECT lang, t, max(a) AS most FROM (SELECT lang, a, unnest([array_to_string(s[1 : 2], ' '), array_to_string(s[2 : 3], ' ')]) AS t FROM c WHERE k = 3) GROUP BY 1, 2),
+    cut AS (SELECT lang, k, t, a, j, array_to_string(s[1 : j], ' ') AS one, array_to_string(s[j + 1 : k], ' ') AS two FROM (SELECT *, unnest(range(1, k)) AS j FROM c)),
+    marked AS (SELECT cut.lang, cut.k, cut.t, a, j, x.f AS l, y.f AS r, CAST(CAST(1000000 AS HUGEINT) * a * a // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+      FROM cut JOIN g AS x ON x.lang = cut.lang AND x.t = one JOIN g AS y ON y.lang = cut.lang AND y.t = two),
+    best AS (SELECT * FROM marked QUALIFY row_number() OVER (PARTITION BY lang, t ORDER BY score, j) = 1),
+    left_ AS (SELECT best.* FROM best LEFT JOIN inside USING (lang, t) WHERE k = 3 OR most IS NULL OR 100 * most < 50 * a),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, t) AS rank FROM left_)
+    SELECT lang, rank, t AS phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000""",
+)
+def op13(spark, sf):
+    return phrases.phrases(table(spark, sf, "documents"))
