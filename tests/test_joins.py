@@ -35,6 +35,25 @@ def test_asof_matches_pandas(spark, small_ranges, direction, tolerance, by, rows
         assert (pd.isna(value) and pd.isna(got[i])) or value == got[i], i
 
 
+@pytest.mark.parametrize("direction", ["backward", "forward", "nearest"])
+@pytest.mark.parametrize("on_the_day", [True, False])
+def test_asof_on_a_crowded_day(spark, small_ranges, direction, on_the_day):
+    """95 % of the rows lie on one day: no task gets more than a few ranges' worth of them."""
+    small_ranges(20)
+    rng = np.random.default_rng(3)
+    day = 86_400_000_000
+    left = pd.DataFrame({"us": np.where(rng.random(400) < 0.95, 10, rng.integers(0, 20, 400)) * day, "id": range(400), "p": rng.integers(0, 2, 400)})
+    right = pd.DataFrame({"us": rng.integers(0, 20, 60) * day + (0 if on_the_day else 5), "seq": range(60), "p": rng.integers(0, 2, 60)})
+    want = pd.merge_asof(
+        left.sort_values("us", kind="stable"), right.sort_values(["us", "seq"]), on="us", by="p", direction=direction
+    ).set_index("id")["seq"]
+    out = joins.asof_join(spark.createDataFrame(left), spark.createDataFrame(right), ["seq"], by=["p"], direction=direction)
+    got = out.toPandas().set_index("id")["seq"]
+    assert len(got) == 400
+    for i, value in want.items():
+        assert (pd.isna(value) and pd.isna(got[i])) or value == got[i], i
+
+
 def test_asof_edges(spark):
     left = spark.createDataFrame([(5, 1)], "us bigint, id int")
     right = spark.createDataFrame([(3, 1), (7, 2)], "us bigint, seq bigint")

@@ -96,3 +96,56 @@ def test_stratified_keeps_the_rate(spark):
     }
     assert got == {(0, "train"): 630, (0, "val"): 135, (0, "test"): 135,
                    (1, "train"): 70, (1, "val"): 15, (1, "test"): 15}
+
+
+@pytest.mark.parametrize("reverse", [False, True])
+def test_running_within_one_value(spark, small_ranges, reverse):
+    """Nine rows of ten share one order value; the tie column cuts them into ranges."""
+    small_ranges(25)
+    rng = np.random.default_rng(7)
+    data = [(int(i % 2), 50 if rng.random() < 0.9 else int(rng.integers(0, 100)), i, float(x)) for i, x in enumerate(rng.random(600))]
+    data += [(0, 50, None, 1.0), (1, 50, 599, 2.0)]
+    df = spark.createDataFrame(data, "k int, t bigint, i bigint, x double")
+    points = ranges.range_points(df, "t", tie="i")
+    sizes = [r["count"] for r in ranges.assign_range(df, "t", points, "i").groupBy("_range").count().collect()]
+    assert max(sizes) < 75 and len(sizes) > 15
+    out = ranges.running(df.where("i is not null"), ["k"], ["t", "i", "x"], {"s": ("sum", F.lit(1))}, reverse=reverse)
+    for k in (0, 1):
+        line = sorted((r for r in data if r[0] == k and r[2] is not None), key=lambda r: r[1:], reverse=reverse)
+        got = {(r["t"], r["i"], r["x"]): r["s"] for r in out.where(F.col("k") == k).collect()}
+        assert got == {r[1:]: n + 1 for n, r in enumerate(line)}
+
+
+def test_many_ranges_in_two_steps(spark, small_ranges, monkeypatch):
+    monkeypatch.setattr(ranges, "COARSE", 4)
+    small_ranges(10)
+    df = spark.range(1000).selectExpr("id * 3 as t")
+    points = ranges.range_points(df, "t")
+    sizes = [r["count"] for r in ranges.assign_range(df, "t", points).groupBy("_range").count().collect()]
+    assert len(sizes) > 80 and max(sizes) <= 30
+
+
+def test_nested_scans_read_the_input_twice(spark, small_ranges):
+    """Two levels of running values at 50 rows a range: the input is derived for its count and its copy."""
+    from tidemark.operators.labels import gap_chunks
+
+    small_ranges(50)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    base = spark.range(1000).selectExpr("'A' as product_id", "id * 200000000 as us", "id as seq")
+    out = gap_chunks(base.mapInArrow(counted, base.schema), gap=100).collect()
+    assert sorted(r["chunk_id"] for r in out) == list(range(1000))
+    assert read.value <= 2000
+
+
+def test_select_with_heavy_ties(spark):
+    """Ties at the end of many distinct values are split off before anything is gathered."""
+    df = spark.range(40_000).selectExpr("if(id < 30000, 5.0D, 5.0D + id) as v")
+    ordered = sorted([5.0] * 30_000 + [5.0 + i for i in range(30_000, 40_000)])
+    wanted = [1, 29_999, 30_000, 30_001, 30_002, 39_999, 40_000]
+    assert ranges.order_statistics(df, "v", lambda n: wanted, limit=20)[1] == {r: ordered[r - 1] for r in wanted}

@@ -14,13 +14,24 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.ticks import book_imbalance, priced, sanitize, spread
-from tidemark.operators.ranges import by_group, group_load, halo, range_points, running
+from tidemark.operators.ranges import (
+    AFTER,
+    BEFORE,
+    UPTO,
+    Cuts,
+    by_group,
+    group_load,
+    halo,
+    numeric,
+    range_points,
+    sweep,
+)
 from tidemark.schema import MODEL_FEATURES, feature_default
-from tidemark.session import rows_per_range
+from tidemark.session import materialize, rows_per_range
 
 SECOND = 1_000_000
 
@@ -30,9 +41,6 @@ SECOND = 1_000_000
 GRAIN = 2.0**-30
 PRICE_GRAIN = 2.0**-10
 
-# A bucket with more than this many times the rows of a range is not left to one task.
-DENSE = 5
-
 
 def coarse(value: str, grain: float) -> str:
     """SQL: the largest multiple of ``grain`` up to ``value``."""
@@ -113,8 +121,9 @@ def tick_features(
     breaks ties in time; rows that share even that stay apart, in no set order), ``price``, ``best_bid``, ``best_ask``, ``bid_qty``, ``ask_qty``.
     ``keep`` names further columns to carry along. A product's time line is cut into buckets
     of ``width`` micros (12 long frames by default) with one frame of overlap, so a product
-    that holds most of the rows is still spread over many tasks. If a burst overfills a
-    bucket, ranges of even row counts take the place of the buckets.
+    that holds most of the rows is still spread over many tasks. Where a burst overfills a
+    bucket, the bucket is cut into ranges of even row counts, and totals are handed on from
+    range to range within it.
     """
     frames = spec.frames()
     reach = max(frames.values())
@@ -133,14 +142,25 @@ def tick_features(
     group = [*by, "bucket"]
     cells = rows.selectExpr(*_quoted(by), f"us div {width}L as bucket")
     total, largest = group_load(cells, group)
-    rows = rows.withColumn("_row", F.rand(7))  # tells equal rows apart
-    if largest > DENSE * rows_per_range(spark):
-        totals, group = _by_ranges(rows, spec, by, keep), by
-    else:
-        placed = by_group(halo(rows, width, back=reach), group, total)
-        totals = _by_buckets(placed, spec, group, keep)
-
-    per_tick = totals.groupBy(*group, "us", "seq", "_row").agg(
+    placed = numbered(by_group(halo(rows, width, back=reach), group, total), group)
+    marks = _marks(placed, spec)
+    order, points = ["at", "kind", "seq", "_row", "_copy"], Cuts()
+    if largest > rows_per_range(spark):
+        marks = materialize(marks)
+        points = range_points(marks, "at", tie="seq" if numeric(marks, "seq") else None)
+    tick = F.expr("if(p is null, null, struct(p, us))")
+    ticks_ = {c: ("sum", F.expr(e), UPTO) for c, e in _TICKS.items()}
+    before = {c: ("sum", F.expr(e), BEFORE) for c, e in _PAIRS.items()}
+    levels = [(None, {"next": ("last", tick, AFTER)}), (lambda d: _pairs(d, spec), {**ticks_, **before})]
+    swept = sweep(marks, group, order, levels, points, tie="seq", side="kind")
+    totals = swept.where("home").selectExpr(
+        *_quoted([*group, *[f"_keep_{k}" for k in keep]]),
+        "us", "seq", "_row", "_copy", "frame", "price", "q",
+        *_TICKS,
+        *[f"coalesce({c}, {_zero(c)}) as {c}" for c in _PAIRS],
+    )
+
+    per_tick = totals.groupBy(*group, "us", "seq", "_row", "_copy").agg(
         F.expr("max(if(frame = 'own', price, null)) as price"),
         F.expr("max(if(frame = '300s', q, null)) as first_price"),
         *[
@@ -163,10 +183,19 @@ def _quoted(columns: Sequence[str]) -> list[str]:
     return [f"`{c}`" for c in columns]
 
 
-def _marks(rows: DataFrame, spec: FrameSpec, home: str) -> DataFrame:
+def numbered(rows: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Tells rows of one (us, seq) apart: ``_row``, a hash of the row, and ``_copy``, a number among
+    equal rows. Both come out the same however often and wherever a row is computed."""
+    names = [c for c in rows.columns if c not in ("bucket", "home")]
+    rows = rows.withColumn("_row", F.xxhash64(*[F.col(f"`{c}`") for c in names]))
+    equal = Window.partitionBy(*group, "us", "seq", "_row").orderBy(F.col("_row"))
+    return rows.withColumn("_copy", F.row_number().over(equal))
+
+
+def _marks(rows: DataFrame, spec: FrameSpec) -> DataFrame:
     """The markers of each tick: its own, and one where each of its frames starts."""
     probes = ", ".join(
-        f"if({home}, named_struct('kind', 0, 'frame', '{label}', 'at', us - {size}L), null)"
+        f"if(home, named_struct('kind', 0, 'frame', '{label}', 'at', us - {size}L), null)"
         for label, size in spec.frames().items()
     )
     return rows.selectExpr(
@@ -186,52 +215,6 @@ def _pairs(marks: DataFrame, spec: FrameSpec) -> DataFrame:
     ).selectExpr("*", "pair and p > 0 and q > 0 as valid", "ln(q / p) as r")
 
 
-def _by_buckets(
-    rows: DataFrame, spec: FrameSpec, group: list[str], keep: Sequence[str]
-) -> DataFrame:
-    """Totals at the markers, each time bucket on its own: one shuffle and one sort."""
-    marks = _marks(rows, spec, "home")
-    line = f"partition by {', '.join(_quoted(group))} order by at, kind, seq, _row"
-    upto = f"over ({line} rows between unbounded preceding and current row)"
-    before = f"over ({line} rows between unbounded preceding and 1 preceding)"
-    following = f"lead(if(p is null, null, struct(p, us))) ignore nulls over ({line})"
-    return _pairs(marks.selectExpr("*", f"{following} as next"), spec).selectExpr(
-        *_quoted([*group, *[f"_keep_{k}" for k in keep]]),
-        "us", "seq", "_row", "home", "frame", "price", "q",
-        *[f"sum({e}) {upto} as {c}" for c, e in _TICKS.items()],
-        *[f"coalesce(sum({e}) {before}, {_zero(c)}) as {c}" for c, e in _PAIRS.items()],
-    ).where("home")
-
-
-def _by_ranges(
-    rows: DataFrame, spec: FrameSpec, by: list[str], keep: Sequence[str]
-) -> DataFrame:
-    """The same totals when a bucket is too full for one task.
-
-    The markers' line is cut into ranges of even size, however short in time they are, and
-    totals are handed on from range to range. This shuffles the markers several times, so
-    it is kept for bursts.
-    """
-    marks = _marks(rows, spec, "true")
-    points = range_points(rows, "us")
-    order = ["at", "kind", "seq", "_row"]
-    tick = F.expr("if(p is null, null, struct(p, us))")
-    marks = running(
-        marks, by, order, {"next": ("last", tick)}, points, inclusive=False, reverse=True
-    )
-    pairs = _pairs(marks, spec)
-    ticks = {c: ("sum", F.expr(e)) for c, e in _TICKS.items()}
-    before = {c: ("sum", F.expr(e)) for c, e in _PAIRS.items()}
-    totals = running(
-        running(pairs, by, order, ticks, points), by, order, before, points, inclusive=False
-    )
-    return totals.selectExpr(
-        *_quoted([*by, *[f"_keep_{k}" for k in keep]]), "us", "seq", "_row", "frame", "price", "q",
-        *_TICKS,
-        *[f"coalesce({c}, {_zero(c)}) as {c}" for c in _PAIRS],
-    )
-
-
 def _zero(column: str) -> str:
     return "0L" if column.endswith(("_n", "_valid")) else "0D"
 

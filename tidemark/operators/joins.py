@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ranges import RANGE, assign_range, range_points, running, settled
+from tidemark.operators.ranges import RANGE, assign_range, running, settled
 
 
 def asof_join(
@@ -30,7 +30,8 @@ def asof_join(
 
     Both sides are put on one time line and scanned once per direction, so no candidate
     pairs arise however dense the data is. The line is cut into ranges; the last and first
-    right row of each range are handed to its neighbours.
+    right row of each range are handed to its neighbours. A time that holds many rows is a
+    range of its own, whose left rows take their answer from that hand-over.
     """
     if direction not in ("backward", "forward", "nearest"):
         raise ValueError(direction)
@@ -49,12 +50,14 @@ def asof_join(
         ),
         allowMissingColumns=True,
     )
-    points = range_points(line, "_t")
+    line, points = settled(line, "_t")
     line = assign_range(line, "_t", points)
     keys = [*by, RANGE]
     rank = "_hit.tie" if tie else "_side"
+    # All left rows of one time have one answer: a time that fills ranges needs no scan.
+    heavy = F.col(RANGE).isin(points.heavy_ranges()) if points and points.heavy else F.lit(False)
 
-    found = line
+    found = line.where(~heavy)
     if direction != "forward":
         found = found.withColumn("_back", _scan(keys, F.col("_t"), F.col("_side"), F.col(rank)))
     if direction != "backward":
@@ -63,7 +66,11 @@ def asof_join(
         )
     found = found.where("_side = 1")
     if points:
-        found = _carry(line, found, by, direction, tie)
+        edges = _edges(line, by, tie)
+        found = _carry(found, edges, by, direction)
+        if points.heavy:
+            crowd = _crowd(line.where(heavy & (F.col("_side") == 1)), edges.where(heavy), by, direction, max(points.heavy.values()))
+            found = found.unionByName(crowd)
 
     near = {
         "backward": lambda: F.col("_back"),
@@ -93,8 +100,8 @@ def _scan(keys: list[str], *order: Column) -> Column:
     return F.last("_hit", ignorenulls=True).over(walk.rowsBetween(Window.unboundedPreceding, 0))
 
 
-def _carry(line: DataFrame, found: DataFrame, by, direction: str, tie: str | None) -> DataFrame:
-    """Fill rows at a range's edge from the ranges before and after it."""
+def _edges(line: DataFrame, by: list[str], tie: str | None) -> DataFrame:
+    """Last and first right row of each range, and those nearest before and after it."""
     place = F.struct("_t", "_hit.tie") if tie else F.col("_t")
     place = F.when(F.col("_side") == 0, place)
     edge = line.groupBy(*by, RANGE).agg(
@@ -103,18 +110,37 @@ def _carry(line: DataFrame, found: DataFrame, by, direction: str, tie: str | Non
     ranges = Window.partitionBy(*by)
     past = ranges.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
     coming = ranges.orderBy(F.desc(RANGE)).rowsBetween(Window.unboundedPreceding, -1)
-    edge = edge.select(
+    return edge.select(
         *by,
         RANGE,
+        "_last",
+        "_first",
         F.last("_last", ignorenulls=True).over(past).alias("_past"),
         F.last("_first", ignorenulls=True).over(coming).alias("_coming"),
     )
-    found = found.join(edge, [*by, RANGE], "left")
+
+
+def _carry(found: DataFrame, edges: DataFrame, by: list[str], direction: str) -> DataFrame:
+    """Fill rows at a range's edge from the ranges before and after it."""
+    found = found.join(edges.drop("_last", "_first"), [*by, RANGE], "left")
     if direction != "forward":
         found = found.withColumn("_back", F.coalesce("_back", "_past"))
     if direction != "backward":
         found = found.withColumn("_fwd", F.coalesce("_fwd", "_coming"))
-    return found
+    return found.drop("_past", "_coming")
+
+
+def _crowd(rows: DataFrame, edges: DataFrame, by: list[str], direction: str, parts: int) -> DataFrame:
+    """Left rows of the times that hold very many rows: dealt to ``parts`` tasks per time, each
+    of which gets its copy of the time's last and first right row."""
+    rows = rows.withColumn("_part", F.pmod(F.xxhash64("_row"), F.lit(parts)).cast("int"))
+    copies = edges.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    found = rows.join(copies, [*by, RANGE, "_part"], "left")
+    if direction != "forward":
+        found = found.withColumn("_back", F.coalesce("_last", "_past"))
+    if direction != "backward":
+        found = found.withColumn("_fwd", F.coalesce("_first", "_coming"))
+    return found.drop("_part", "_last", "_first", "_past", "_coming")
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:

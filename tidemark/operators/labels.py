@@ -8,15 +8,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.ticks import priced
-from tidemark.operators.features import DENSE, SECOND, coarse
+from tidemark.operators.features import SECOND, coarse, numbered
 from tidemark.operators.ranges import (
+    AFTER,
+    BEFORE,
+    FROM,
+    UPTO,
+    Cuts,
     by_group,
     group_load,
     halo,
-    next_value,
+    numeric,
     quantiles,
     range_points,
     running,
+    settled,
+    sweep,
 )
 from tidemark.session import materialize, rows_per_range
 
@@ -25,13 +32,14 @@ def gap_chunks(
     df: DataFrame, gap: float = 300, by: Sequence[str] = ("product_id",), tie: str = "seq"
 ) -> DataFrame:
     """Number the stretches of each key that no pause of more than ``gap`` seconds breaks."""
-    points = range_points(df, "us")
-    order = ["us", tie]
-    rows = running(df, by, order, {"_prev": ("max", F.col("us"))}, points, inclusive=False)
-    new = F.when(F.col("us") - F.col("_prev") > int(gap * SECOND), F.lit(1)).otherwise(F.lit(0))
-    return running(
-        rows, by, order, {"chunk_id": ("sum", new.cast("bigint"))}, points
-    ).drop("_prev")
+    named = tie if numeric(df, tie) else None
+    df, points = settled(df, "us", tie=named)
+    pause = F.expr(f"if(us - _prev > {int(gap * SECOND)}L, 1L, 0L)")
+    levels = [
+        (None, {"_prev": ("max", F.col("us"), BEFORE)}),
+        (None, {"chunk_id": ("sum", pause, UPTO)}),
+    ]
+    return sweep(df, by, ["us", tie], levels, points, named).drop("_prev")
 
 
 def forward_volatility(
@@ -59,20 +67,22 @@ def forward_volatility(
     spark = df.sparkSession
     cells = rows.select(*by, "us", F.floor(F.col("us") / width).alias("bucket"))
     total, largest = group_load(cells, [*by, "bucket"])
-    rows = rows.withColumn("_row", F.rand(7))  # tells equal rows apart
-    if largest > DENSE * rows_per_range(spark):
-        group, points = by, range_points(rows, "us")
-        rows = rows.withColumn("home", F.lit(True))
-    else:
-        group, points = [*by, "bucket"], []
-        rows = by_group(halo(rows, width, ahead=h), group, total)
+    group, points, tied = [*by, "bucket"], Cuts(), "seq" if numeric(rows, "seq") else None
+    rows = numbered(by_group(halo(rows, width, ahead=h), group, total), group)
+    crowded = largest > rows_per_range(spark)
 
     end = f"us + {h}L"
     if g < h:
-        order = ["us", "seq", "_row"]
-        rows = next_value(rows, group, order, "_later", "us", points)
+        order = ["us", "seq", "_row", "_copy"]
+        if crowded:
+            rows = materialize(rows)
+            points = range_points(rows, "us", tie=tied)
         pause = F.expr(f"if(_later - us > {g}L, us, null)")
-        rows = running(rows, group, order, {"_stop": ("last", pause)}, points, reverse=True)
+        levels = [
+            (None, {"_later": ("last", F.col("us"), AFTER)}),
+            (None, {"_stop": ("last", pause, FROM)}),
+        ]
+        rows = sweep(rows, group, order, levels, points, tied)
         end = f"least({end}, _stop)"
 
     marks = rows.selectExpr(
@@ -82,27 +92,28 @@ def forward_volatility(
             if(home, named_struct('kind', 1, 'frame', 'from', 'at', us), null),
             if(home, named_struct('kind', 1, 'frame', 'to', 'at', {end}), null))))""",
     )
-    line = ["at", "kind", "seq", "_row"]
-    own = "if(kind = 0, named_struct('price', price), null)"
-    marks = next_value(marks, group, line, "next", own, points).selectExpr(
-        "*", "if(kind = 0, (next.price - price) / price, 0D) as ratio"
-    ).selectExpr("*", "if(abs(ratio) < double('infinity'), ratio, 0D) as x").drop("ratio")
+    if crowded:
+        marks = materialize(marks)
+        points = range_points(marks, "at", tie=tied)
+    line = ["at", "kind", "seq", "_row", "_copy"]
+    own = F.expr("if(kind = 0, named_struct('price', price), null)")
     # Totals of the return and its square, each in parts that add up without rounding.
     parts = _parts("x")
-    totals = running(
-        marks,
-        group,
-        line,
-        {
-            "n": ("sum", F.expr("if(kind = 0, 1L, 0L)")),
-            "ok": ("sum", F.expr("if(kind = 0 and price is not null, 1L, 0L)")),
-            **{name: ("sum", F.expr(value)) for name, value in parts.items()},
-            "tail": ("last", F.expr("if(kind = 0, x, null)")),
-        },
-        points,
-    ).where("home")
-
-    sums = totals.groupBy(*group, "us", "seq", "_row").agg(
+    levels = [
+        (None, {"next": ("last", own, AFTER)}),
+        (
+            _returns,
+            {
+                "n": ("sum", F.expr("if(kind = 0, 1L, 0L)"), UPTO),
+                "ok": ("sum", F.expr("if(kind = 0 and price is not null, 1L, 0L)"), UPTO),
+                **{name: ("sum", F.expr(value), UPTO) for name, value in parts.items()},
+                "tail": ("last", F.expr("if(kind = 0, x, null)"), UPTO),
+            },
+        ),
+    ]
+    totals = sweep(marks, group, line, levels, points, tied, side="kind").where("home")
+
+    sums = totals.groupBy(*group, "us", "seq", "_row", "_copy").agg(
         F.expr("max(if(frame = 'own', price, null)) as price"),
         *[
             F.expr(f"sum(case frame when 'to' then {c} when 'from' then -{c} end) as {c}")
@@ -135,6 +146,13 @@ def forward_volatility(
     )
 
 
+def _returns(marks: DataFrame) -> DataFrame:
+    """``x``: the return to the next tick, 0 where it is not finite."""
+    return marks.selectExpr(
+        "*", "if(kind = 0, (next.price - price) / price, 0D) as ratio"
+    ).selectExpr("*", "if(abs(ratio) < double('infinity'), ratio, 0D) as x").drop("ratio")
+
+
 def _parts(x: str) -> dict[str, str]:
     """SQL of a return and its square as multiples of coarse grains and small rests."""
     r, rr = coarse(x, 2.0**-20), coarse(f"{x} * {x}", 2.0**-8)

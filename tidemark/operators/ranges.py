@@ -9,16 +9,18 @@ as one row of range totals. Only range totals, never rows, cross range borders.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from tidemark.session import materialize, rows_per_range
 
 RANGE = "_range"
-MAX_RANGES = 10_000
+COARSE = 1_000  # more than twice as many ranges are cut in two steps
 
 
 def halo(
@@ -43,51 +45,245 @@ def halo(
     return copies.selectExpr("*", f"bucket = {own} as home")
 
 
-def range_points(df: DataFrame, column: str, rows: int | None = None) -> list[float]:
+class Cuts(list):
+    """Inner borders of an order column's ranges, in order.
+
+    ``heavy`` names the values that hold several ranges' worth of rows, with the number of
+    ranges; each of them is a range of its own. ``ties`` cuts such a range further: (least and
+    largest tie, inner borders) of the tie column.
+    """
+
+    def __init__(self, points=(), heavy=None, ties=None):
+        super().__init__(points)
+        self.heavy: dict[float, int] = heavy or {}
+        self.ties: dict[float, tuple[float, float, list[float]]] = ties or {}
+
+    def heavy_ranges(self) -> list[int]:
+        """Range numbers of the heavy values (before ties cut them)."""
+        return [self.index(v) + 1 for v in self.heavy]
+
+
+def range_points(
+    df: DataFrame, column: str, rows: int | None = None, tie: str | None = None
+) -> Cuts:
     """Inner borders that cut ``column`` into ranges of about ``rows`` rows.
 
     Small tables need one count and give no border. The borders are plain numbers fixed
     before the real plan is built, so every branch of that plan cuts alike even when a
-    lost executor makes Spark compute one of them again.
+    lost executor makes Spark compute one of them again. A value that holds several ranges'
+    worth of rows shows as a repeated border; with ``tie``, a numeric column, the rows
+    of such a value are cut by percentiles of the tie among them.
     """
     rows = rows or rows_per_range(df.sparkSession)
     total = df.agg(F.count(column)).first()[0]
-    ranges = min(MAX_RANGES, math.ceil(total / rows))
+    ranges = math.ceil(total / rows)
     if ranges <= 1:
-        return []
-    shares = [i / ranges for i in range(1, ranges)]
+        return Cuts()
+    found = sorted(_percentiles(df, column, ranges))
+    heavy = {v: n + 1 for v, n in Counter(found).items() if n > 1}
+    points = sorted({*found, *heavy, *(math.nextafter(v, math.inf) for v in heavy)})
+    ties = _tie_points(df, column, tie, heavy) if tie and heavy else {}
+    return Cuts(points, heavy, ties)
+
+
+def _percentiles(df: DataFrame, column: str, ranges: int) -> list[float]:
+    """About the values at i / ranges. Many are found in two steps, the second range by range."""
     value = F.col(column).cast("double")
-    found = df.agg(
-        F.percentile_approx(F.when(~F.isnan(value), value), shares, 10 * ranges + 1000)
-    ).first()[0]
-    return sorted(set(found))
+    value = F.when(~F.isnan(value), value)
+    if ranges <= 2 * COARSE:
+        shares = [i / ranges for i in range(1, ranges)]
+        return df.agg(F.percentile_approx(value, shares, 10 * ranges + 1000)).first()[0] or []
+    points = sorted(set(_percentiles(df, column, COARSE)))
+    inner = math.ceil(ranges / COARSE)
+    shares = [i / inner for i in range(1, inner)]
+    found = (
+        assign_range(df.select(column), column, Cuts(points))
+        .groupBy(RANGE)
+        .agg(F.percentile_approx(value, shares, 10 * inner + 1000).alias("cuts"))
+    )
+    return points + [v for r in found.collect() for v in r["cuts"] or []]
+
+
+def _tie_points(df: DataFrame, column: str, tie: str, heavy: dict[float, int]) -> dict:
+    """Borders of the tie among the rows of each heavy value."""
+    value, of = F.col(column).cast("double"), F.col(tie).cast("double")
+    out = {}
+    # Values that need about the same number of ranges are looked at together.
+    for size in sorted({n.bit_length() for n in heavy.values()}):
+        members = [v for v, n in heavy.items() if n.bit_length() == size]
+        pieces = 1 << size
+        shares = [i / pieces for i in range(1, pieces)]
+        facts = df.where(value.isin(members)).groupBy(value.alias("v")).agg(
+            F.min(of).alias("lo"), F.max(of).alias("hi"),
+            F.percentile_approx(of, shares, 10 * pieces + 1000).alias("cuts"),
+        )
+        for r in facts.collect():
+            if r["lo"] is not None and r["lo"] < r["hi"]:
+                out[r["v"]] = (r["lo"], r["hi"], sorted(set(r["cuts"])))
+    return out
 
 
-def settled(df: DataFrame, column: str, at_most: int) -> tuple[DataFrame, list[float]]:
-    """A derived table and the borders that cut it, without deriving it again and again.
+def settled(
+    df: DataFrame, column: str, at_most: int | None = None, tie: str | None = None
+) -> tuple[DataFrame, Cuts]:
+    """A table and the borders that cut it, without deriving it again and again.
 
-    ``at_most`` bounds its rows. A table that fits one range needs no border. A larger one
-    is written out first, since the borders, the range totals and the scan all read it.
+    ``at_most`` bounds its rows; they are counted if it is not given. A table that fits one
+    range needs no border. A larger one is written out first, since the borders, the range
+    totals and the scan all read it: the input is scanned for the count and for the copy.
     """
-    if at_most <= rows_per_range(df.sparkSession):
-        return df, []
+    if (df.count() if at_most is None else at_most) <= rows_per_range(df.sparkSession):
+        return df, Cuts()
     df = materialize(df)
-    return df, range_points(df, column)
+    return df, range_points(df, column, tie=tie)
 
 
-def assign_range(df: DataFrame, column: str, points: Sequence[float]) -> DataFrame:
-    """Add the range number of each row (binary search on the JVM side)."""
-    if not points:
-        return df.withColumn(RANGE, F.lit(0))
-    inf = float("inf")
-    name = "_range_value"
+def numeric(df: DataFrame, column: str | None) -> bool:
+    return column in df.columns and isinstance(df.schema[column].dataType, NumericType)
+
+
+def _bucket(df: DataFrame, value: Column, splits: Sequence[float], out: str) -> DataFrame:
+    """The interval of each row by binary search on the JVM side."""
+    inf, name = float("inf"), "_range_value"
     cutter = Bucketizer(
-        splits=[-inf, *points, inf], inputCol=name, outputCol=RANGE, handleInvalid="keep"
+        splits=[-inf, *splits, inf], inputCol=name, outputCol=out, handleInvalid="keep"
     )
-    cut = cutter.transform(df.withColumn(name, F.col(column).cast("double"))).drop(name)
+    return cutter.transform(df.withColumn(name, value)).drop(name)
+
+
+def assign_range(
+    df: DataFrame,
+    column: str,
+    points: Sequence[float],
+    tie: str | None = None,
+    side: str | None = None,
+) -> DataFrame:
+    """Add the range number of each row.
+
+    Ranges follow the order (column, side, tie): ``side`` is a column of 0 and 1, ``tie`` the one
+    the borders were found with.
+    """
+    if not points:
+        return df.withColumn(RANGE, F.lit(0))
+    cut = _bucket(df, F.col(column).cast("double"), points, RANGE)
+    ties = getattr(points, "ties", {})
+    if ties and tie:
+        # A place between the range's number and the next, rising with side and tie.
+        low, scale, splits = [0.0] * (len(points) + 2), [0.0] * (len(points) + 2), set(range(1, len(points) + 1))
+        for value, (lo, hi, borders) in ties.items():
+            i = points.index(value) + 1
+            low[i], scale[i] = lo, 1.0 / (hi - lo)
+            places = [0.4 * min(1.0, max(0.0, (b - lo) * scale[i])) for b in borders]
+            splits.update(i + p for p in places)
+            if side:
+                splits.update([i + 0.5, *(i + 0.5 + p for p in places)])
+        at = F.col(RANGE).cast("int")
+        share = (F.coalesce(F.col(tie).cast("double"), F.lit(-math.inf)) - F.get(F.lit(low), at)) * F.get(F.lit(scale), at)
+        share = F.when(F.get(F.lit(scale), at) > 0, F.least(F.lit(1.0), F.greatest(F.lit(0.0), share))).otherwise(0.0)
+        half = 0.5 * F.col(side) if side else F.lit(0.0)
+        place = F.col(RANGE) + half * (F.get(F.lit(scale), at) > 0).cast("double") + 0.4 * share
+        cut = _bucket(cut.withColumn(RANGE, place), F.col(RANGE), sorted(splits), "_range_tied").drop(RANGE)
+        cut = cut.withColumnRenamed("_range_tied", RANGE)
     return cut.withColumn(RANGE, F.col(RANGE).cast("int"))
 
 
+# Frames of a running value: rows up to this one, before it, from it on, after it.
+UPTO, BEFORE, FROM, AFTER = "upto", "before", "from", "after"
+Value = tuple[str, Column, str]
+
+
+def _over(keys: Sequence[str], order: Sequence[str], frame: str) -> str:
+    by = f"partition by {', '.join(f'`{k}`' for k in keys)} " if keys else ""
+    way = " desc" if frame in (FROM, AFTER) else ""
+    end = "current row" if frame in (UPTO, FROM) else "1 preceding"
+    line = ", ".join(f"`{c}`{way}" for c in order)
+    return f"over ({by}order by {line} rows between unbounded preceding and {end})"
+
+
+def _scan(keys: Sequence[str], order: Sequence[str], function: str, value: str, frame: str) -> Column:
+    over = _over(keys, order, frame)
+    if function != "last":
+        return F.expr(f"{function}(`{value}`) {over}")
+    if frame in (UPTO, BEFORE):
+        return F.expr(f"last(`{value}`, true) {over}")
+    # Looking ahead needs no second sort.
+    ahead = f"lead(`{value}`) ignore nulls {_over(keys, order, UPTO).split(' rows between')[0]})"
+    return F.expr(f"coalesce(`{value}`, {ahead})" if frame == FROM else ahead)
+
+
+def sweep(
+    df: DataFrame,
+    by: Sequence[str],
+    order: Sequence[str],
+    levels: Sequence[tuple[Callable[[DataFrame], DataFrame] | None, dict[str, Value]]],
+    points: Sequence[float] = (),
+    tie: str | None = None,
+    side: str | None = None,
+) -> DataFrame:
+    """Running values of each key in ``order``, level by level, over one exchange of the rows.
+
+    A level is (preparation, values): the preparation adds columns, row by row, from what the levels
+    before it gave; a value is (``sum``, ``max`` or ``last`` non-null, column, frame). With
+    ``points``, order[0] is cut into ranges (``tie`` and ``side`` as for ``assign_range``) and
+    every (key, range) is scanned on its own. Each level's state at the end of a range is
+    one row; it is handed on to the ranges in reach, so that all levels keep the partitioning
+    of the first. ``df`` is read once per level and once for the result: write a derived one out
+    before (``settled``).
+    """
+    rows = assign_range(df, order[0], points, tie, side) if points else df
+    keys = [*by, RANGE] if points else list(by)
+
+    def prepared(out: DataFrame, level: int) -> DataFrame:
+        prepare, values = levels[level]
+        out = prepare(out) if prepare else out
+        return out.withColumns({f"_in_{n}": c for n, (_, c, _) in values.items()})
+
+    def done(out: DataFrame, level: int, carry: DataFrame | None) -> DataFrame:
+        values = levels[level][1]
+        out = out.withColumns({n: _scan(keys, order, f, f"_in_{n}", at) for n, (f, _, at) in values.items()})
+        out = out.drop(*[f"_in_{n}" for n in values])
+        if carry is None:
+            return out
+        return out.join(carry, keys, "left").withColumns(
+            {n: _merge(f, at, F.col(n), F.col(f"_b_{n}")) for n, (f, _, at) in values.items()}
+        ).drop(*[f"_b_{n}" for n in values])
+
+    def upto(level: int) -> DataFrame:
+        out = rows
+        for i in range(level):
+            out = done(prepared(out, i), i, carries[i])
+        return out
+
+    carries: list[DataFrame | None] = []
+    for level, (_, values) in enumerate(levels):
+        if not points:
+            carries.append(None)
+            continue
+        totals = prepared(upto(level), level).groupBy(*keys).agg(
+            *[_total(f, at, F.col(f"_in_{n}"), order).alias(f"_t_{n}") for n, (f, _, at) in values.items()]
+        )
+        outside = {UPTO: BEFORE, FROM: AFTER}
+        carry = totals.select(
+            *keys,
+            *[_scan(by, [RANGE], f, f"_t_{n}", outside.get(at, at)).alias(f"_b_{n}") for n, (f, _, at) in values.items()],
+        )
+        carries.append(materialize(carry) if len(levels) > 1 else carry)
+    return upto(len(levels)).drop(RANGE)
+
+
+def _total(function: str, frame: str, value: Column, order: Sequence[str]) -> Column:
+    if function != "last":
+        return {"sum": F.sum, "max": F.max}[function](value)
+    place = F.when(value.isNotNull(), F.struct(*order))
+    return (F.min_by if frame in (FROM, AFTER) else F.max_by)(value, place)
+
+
+def _merge(function: str, frame: str, own: Column, carried: Column) -> Column:
+    if function == "sum":
+        return F.when(own.isNull(), carried).otherwise(own + F.coalesce(carried, F.lit(0)))
+    return F.greatest(own, carried) if function == "max" else F.coalesce(own, carried)
+
+
 def running(
     df: DataFrame,
     by: Sequence[str],
@@ -100,76 +296,18 @@ def running(
     """Running ``sum``, ``max`` or ``last`` (non-null) of each key in ``order``.
 
     ``values`` maps an output name to (function, column). ``order[0]`` must be numeric:
-    it is cut into ranges. ``points`` are the borders if the caller already has them.
-    With ``inclusive=False`` the current row is left out. ``reverse`` walks from the end, so
+    it is cut into ranges, and so is ``order[1]`` within a value that holds several ranges' worth of
+    rows. ``points`` are the borders if the caller already has them. With
+    ``inclusive=False`` the current row is left out. ``reverse`` walks from the end, so
     that ``last`` without the current row is the next value. The ``by`` columns must not be
     null.
     """
-    points = range_points(df, order[0]) if points is None else points
-    src = {name: f"_in_{name}" for name in values}
-    rows = assign_range(df, order[0], points)
-    rows = rows.withColumns({src[n]: c for n, (_, c) in values.items()})
-
-    def walk(c: str) -> Column:
-        return F.desc(c) if reverse else F.asc(c)
-
-    keys = [*by, RANGE]
-    frame = (
-        Window.partitionBy(*keys)
-        .orderBy(*[walk(c) for c in order])
-        .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    )
-    scan = {
-        "sum": lambda c, w: F.sum(c).over(w),
-        "max": lambda c, w: F.max(c).over(w),
-        "last": lambda c, w: F.last(c, ignorenulls=True).over(w),
-    }
-    local = rows.withColumns({n: scan[f](F.col(src[n]), frame) for n, (f, _) in values.items()})
-    if not points:
-        return local.drop(RANGE, *src.values())
-
-    place = F.struct(*[F.col(c) for c in order])
-    total = {
-        "sum": F.sum,
-        "max": F.max,
-        "last": lambda c: (F.min_by if reverse else F.max_by)(c, F.when(c.isNotNull(), place)),
-    }
-    totals = rows.groupBy(*keys).agg(
-        *[total[f](F.col(src[n])).alias(f"_t_{n}") for n, (f, _) in values.items()]
-    )
-    earlier = (
-        Window.partitionBy(*by).orderBy(walk(RANGE)).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    before = totals.select(
-        *keys,
-        *[scan[f](F.col(f"_t_{n}"), earlier).alias(f"_b_{n}") for n, (f, _) in values.items()],
-    )
-    joined = local.join(before, keys, "left")
-    merge = {
-        "sum": lambda a, b: F.when(a.isNull(), b).otherwise(a + F.coalesce(b, F.lit(0))),
-        "max": F.greatest,
-        "last": F.coalesce,
-    }
-    return joined.withColumns(
-        {n: merge[f](F.col(n), F.col(f"_b_{n}")) for n, (f, _) in values.items()}
-    ).drop(RANGE, *src.values(), *[f"_b_{n}" for n in values])
-
-
-def next_value(
-    df: DataFrame,
-    by: Sequence[str],
-    order: Sequence[str],
-    name: str,
-    value: str,
-    points: Sequence[float],
-) -> DataFrame:
-    """Add the next non-null ``value`` (an SQL expression) of each key after the current row."""
-    if points:
-        later = {name: ("last", F.expr(value))}
-        return running(df, by, order, later, points, inclusive=False, reverse=True)
-    keys, line = (", ".join(f"`{c}`" for c in columns) for columns in (by, order))
-    over = f"over (partition by {keys} order by {line})" if by else f"over (order by {line})"
-    return df.selectExpr("*", f"lead({value}) ignore nulls {over} as `{name}`")
+    tie = order[1] if len(order) > 1 and numeric(df, order[1]) else None
+    if points is None:
+        df, points = settled(df, order[0], tie=tie)
+    frame = {(True, False): UPTO, (False, False): BEFORE, (True, True): FROM, (False, True): AFTER}[inclusive, reverse]
+    level = {n: (f, c, frame) for n, (f, c) in values.items()}
+    return sweep(df, by, order, [(None, level)], points, tie)
 
 
 def group_load(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
@@ -182,11 +320,13 @@ def group_load(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
 def by_group(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
     """Bring each group into one task.
 
-    The number of tasks follows the row count, up to the session's shuffle partitions: the
-    rows multiply after this shuffle, so its bytes alone would call for too few tasks.
+    The number of tasks follows the row count: the rows multiply after this shuffle, so its
+    bytes alone would call for too few tasks. Beyond the session's shuffle partitions there
+    is one for each half range of rows.
     """
-    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(1, min(most, math.ceil(rows / 2_000)))
+    spark = df.sparkSession
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, min(most, math.ceil(rows / 2_000)), math.ceil(2 * rows / rows_per_range(spark)))
     return df.repartition(tasks, *[F.col(c) for c in keys])
 
 
@@ -204,10 +344,11 @@ def order_statistics(
     """Exact values at the given 1-based ranks, and the number of values.
 
     ``ranks_of(n)`` names the wanted ranks once the count is known. Each rank is enclosed
-    in a value interval that approximate percentiles narrow until it holds few rows; the
-    interval's own rows are then counted per distinct value and read off exactly. The data
-    is scanned a few times, nothing but the last small interval is shuffled, and only
-    numbers reach the driver.
+    in a value interval that approximate percentiles narrow until it holds at most ``limit``
+    rows. Each round also splits off the interval's two end values, however many rows they
+    hold, so ties cannot keep it wide. Its rows are then counted per distinct value and read off
+    exactly. The data is scanned a few times, nothing but the last small interval is shuffled,
+    and only numbers reach the driver.
     """
     src = df.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
     if dict(src.dtypes)["v"] == "double":
@@ -220,21 +361,17 @@ def order_statistics(
 
     v = F.col("v")
     accuracy = 10_000
-    for _ in range(6):
-        wide = [r for r, (lo, hi, _, inside) in box.items() if inside > limit and lo < hi]
-        if not wide:
-            break
+    while wide := [r for r, (lo, hi, _, inside) in box.items() if inside > limit and lo < hi]:
         scan = src.where(v.between(min(box[r][0] for r in wide), max(box[r][1] for r in wide)))
         guess = scan.agg(*[_bracket(v, *box[r], r, accuracy).alias(str(r)) for r in wide]).first()
-        cuts = {r: guess[str(r)] for r in wide}
-        counts = scan.agg(
-            *[F.count_if((v >= box[r][0]) & (v < cuts[r][0])).alias(f"b{r}") for r in wide],
-            *[F.count_if(v.between(*cuts[r])).alias(f"i{r}") for r in wide],
-        ).first()
+        counts = scan.agg(*[_interval(v, box[r], *guess[str(r)]).alias(str(r)) for r in wide]).first()
         for r in wide:
-            below, inside = box[r][2] + counts[f"b{r}"], counts[f"i{r}"]
-            if below < r <= below + inside:
-                box[r] = (cuts[r][0], cuts[r][1], below, inside)
+            lo, hi = guess[str(r)]
+            below, inside = box[r][2] + counts[str(r)]["below"], counts[str(r)]["inside"]
+            if not below < r <= below + inside:
+                # The guess missed the rank: only the ends of the interval are split off.
+                lo, hi, below, inside = box[r]
+            box[r] = _split_ends(src, v, r, lo, hi, below, inside)
 
     out = {r: lo for r, (lo, hi, _, _) in box.items() if lo == hi}
     left = [r for r in wanted if r not in out]
@@ -256,6 +393,28 @@ def order_statistics(
     return total, out
 
 
+def _interval(v: Column, box: tuple, lo, hi) -> Column:
+    """Rows of the box below ``lo``, and rows from ``lo`` to ``hi``."""
+    return F.struct(
+        F.count_if((v >= box[0]) & (v < lo)).alias("below"), F.count_if(v.between(lo, hi)).alias("inside")
+    )
+
+
+def _split_ends(src: DataFrame, v: Column, rank: int, lo, hi, below: int, inside: int) -> tuple:
+    """The interval without its end values, or one value where the rank is among an end's rows."""
+    if lo == hi:
+        return lo, hi, below, inside
+    between = F.when((v > lo) & (v < hi), v)
+    least, most, first, last = src.where(v.between(lo, hi)).agg(
+        F.min(between), F.max(between), F.count_if(v == lo), F.count_if(v == hi)
+    ).first()
+    if rank <= below + first:
+        return lo, lo, below, first
+    if rank > below + inside - last:
+        return hi, hi, below + inside - last, last
+    return least, most, below + first, inside - first - last
+
+
 def _bracket(v: Column, lo, hi, below: int, inside: int, rank: int, accuracy: int) -> Column:
     """Approximate percentiles a little to both sides of the wanted rank."""
     share = (rank - below) / inside

@@ -8,7 +8,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ranges import global_rank, halo, order_statistics, range_points, running
+from tidemark.operators.ranges import (
+    BEFORE,
+    UPTO,
+    global_rank,
+    halo,
+    order_statistics,
+    range_points,
+    running,
+    settled,
+    sweep,
+)
 from tidemark.schema import LATENCY_BUCKETS
 from tidemark.session import materialize
 
@@ -197,15 +207,15 @@ def alert_islands(
     A missing step ends a stretch.
     """
     step = int(step_minutes * MINUTE)
-    points = range_points(series, time)
-    rows = series.withColumn("_on", F.coalesce(condition, F.lit(False)))
+    rows, points = settled(series.withColumn("_on", F.coalesce(condition, F.lit(False))), time)
     state = F.struct(F.col(time).alias("t"), F.col("_on").alias("on"))
-    rows = running(rows, by, [time], {"_before": ("last", state)}, points, inclusive=False)
     goes_on = F.col("_before.on") & (F.col(time) - F.col("_before.t") <= step)
-    rows = rows.withColumn("_start", (~F.coalesce(goes_on, F.lit(False))).cast("bigint"))
-    rows = running(
-        rows.where("_on").drop("_before"), by, [time], {"island": ("sum", F.col("_start"))}, points
-    )
+    start = (F.col("_on") & ~F.coalesce(goes_on, F.lit(False))).cast("bigint")
+    levels = [
+        (None, {"_before": ("last", state, BEFORE)}),
+        (None, {"island": ("sum", start, UPTO)}),
+    ]
+    rows = sweep(rows, by, [time], levels, points).where("_on")
     islands = rows.groupBy(*by, "island").agg(
         F.min(time).alias("first_us"), F.max(time).alias("last_us"), F.count("*").alias("steps")
     )
