@@ -16,11 +16,14 @@ from tidemark.llm import (
     language,
     neighbours,
     pages,
+    phrases,
     pieces,
+    private,
     quality,
     shards,
     spans,
     toxicity,
+    whitening,
 )
 from tidemark.llm.common import components
 
@@ -313,6 +316,204 @@ def test_label_model_follows_accurate_voters():
     assert np.mean((post > 0.5) == truth) > 0.93
 
 
+def test_label_model_rises_and_finds_dependent_voters():
+    """The likelihood never falls, a copied voter counts as one, and the vote of the majority is beaten."""
+    rng = np.random.default_rng(4)
+    truth = rng.random(4000) < 0.25
+    votes = np.zeros((4000, 6), int)
+    for j, (hit, false) in enumerate([(0.85, 0.02), (0.75, 0.03), (0.8, 0.04), (0.5, 0.45)]):
+        votes[:, j] = rng.random(4000) < np.where(truth, hit, false)
+    votes[:, 4] = np.where(rng.random(4000) < 0.97, votes[:, 3], 1 - votes[:, 3])
+    votes[:, 5] = -(rng.random(4000) < np.where(truth, 0.05, 0.6)).astype(int)
+    history = []
+    post = toxicity.label_model(votes, np.full(4000, -1), history=history)
+    assert all(b[1] >= a[1] - 1e-6 for a, b in zip(history, history[1:]) if a[0] == b[0])
+    assert {3, 4} in [set(e) for e in history[-1][0]]
+    majority = np.mean((votes.sum(1) > 0) == truth)
+    assert np.mean((post > 0.5) == truth) > max(majority, 0.95)
+    # Counted patterns give the same posteriors as the rows.
+    every, at, times = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    assert np.allclose(toxicity.label_model(every, np.full(len(every), -1), times)[at.ravel()], post, atol=1e-5)
+
+
+BASE_PII = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        x = int(c) * (1 + i % 2)
+        total += x - 9 * (x > 9)
+    return total % 10 == 0
+
+
+def brute_pii(text):
+    out = []
+    for kind, pattern in BASE_PII.items():
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m.group())
+            good = {
+                "email": True,
+                "ip": kind != "ip" or all(int(x) <= 255 for x in m.group().split(".")),
+                "card": 13 <= len(digits) <= 19 and luhn(digits),
+                "phone": 9 <= len(digits) <= 15,
+            }[kind]
+            if good:
+                out.append(f"{kind}:{m.start()}:{m.end()}")
+    return out
+
+
+def test_private_data(spark):
+    rng = random.Random(1)
+    bits = ["a", "@", ".", "b.c", "1", "23", "4", "5.6", "+", " ", "-", "(", "_", "é", "🙂", "\x01", "4111111111111111",
+            "4111 1111-1111 1111", "10.0.0.1", "999", "x@y.zz", "+1 555 123 4567", "007.00.0.255", "256.1.1.1"]
+    texts = [None, "", "a@b.c_x@d.e", "1.2.3.4.5.6.7.8", "mail a@b.c+d@e.f"] + ["".join(rng.choices(bits, k=rng.randrange(60))) for _ in range(400)]
+    texts += ["1." * 20_000, "a." * 20_000 + "@b", "+1 " * 20_000, "x@y.zz " * 3_000]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)] + [(None, "a@b.c", None, None, None), (2, texts[2], "en", "s", 0)]
+    out = private.report(frame(spark, rows, True)).collect()
+    assert len(out) == len(rows)
+    text = dict((r[0], r[1]) for r in rows)
+    for r in out:
+        want = brute_pii(text[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest()
+        assert set(want) <= set(r.spans.split(","))
+        for kind in BASE_PII:
+            assert r[f"n_{kind}"] == sum(w.startswith(kind) for w in want)
+    assert private.report(frame(spark, rows).limit(0)).count() == 0
+
+
+def test_private_data_beyond_patterns(spark):
+    """Checksums confirm, borders and nearby words decide."""
+    cases = [
+        ("pay to GB82 WEST 1234 5698 7654 32 now", "iban:7:34"), ("pay to GB83 WEST 1234 5698 7654 32 now", ""),
+        ("xGB82WEST12345698765432", ""), ("my SSN is 123-45-6789.", "ssn:10:21"), ("part 123-45-6789.", ""),
+        ("ssn 000-45-6789", ""), ("call (555) 123-4567 now", "local_phone:5:19"), ("size (555) 123-4567 now", ""),
+        ("call +1 (555) 123-4567", "phone:5:22"),
+    ]
+    rows = [(i, t, "en", "s", 0) for i, (t, _) in enumerate(cases)]
+    found = {r.doc_id: r for r in private.report(frame(spark, rows)).collect()}
+    assert [found[i].spans for i in range(len(cases))] == [want for _, want in cases]
+    spans_ = private.find(frame(spark, rows)).where("doc_id = 3").first().ssn
+    assert [(s.text, s.score) for s in spans_] == [("123-45-6789", 0.6)]
+
+
+def brute_whitening(rows, keep=8):
+    c = np.array([r[1] for r in rows], "float32").astype("float64")
+    x = np.floor(1024 * c).astype("int64") + 100_000
+    n, s = len(x), x.sum(0)
+    values, axes = np.linalg.eigh(np.cov(x.T.astype("float64"), bias=True))
+    values, axes = values[::-1][:keep], axes[:, ::-1][:, :keep]
+    return ((n * x - s) ** 2).sum(1), ((x - s / n) @ axes) / np.sqrt(values), values / np.trace(np.cov(x.T, bias=True))
+
+
+def test_whitening(spark):
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(500, 12)) * np.arange(1, 13)
+    rows = [(i, [float(v) for v in r], 0) for i, r in enumerate(base)]
+    rows += [rows[3], (None, rows[4][1], 0)]
+    odd = [(900, None, 0), (901, [1.0] * 11 + [None], 0), (902, [float("nan")] * 12, 0), (903, [float("inf")] + [0.0] * 11, 0), (904, [1.0], 0), (905, [], 0)]
+    df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>, n int").repartition(3)
+    out = whitening.whiten(df).collect()
+    far, white, share = brute_whitening(rows)
+    assert len(out) == 8 * len(rows) and {r.n for r in out} == {len(rows)}
+    for k in range(8):
+        got = {r.vec_id: r for r in out if r.component == k + 1}
+        sign = np.sign(got[0].whitened * white[0, k])
+        for i in range(500):
+            assert got[i].deviation == far[i]
+            assert abs(sign * got[i].whitened - white[i, k]) < 1e-10
+            assert abs(got[i].explained - share[k]) < 1e-12 and got[i].identity_error < 1e-9
+
+
+def test_whitening_of_few_and_equal_rows(spark):
+    schema = "vec_id long, embedding array<double>"
+    cross = [(i, [float(i == j) - float(i == j + 4) for j in range(4)]) for i in range(8)]
+    out = whitening.whiten(spark.createDataFrame(cross, schema)).collect()
+    assert len(out) == 32 and {round(r.explained, 12) for r in out} == {0.25}
+    assert max(r.identity_error for r in out) < 1e-12
+    line = [(i, [float(i), 2.0 * i, 0.0]) for i in range(5)]
+    out = whitening.whiten(spark.createDataFrame(line, schema)).collect()
+    assert len(out) == 5 and {r.component for r in out} == {1} and out[0].explained == 1.0
+    huge = [(i, [4e11 * (-1) ** i, float(i)]) for i in range(6)]
+    out = whitening.whiten(spark.createDataFrame(huge, schema)).collect()
+    assert len(out) == 12 and {r.deviation for r in out} == {None}
+    for rows in ([(1, [1.0, 2.0])] * 3, []):
+        assert whitening.whiten(spark.createDataFrame(rows, schema)).count() == 0
+
+
+def test_characteristic_polynomial(spark):
+    rng = np.random.default_rng(1)
+    for d in (1, 2, 5, 9):
+        a = rng.integers(-10**6, 10**6, (d, d))
+        a = (a @ a.T).tolist()
+        poly = whitening.polynomial(spark, a)
+        # Faddeev and LeVerrier's way, in whole numbers.
+        m, want = [[0] * d for _ in range(d)], [1]
+        for k in range(1, d + 1):
+            m = [[sum(a[i][t] * (m[t][j] + want[-1] * (t == j)) for t in range(d)) for j in range(d)] for i in range(d)]
+            want.append(-sum(m[i][i] for i in range(d)) // k)
+        assert poly == want[::-1]
+
+
+def brute_phrases(rows, least, percent, top):
+    count, n = Counter(), Counter()
+    for r in rows:
+        lang = r[2] or "und"
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in r[1] or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", low):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(w)
+            for k in (1, 2, 3):
+                count.update((lang, *w[i : i + k]) for i in range(len(w) - k + 1))
+    out = {}
+    for (lang, *w), a in count.items():
+        if len(w) < 2 or a < least:
+            continue
+        if len(w) == 2 and any(
+            len(x) == 4 and x[0] == lang and b >= least and (list(x[1:3]) == w or list(x[2:4]) == w) and 100 * b >= percent * a
+            for x, b in count.items()
+        ):
+            continue
+        cuts = [(10**6 * a * a // (count[(lang, *w[:k])] * count[(lang, *w[k:])]), k) for k in range(1, len(w))]
+        score, k = min(cuts)
+        out.setdefault(lang, []).append((-score, -a, " ".join(w).encode(), count[(lang, *w[:k])], count[(lang, *w[k:])]))
+    return Counter(
+        (lang, i + 1, p.decode(), -a, left, right, n[lang], -s)
+        for lang, found in out.items() for i, (s, a, p, left, right) in enumerate(sorted(found)[:top])
+    )
+
+
+@pytest.mark.parametrize("stretch", [phrases.STRETCH, 50])
+def test_phrases(spark, monkeypatch, stretch):
+    monkeypatch.setattr(phrases, "STRETCH", stretch)
+    monkeypatch.setattr(phrases, "CHARS_PER_BUCKET", 2000)
+    monkeypatch.setattr(phrases, "BLOCK", 4)
+    rng = random.Random(6)
+    line = "the quick brown fox jumps over the lazy dog and runs away from it all day long".split()
+    rows = []
+    for i in range(40):
+        words = rng.choices(VOCABULARY[:12], k=60) + line[: 5 + i % 12] + ["go"] * (i % 6)
+        rng.random() < 0.5 and words.insert(rng.randrange(len(words)), "Stop.")
+        rows.append((i, rng.choice([" ", "  ", "\t"]).join(words) + rng.choice(["!", "\n", ""]), rng.choice(["en", "de", None]), "s", 0))
+    rows += [(90, None, "en", "s", 0), (91, "", None, "s", 0), (92, " .,;\n", "xx", "s", 0), (None, "É é Go go", "en", None, 0), rows[0]]
+    got = answers(phrases.phrases(frame(spark, rows, True), 5, 50, 30))
+    assert got == brute_phrases(rows, 5, 50, 30)
+    assert phrases.phrases(frame(spark, rows).limit(0)).count() == 0
+
+
+def test_phrases_share_no_hash(spark, monkeypatch):
+    """Words that share a hash are told apart with another seed."""
+    plain = phrases.xxhash.xxh64_intdigest
+    monkeypatch.setattr(phrases.xxhash, "xxh64_intdigest", lambda w, seed=0: plain(w, seed=seed) % (8 if seed < 2 else 2**64))
+    rows = [(i, "one two three four five six seven eight nine ten", "en", "s", 0) for i in range(12)]
+    assert answers(phrases.phrases(frame(spark, rows), 5, 50, 30)) == brute_phrases(rows, 5, 50, 30)
+
+
 def test_language(spark):
     rng = random.Random(1)
     parts = {"aa": ["tion", "ing", "er", "the"], "bb": ["ción", "ñ", "rr", "los"], "cc": ["sch", "ü", "ver", "ung"]}
@@ -408,9 +609,13 @@ def test_shards(spark):
     known = out[out.doc_id.notna()]
     homes = {}
     for r in known.itertuples():
-        assert r.size == len(text[r.doc_id].encode()) + 8 or True
         homes.setdefault((r.text_crc32, getattr(r, "size")), set()).add(r.shard)
     assert all(len(h) == 1 for h in homes.values())
+    want = Counter((r[0], len((r[1] or "").encode()) + 8, zlib.crc32((r[1] or "").encode())) for r in rows if r[0] is not None)
+    assert Counter(zip(known.doc_id.astype(int), known["size"], known.text_crc32)) == want
+    # All but the shard of the largest group come out near equal.
+    total = sorted(out.groupby("shard")["size"].sum())
+    assert len(total) == 24 and total[-2] - total[0] <= out["size"].max()
 
 
 def test_packing():

@@ -1,17 +1,18 @@
 """Toxicity by weak supervision.
 
 Voters look at a text: word lists (general insults by kind and language, and lists learned from
-the labelled rows), patterns, and two that vote for clean. A generative label model takes a vote
-as drawn from its voter's own chances given the class; they are estimated by expectation
-maximisation over a bounded sample, in which labelled rows are known and others are not. Voters
-that agree beyond what the class explains are damped by their correlations. A linear classifier over words and
-votes is then trained on the posterior labels (follow-the-regularised-leader, which leaves few
-weights), and scores every whole text.
+a bounded sample of labelled rows), patterns, and two that vote for clean. The votes of all rows are
+counted by pattern, and a generative label model estimates from these counts alone how accurate
+the voters are and which depend on each other: each class draws the votes along a forest of
+significantly correlated voters, fitted by expectation maximisation from the majority vote. A
+linear classifier over words and votes is then trained on the posterior labels
+(follow-the-regularised-leader, which leaves few weights), and scores every whole text.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -19,12 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import arrow_map, fold
-from tidemark.llm.quality import sample, share_of
+from tidemark.llm.quality import sample
 
-SAMPLE_ROWS, SAMPLE_CHARS = 4_000, 8_000_000  # labelled rows; a third as many unlabelled ones
+SAMPLE_ROWS, SAMPLE_CHARS = 4_000, 8_000_000  # labelled rows
 LEARNED = 80  # words in the learned lists
 LISTS = 4
-ROUNDS = 40
+ROUNDS = 60
+SMOOTH = 0.1  # added to every count of a table
+SURE, LABEL = 3.0, 4.0  # log odds: the most that the label model may claim, and a label's vote
 EPOCHS = 4
 LEXICONS = {
     "mind": "stupid idiot idiots idiotic moron morons moronic dumb imbecile imbeciles fool fools dimwit halfwit brainless clown clowns",
@@ -87,33 +90,95 @@ def learn_lists(rows: list[frozenset], labels: np.ndarray) -> list[frozenset]:
     return [frozenset(top[i::LISTS]) for i in range(LISTS)]
 
 
-def label_model(votes: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Posterior of class 1 for each row. ``known`` is 0, 1 or -1 (not known)."""
+def label_model(
+    votes: np.ndarray, known: np.ndarray, weights: np.ndarray | None = None, history: list | None = None
+) -> np.ndarray:
+    """Posterior of class 1 for each row of ``votes`` (-1, 0, 1), which counts ``weights`` times.
+
+    A class draws the votes along a forest: each voter has a table of its own or one joint with the
+    voter it depends on. Expectation maximisation starts from the majority vote and first
+    takes voters as independent; then the pairs whose votes share significantly more than the class
+    explains become edges, the strongest first, and it goes on with their joint tables.
+    ``known`` is 0, 1 or -1 (not known); a known row keeps its class. ``history`` collects the
+    (edges, log likelihood) of every round; for the same edges it does not fall.
+    """
     n, m = votes.shape
-    seen = known >= 0
-    post = np.where(seen, known, np.where((votes == 1).any(1), 0.6, 0.05)).astype(float)
+    w = np.ones(n) if weights is None else weights.astype(float)
+    lead = (votes == 1).sum(1) - (votes == -1).sum(1)
+    post = np.where(known >= 0, known, 1 / (1 + np.exp(-np.clip(2.0 * lead - 1, -30, 30))))
     if n == 0:
         return post
-    hot = np.stack([votes == v for v in (-1, 0, 1)], 2).astype(float)
-    for _ in range(ROUNDS):
-        prior = (post.sum() + 1) / (n + 2)
-        yes = (np.einsum("i,ijk->jk", post, hot) + 0.5) / (post.sum() + 1.5)
-        no = (np.einsum("i,ijk->jk", 1 - post, hot) + 0.5) / ((1 - post).sum() + 1.5)
-        # What votes share beyond the class: correlation of their residuals.
-        mean = post[:, None] * (yes[:, 2] - yes[:, 0]) + (1 - post)[:, None] * (no[:, 2] - no[:, 0])
-        rest = votes - mean
-        scale = np.sqrt((rest**2).sum(0)) + 1e-9
-        corr = (rest.T @ rest) / np.outer(scale, scale)
-        damp = 1 / (1 + np.clip(corr - np.eye(m), 0, None).sum(1))
-        ratio = np.log(yes) - np.log(no)
-        logit = np.log(prior / (1 - prior)) + np.einsum("ijk,jk,j->i", hot, ratio, damp)
-        new = np.where(seen, known, 1 / (1 + np.exp(-np.clip(logit, -50, 50))))
-        if np.abs(new - post).max() < 1e-5:
-            break
-        post = new
+    v = votes + 1
+    edges: list[tuple[int, int]] = []
+    for settle in (False, True):
+        if settle:
+            edges = _edges(v, w, post)
+        for _ in range(ROUNDS):
+            both = np.stack([w * (1 - post), w * post])
+            score = np.log(both.sum(1) + 1)[:, None] - np.log(w.sum() + 2)
+            parents = {child: parent for parent, child in edges}
+            for j in range(m):
+                # A voter given its parent, or alone: counts per class, smoothed.
+                i = parents.get(j)
+                cell = v[:, j] if i is None else 3 * v[:, i] + v[:, j]
+                size = 3 if i is None else 9
+                table = np.stack([np.bincount(cell, x, size) for x in both]) + SMOOTH
+                table = table.reshape(2, -1, 3)
+                table = np.log(table / table.sum(2, keepdims=True)).reshape(2, -1)
+                score = score + table[:, cell]
+            total = np.logaddexp(score[0], score[1])
+            if history is not None:
+                history.append((tuple(edges), float((w * total).sum())))
+            new = np.where(known >= 0, known, np.exp(score[1] - total))
+            moved = np.abs(new - post).max()
+            post = new
+            if moved < 1e-6:
+                break
     return post
 
 
+def _edges(v: np.ndarray, w: np.ndarray, post: np.ndarray) -> list[tuple[int, int]]:
+    """(parent, child) pairs of a forest of the voters that agree beyond what the class explains."""
+    m = v.shape[1]
+    found = []
+    for i in range(m):
+        for j in range(i + 1, m):
+            shared = 0.0
+            for part in (w * (1 - post), w * post):
+                joint = np.bincount(3 * v[:, i] + v[:, j], part, 9).reshape(3, 3)
+                alone = joint.sum(1, keepdims=True) * joint.sum(0, keepdims=True) / max(joint.sum(), 1e-12)
+                at = joint > 1e-9
+                shared += float((joint[at] * np.log(joint[at] / alone[at])).sum())
+            # Twice this is about chi-square with 8 degrees of freedom; 26 is its upper thousandth.
+            if 2 * shared > 26:
+                found.append((shared, i, j))
+    root = list(range(m))
+
+    def top(i: int) -> int:
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    near: dict[int, list[int]] = {}
+    for _, i, j in sorted(found, key=lambda x: (-x[0], x[1:])):
+        if top(i) != top(j):
+            root[top(i)] = top(j)
+            near.setdefault(i, []).append(j)
+            near.setdefault(j, []).append(i)
+    out, seen = [], set()
+    for start in sorted(near):
+        line = [start] if start not in seen else []
+        seen.add(start)
+        while line:
+            i = line.pop()
+            for j in near[i]:
+                if j not in seen:
+                    seen.add(j)
+                    out.append((i, j))
+                    line.append(j)
+    return out
+
+
 def linear(rows: list[list[int]], targets: np.ndarray, size: int, l1: float = 1.0, seed: int = 0):
     """Weights and bias of a logistic model over binary features, by follow-the-regularised-leader."""
     z, n, w = np.zeros(size), np.zeros(size), np.zeros(size)
@@ -146,13 +211,42 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(margin, -60, 60))))
 
 
-def train(texts: list[str | None], labels: list[int]) -> Model:
-    """``labels`` are 0, 1 or -1 (not known)."""
+def patterns(texts: DataFrame, voters: Voters) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct votes over all rows of ``texts``, and how many rows cast each.
+
+    They follow the voters, not the rows: few of the combinations ever occur.
+    """
+
+    def run(batches):
+        count: dict[bytes, int] = {}
+        for batch in batches:
+            for text in batch.column(0):
+                cast = np.array(voters.votes(text.as_py(), words(text.as_py())), "int8").tobytes()
+                count[cast] = count.get(cast, 0) + 1
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(count), pa.binary()), pa.array(list(count.values()), pa.int64())], names=["votes", "n"]
+        )
+
+    found = texts.select("text").mapInArrow(run, "votes binary, n long").groupBy("votes").agg(F.sum("n").alias("n"))
+    rows = sorted((bytes(r[0]), r[1]) for r in found.collect())
+    votes = np.frombuffer(b"".join(r[0] for r in rows), "int8").astype(int).reshape(len(rows), voters.size)
+    return votes, np.array([r[1] for r in rows], float)
+
+
+def train(texts: list[str | None], labels: list[int], cast: Callable[[Voters], tuple[np.ndarray, np.ndarray]]) -> Model:
+    """``labels`` (0, 1) teach the learned lists and count as one more vote on their row.
+
+    ``cast`` gives the votes of all rows with their counts; the label model is fitted on these alone.
+    The classifier's targets are the posteriors of both.
+    """
     rows, known = [words(t) for t in texts], np.array(labels, int)
-    taught = [i for i in range(len(rows)) if known[i] >= 0]
-    voters = Voters(learn_lists([rows[i] for i in taught], known[taught]))
-    votes = np.array([voters.votes(t, r) for t, r in zip(texts, rows, strict=True)]).reshape(len(rows), voters.size)
-    post = label_model(votes, known)
+    voters = Voters(learn_lists(rows, known))
+    votes = np.array([voters.votes(t, r) for t, r in zip(texts, rows, strict=True)], int).reshape(len(rows), voters.size)
+    every, times = cast(voters)
+    post = dict(zip(map(tuple, every.tolist()), label_model(every, np.full(len(every), -1), times), strict=True))
+    model = np.clip([post.get(tuple(v), 0.0) for v in votes.tolist()], 1e-9, 1 - 1e-9)
+    odds = np.clip(np.log(model / (1 - model)), -SURE, SURE) + np.where(known == 1, LABEL, -LABEL)
+    targets = 1 / (1 + np.exp(-odds))
     count: dict[str, int] = {}
     for found in rows:
         for w in found:
@@ -160,10 +254,10 @@ def train(texts: list[str | None], labels: list[int]) -> Model:
     vocabulary = sorted(w for w, c in count.items() if c > 2)
     index = {w: i + voters.size for i, w in enumerate(vocabulary)}
     features = [
-        [*np.flatnonzero(v).tolist(), *(index[w] for w in found if w in index)] for v, found in zip(votes, rows, strict=True)
+        [*np.flatnonzero(v).tolist(), *(index[w] for w in sorted(found) if w in index)] for v, found in zip(votes, rows, strict=True)
     ]
     # A voter's feature is its vote being cast; clean voters have a weight of their own sign.
-    weights, bias = linear(features, post, voters.size + len(vocabulary))
+    weights, bias = linear(features, targets, voters.size + len(vocabulary))
     sign = np.ones(voters.size)
     sign[-2:] = -1
     kept = {w: float(weights[i]) for w, i in index.items() if weights[i]}
@@ -171,15 +265,11 @@ def train(texts: list[str | None], labels: list[int]) -> Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, mod: int = 3, held: int = 1) -> Model:
-    """Train outside the held-out fold; at most about ``SAMPLE_ROWS`` * 4 / 3 texts reach the driver."""
+    """Train outside the held-out fold: about ``SAMPLE_ROWS`` labelled texts and the votes of all rows."""
     known = labels.where(F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("label"))
     texts = docs.where(fold("doc_id", mod) != held).select("doc_id", "text")
     rows = sample(texts, known, SAMPLE_ROWS, SAMPLE_CHARS)
-    count, size = texts.agg(F.count("*"), F.sum(F.length("text"))).first()
-    share = min(SAMPLE_ROWS / 3 / max(1, count), SAMPLE_CHARS / 3 / max(1, size or 1))
-    free = texts.where(share_of("doc_id", share, 1)).join(labels.select("doc_id").distinct(), "doc_id", "left_anti")
-    rows += sorted(((r[0], r[1] or "", -1) for r in free.collect()), key=lambda r: (str(r[0]), r[1]))
-    return train([r[1] for r in rows], [r[2] for r in rows])
+    return train([r[1] for r in rows], [r[2] for r in rows], lambda voters: patterns(texts, voters))
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
