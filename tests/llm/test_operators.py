@@ -327,8 +327,8 @@ def test_label_model_rises_and_finds_dependent_voters():
     votes[:, 5] = -(rng.random(4000) < np.where(truth, 0.05, 0.6)).astype(int)
     history = []
     post = toxicity.label_model(votes, np.full(4000, -1), history=history)
-    assert all(b[1] >= a[1] - 1e-6 for a, b in zip(history, history[1:]) if a[0] == b[0])
-    assert {3, 4} in [set(e) for e in history[-1][0]]
+    assert all(b[2] >= a[2] - 1e-6 for a, b in zip(history, history[1:]) if a[:2] == b[:2])
+    assert {3, 4} in [set(e) for e in history[-1][1]]
     majority = np.mean((votes.sum(1) > 0) == truth)
     assert np.mean((post > 0.5) == truth) > max(majority, 0.95)
     # Counted patterns give the same posteriors as the rows.

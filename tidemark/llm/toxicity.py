@@ -26,6 +26,7 @@ SAMPLE_ROWS, SAMPLE_CHARS = 4_000, 8_000_000  # labelled rows
 LEARNED = 80  # words in the learned lists
 LISTS = 4
 ROUNDS = 60
+FORESTS = 6
 SMOOTH = 0.1  # added to every count of a table
 SURE, LABEL = 3.0, 4.0  # log odds: the most that the label model may claim, and a label's vote
 EPOCHS = 4
@@ -96,45 +97,62 @@ def label_model(
     """Posterior of class 1 for each row of ``votes`` (-1, 0, 1), which counts ``weights`` times.
 
     A class draws the votes along a forest: each voter has a table of its own or one joint with the
-    voter it depends on. Expectation maximisation starts from the majority vote and first
-    takes voters as independent; then the pairs whose votes share significantly more than the class
-    explains become edges, the strongest first, and it goes on with their joint tables.
-    ``known`` is 0, 1 or -1 (not known); a known row keeps its class. ``history`` collects the
-    (edges, log likelihood) of every round; for the same edges it does not fall.
+    voter it depends on. Edges are the pairs whose votes share significantly more than the class
+    explains, the strongest first; they are found again under what expectation maximisation with
+    their tables gives, until the forest stays (``FORESTS`` times at most). There are two starts from the
+    majority vote: with no edges (pairs that only the vote links are not taken for
+    dependent) and with those found under it (two voters that copy each other do not pass for the
+    class). The likelier outcome counts, less the usual penalty of its tables (half the logarithm of
+    the rows for each parameter). ``known`` is 0, 1 or -1 (not known); a known row keeps its class.
+    ``history`` collects the (start, edges, log likelihood) of every round; it does not fall while
+    the edges stay.
     """
-    n, m = votes.shape
+    n = len(votes)
     w = np.ones(n) if weights is None else weights.astype(float)
     lead = (votes == 1).sum(1) - (votes == -1).sum(1)
-    post = np.where(known >= 0, known, 1 / (1 + np.exp(-np.clip(2.0 * lead - 1, -30, 30))))
+    first = np.where(known >= 0, known, 1 / (1 + np.exp(-np.clip(2.0 * lead - 1, -30, 30))))
     if n == 0:
-        return post
-    v = votes + 1
-    edges: list[tuple[int, int]] = []
-    for settle in (False, True):
-        if settle:
-            edges = _edges(v, w, post)
-        for _ in range(ROUNDS):
-            both = np.stack([w * (1 - post), w * post])
-            score = np.log(both.sum(1) + 1)[:, None] - np.log(w.sum() + 2)
-            parents = {child: parent for parent, child in edges}
-            for j in range(m):
-                # A voter given its parent, or alone: counts per class, smoothed.
-                i = parents.get(j)
-                cell = v[:, j] if i is None else 3 * v[:, i] + v[:, j]
-                size = 3 if i is None else 9
-                table = np.stack([np.bincount(cell, x, size) for x in both]) + SMOOTH
-                table = table.reshape(2, -1, 3)
-                table = np.log(table / table.sum(2, keepdims=True)).reshape(2, -1)
-                score = score + table[:, cell]
-            total = np.logaddexp(score[0], score[1])
+        return first
+    v, best = votes + 1, None
+    for start in (0, 1):
+        post, before = first, None
+        edges = _edges(v, w, post) if start else []
+        for _ in range(FORESTS):
+            post, rounds = _maximised(v, w, post, known, edges)
             if history is not None:
-                history.append((tuple(edges), float((w * total).sum())))
-            new = np.where(known >= 0, known, np.exp(score[1] - total))
-            moved = np.abs(new - post).max()
-            post = new
-            if moved < 1e-6:
+                history += [(start, tuple(edges), r) for r in rounds]
+            value = rounds[-1] - 4 * len(edges) * np.log(w.sum() + 1)
+            before, edges = edges, _edges(v, w, post)
+            if edges == before:
                 break
-    return post
+        if best is None or value > best[0]:
+            best = (value, post)
+    return best[1]
+
+
+def _maximised(
+    v: np.ndarray, w: np.ndarray, post: np.ndarray, known: np.ndarray, edges: list[tuple[int, int]]
+) -> tuple[np.ndarray, list[float]]:
+    """The posterior that expectation maximisation ends in, and the likelihood of each round."""
+    parents = {child: parent for parent, child in edges}
+    rounds = []
+    for _ in range(ROUNDS):
+        both = np.stack([w * (1 - post), w * post])
+        score = np.repeat((np.log(both.sum(1) + 1) - np.log(w.sum() + 2))[:, None], len(v), 1)
+        for j in range(v.shape[1]):
+            # A voter given its parent, or alone: counts per class, smoothed.
+            i = parents.get(j)
+            cell = v[:, j] if i is None else 3 * v[:, i] + v[:, j]
+            table = np.stack([np.bincount(cell, x, 3 if i is None else 9) for x in both]) + SMOOTH
+            table = table.reshape(2, -1, 3)
+            score = score + np.log(table / table.sum(2, keepdims=True)).reshape(2, -1)[:, cell]
+        total = np.logaddexp(score[0], score[1])
+        rounds.append(float((w * total).sum()))
+        new = np.where(known >= 0, known, np.exp(score[1] - total))
+        moved, post = np.abs(new - post).max(), new
+        if moved < 1e-6:
+            break
+    return post, rounds
 
 
 def _edges(v: np.ndarray, w: np.ndarray, post: np.ndarray) -> list[tuple[int, int]]:
