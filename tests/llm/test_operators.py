@@ -529,6 +529,28 @@ def test_language(spark):
     assert language.identify(frame(spark, odd[:2])).count() == 2
 
 
+def test_language_of_few_long_texts(spark):
+    """A language of three very long texts is learned, and numbers that Unicode calls words are no letters."""
+    rng = random.Random(2)
+    parts = {"aa": ["tion", "ing", "er"], "bb": ["ción", "ñ", "rr"]}
+    long = [(i, " ".join("".join(rng.choices(parts["bb"], k=3)) for _ in range(60_000)), "bb", "s", 0) for i in (1, 2, 3)]
+    many = [(i, " ".join("".join(rng.choices(parts["aa"], k=3)) for _ in range(40)), "aa", "s", 0) for i in range(10, 200)]
+    odd = [(500, "² ½ ① Ⅷ", "aa", "s", 0), many[0]]
+    assert any(zlib.crc32(str(i).encode()) % 4 != 2 for i in (1, 2, 3))
+    out = {r.doc_id: r for r in language.identify(frame(spark, long + many + odd)).collect()}
+    assert all(out[r[0]].lang_pred == r[2] for r in long + many) and out[500].lang_pred == "und"
+
+
+def test_one_giant_labelled_text(spark):
+    """It costs the other rows of the sample nothing."""
+    docs, labels = labelled_docs(200)
+    docs.append((900, "ba###x du###y " * 300_000, "en", "s", 0))
+    known = spark.createDataFrame([(x[0], x[1]) for x in labels if x[1] is not None and x[0] is not None] + [(900, 0)], "doc_id long, label int")
+    rows = quality.sample(frame(spark, docs), known, 300, 60_000)
+    assert len({r[0] for r in rows}) == 201 and sum(len(r[1]) for r in rows) <= 60_000
+    assert [r[1] for r in rows if r[0] == 7] == [d[1] for d in docs if d[0] == 7]
+
+
 def test_language_code_lengths_add_up():
     """The chances of all bytes after a context, escapes included, add up to at most one."""
     tree = language.Tree(Counter({"banana": 3, "bandana": 1}))

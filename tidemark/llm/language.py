@@ -15,15 +15,20 @@ import re
 from collections import Counter, defaultdict
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import arrow_map, fold
+from tidemark.llm.quality import stretch
 
 ORDER = 4
-SAMPLE_CHARS = 1_500_000  # characters of each language that are counted, about
+LANGUAGES = 500
+SAMPLE_ROWS = 1_000  # rows of each language that are counted
+SAMPLE_CHARS = 1_500_000  # and their characters
 CACHE = 200_000
-_LETTERS = re.compile(r"[^\W\d_]+")
+# Letters only: what Python counts as part of a word without being a letter goes.
+_OTHERS = "".join(c for c in map(chr, range(0x20000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_LETTERS = re.compile(f"[^\\W\\d_{_OTHERS}]+")
 
 
 def words(text: str | None) -> Counter:
@@ -101,21 +106,31 @@ class Model:
         return self.names[total.index(least)], share
 
 
+def _shares(spark: SparkSession, sizes: dict[str, int], chars: int) -> DataFrame:
+    """lang, share: characters that each picked row of a language may give."""
+    rows = [(lang, max(1, chars // min(SAMPLE_ROWS, n))) for lang, n in sizes.items()]
+    return spark.createDataFrame(rows, "lang string, share int")
+
+
 def fit(docs: DataFrame, mod: int = 4, held: int = 2, chars: int = SAMPLE_CHARS) -> Model:
     """Count the trees on rows with text and language outside the held-out fold.
 
-    The number of languages is taken to be small. Each language's rows are picked by a hash
-    of the id so that about ``chars`` characters of it reach the driver.
+    Learned are the ``LANGUAGES`` languages with the most rows. Of each, at most ``SAMPLE_ROWS`` rows come
+    first, by a hash of their id, and of a text longer than its even share of ``chars`` a stretch
+    is counted: a language of a few very long texts keeps them all.
     """
     rows = docs.where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold("doc_id", mod) != held)
     ).select("doc_id", "lang", "text")
-    sizes = {r[0]: r[1] for r in rows.groupBy("lang").agg(F.sum(F.length("text"))).collect()}
-    share = F.lit(0.0)
-    for lang, size in sizes.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, chars / max(1, size)))).otherwise(share)
-    picked = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * (1 << 30))
-    counts: dict[str, Counter] = {lang: Counter() for lang in sizes}
+    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+    sizes = {r[0]: r[1] for r in sizes.collect()}
+    part = _shares(rows.sparkSession, sizes, chars)
+    rows = rows.join(F.broadcast(part), "lang")
+    text = stretch(F.col("text"), F.col("share"), F.col("doc_id"), F.col("text"))
+    rows = rows.select("lang", F.xxhash64("doc_id").alias("at"), "doc_id", text.alias("text"))
+    first = Window.partitionBy("lang").orderBy("at", "doc_id", "text")
+    picked = rows.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= SAMPLE_ROWS)
+    counts: dict[str, Counter] = {lang: Counter() for lang in sorted(sizes)}
     for row in picked.select("lang", "text").collect():
         counts[row[0]].update(words(row[1]))
     return Model(counts)

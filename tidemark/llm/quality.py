@@ -24,8 +24,8 @@ from tidemark.llm.common import arrow_map, fold
 BUCKETS = 1 << 17
 WIDTH = 12
 GRAMS = (2, 3, 4)
-SAMPLE_ROWS = 3_000  # labelled rows that are trained on, at most (about)
-SAMPLE_CHARS = 8_000_000  # and their characters
+SAMPLE_ROWS = 3_000  # labelled rows that are trained on, at most
+SAMPLE_CHARS = 12_000_000  # and their characters
 EPOCHS = 6
 RATE = 0.4
 CACHE = 300_000
@@ -109,25 +109,27 @@ def train(texts: list[str | None], labels: list[int], seed: int = 0) -> Model:
     return Model(vectors, output, bias)
 
 
-def share_of(column: str, share: float, seed: int = 0) -> Column:
-    """Whether a hash of ``column`` falls into the first ``share`` of its range."""
-    return F.pmod(F.xxhash64(F.col(column), F.lit(seed)), F.lit(1 << 30)) < int(min(1.0, share) * (1 << 30))
+def stretch(text: Column, length: Column, *place: Column) -> Column:
+    """At most ``length`` characters of ``text``, from a place that a hash of ``place`` picks."""
+    start = F.pmod(F.xxhash64(*place), F.greatest(F.lit(1), F.length(text) - length + 1).cast("long"))
+    return F.substring(text, (start + 1).cast("int"), length.cast("int"))
 
 
 def sample(docs: DataFrame, known: DataFrame, limit: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> list:
-    """(doc_id, text, label) of about ``limit`` labelled rows and ``chars`` characters.
+    """(doc_id, text, label) of at most ``limit`` labelled rows and ``chars`` characters.
 
-    ``known`` has doc_id and label. The ids are picked first, by their hash; they are as few as
-    ``limit`` says, so they are broadcast and no text is shuffled.
+    ``known`` has doc_id and label. The rows come first, by a hash of their id: at most ``limit`` ids are
+    picked, so they are broadcast and no text is shuffled. Of a text longer than its even share of
+    ``chars`` a stretch is taken, so a very long one costs no other its place.
     """
-    share = limit / max(1, known.count())
-    picked = F.broadcast(known.where(share_of("doc_id", share)))
-    rows = docs.select("doc_id", "text").join(picked, "doc_id")
-    size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    if size > chars:
-        rows = rows.where(share_of("doc_id", share * chars / size))
-    found = rows.select("doc_id", "text", "label").collect()
-    return sorted(((r[0], r[1] or "", r[2]) for r in found), key=lambda r: (str(r[0]), r[1], r[2]))
+    by = F.xxhash64("doc_id")
+    picked = known.orderBy(by, "doc_id", "label").limit(limit)
+    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    share = F.lit(max(1, chars // max(1, min(limit, picked.count()))))
+    part = stretch(F.coalesce("text", F.lit("")), share, F.col("doc_id"), F.col("text"))
+    rows = rows.select("doc_id", part.alias("text"), "label").orderBy(by, "doc_id", "text", "label").limit(limit)
+    found = [(r[0], r[1], r[2]) for r in rows.collect()]
+    return sorted(found, key=lambda r: (str(r[0]), r[1], r[2]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", mod: int = 5, held: int = 0) -> Model:

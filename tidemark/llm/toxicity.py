@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import arrow_map, fold
 from tidemark.llm.quality import sample
 
-SAMPLE_ROWS, SAMPLE_CHARS = 4_000, 8_000_000  # labelled rows
+SAMPLE_ROWS, SAMPLE_CHARS = 4_000, 16_000_000  # labelled rows
 LEARNED = 80  # words in the learned lists
 LISTS = 4
 ROUNDS = 60
