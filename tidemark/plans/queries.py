@@ -14,8 +14,8 @@ from tidemark.plans import sql as q
 from tidemark.plans import tape as v
 from tidemark.plans.registry import query, r, rounded, sr
 from tidemark.schema import FEATURE_ALIASES, MODEL_FEATURES
-from tidemark.session import materialize
-from tidemark.sources import feed, replay
+from tidemark.session import materialize, scratch_path
+from tidemark.sources import feed, files, messages, replay, sinks
 
 KEY = ["product_id", "us", "seq"]
 NOW_US = 1_706_659_200_000_000  # 2024-01-31 00:00 UTC, just after the last event
@@ -59,6 +59,95 @@ def decode_feed(spark, sf):
     )
 
 
+@query(
+    "decode_ticks_top_level",
+    f"""WITH {q.TAPE}
+    SELECT seq, product_id, us, price, CASE WHEN seq % 4 <> 3 THEN bid_qty END AS bid_qty,
+           CASE WHEN seq % 4 <> 3 THEN ask_qty END AS ask_qty, trade_size FROM tape""",
+)
+def decode_ticks_top_level(spark, sf):
+    """Tick JSON with quantities and sizes in ``raw``, beside the price, in both, and only half there."""
+    t, kind = v.tape(spark, sf), F.col("seq") % 4
+    raw, top = (kind == 0), (kind == 1)
+    text = {c: F.col(c).cast("string") for c in ("price", "bid_qty", "ask_qty", "trade_size")}
+    inner = F.struct(
+        F.when(raw | (kind > 1), text["bid_qty"]).alias("best_bid_quantity"),
+        F.when(raw, text["ask_qty"]).alias("best_ask_quantity"),
+        F.when(raw, text["trade_size"]).alias("size"),
+        F.when(kind == 3, text["trade_size"]).alias("volume"),
+    )
+    value = F.to_json(
+        F.struct(
+            tk.iso_utc(F.timestamp_micros("us")).alias("timestamp"),
+            "product_id",
+            text["price"].alias("price"),
+            F.when(top, text["bid_qty"]).alias("best_bid_quantity"),
+            F.when(top | (kind == 2), text["ask_qty"]).alias("best_ask_quantity"),
+            F.when(top, text["trade_size"]).alias("trade_size"),
+            F.when(kind == 2, text["trade_size"]).alias("size"),
+            inner.alias("raw"),
+        )
+    )
+    ticks = feed.ticks_from_json(t.select("seq", value.alias("value")))
+    return ticks.select("seq", "product_id", "us", "price", "bid_qty", "ask_qty", "trade_size")
+
+
+@query(
+    "prediction_log_roundtrip",
+    f"""WITH {q.PREDS}
+    SELECT p.product_id, p.us, p.model_version, 'ml' AS model_variant, p.score, p.prediction, 2 AS schema_version,
+           t.price, t.price / 1000 AS log_return_300s, CAST(p.k AS DOUBLE) AS trade_intensity_300s,
+           CASE WHEN p.k % 3 = 0 THEN t.price / 7 END AS spread_mean_60s
+    FROM preds AS p JOIN tape AS t ON p.seq = t.seq""",
+)
+def prediction_log_roundtrip(spark, sf):
+    """The prediction log, written by day and read back from its files."""
+    p, t = v.predictions(spark, sf), v.tape(spark, sf).select("seq", "price")
+    given = {
+        "log_return_300s": F.col("price") / 1000,
+        "trade_intensity_300s": F.col("k").cast("double"),
+        "spread_mean_60s": F.when(F.col("k") % 3 == 0, F.col("price") / 7),
+    }
+    empty = {f: F.lit(0.0) for f in MODEL_FEATURES if f not in given}
+    scored = p.join(t, "seq").withColumns({**given, **empty, "model_variant": F.lit("ml")})
+    path = scratch_path(spark, "prediction-log")
+    sinks.write_prediction_log(scored, path, files_per_day=2)
+    log = files.prediction_files(spark, path)
+    return log.select(
+        "product_id", "us", "model_version", "model_variant", "score", "prediction",
+        "schema_version", "price", *[F.col(f"features.{f}").alias(f) for f in given],
+    )
+
+
+@query(
+    "decode_feature_messages",
+    f"""WITH {q.TAPE}
+    SELECT CASE WHEN seq % 97 = 0 THEN 'broken' WHEN seq % 50 = 0 THEN 'empty'
+                WHEN seq % 31 = 0 THEN 'time' ELSE 'ok' END AS reason,
+           count(*) AS messages, count(CASE WHEN seq % 97 > 0 AND seq % 50 > 0 AND k % 5 > 0 THEN 1 END) AS spreads,
+           sum(CASE WHEN seq % 97 > 0 AND seq % 50 > 0 THEN k ELSE 0 END) AS intensity
+    FROM tape GROUP BY 1""",
+)
+def decode_feature_messages(spark, sf):
+    """Feature messages among broken ones, with quoted, unusable and missing numbers."""
+    t, k, i = v.tape(spark, sf), F.col("k"), F.col("seq")
+    time = F.when(i % 31 == 0, "soon").otherwise(tk.iso_utc(F.timestamp_micros("us")))
+    spread = F.when(k % 5 == 1, F.col("price").cast("string")).when(k % 5 == 0, "n/a").otherwise("1")
+    good = F.to_json(
+        F.struct(
+            time.alias("timestamp"), "product_id", "price", spread.alias("spread_mean_60s"),
+            k.alias("trade_intensity_300s"),
+        )
+    )
+    value = F.when(i % 97 == 0, '{"timestamp": ').when(i % 50 == 0, " ").otherwise(good)
+    rows = messages.read_features(t.select(value.alias("value")))
+    return rows.groupBy(F.coalesce("reason", F.lit("ok")).alias("reason")).agg(
+        F.count("*").alias("messages"),
+        F.count("spread_mean_60s").alias("spreads"),
+        F.coalesce(F.sum("trade_intensity_300s"), F.lit(0.0)).cast("bigint").alias("intensity"),
+    )
+
+
 _PROPS = "CASE WHEN event_id % 97 = 0 THEN '{\"k\": ' WHEN event_id % 50 = 0 THEN '  ' ELSE props END"
 
 
@@ -311,6 +400,22 @@ def split_stratified(spark, sf):
     return parts.groupBy("label", "split").agg(F.count("*").alias("n"))
 
 
+@query(
+    "split_stratified_rows",
+    f"""WITH {q.PREDS}, numbered AS (
+      SELECT seq, k % 7 AS class, row_number() OVER w AS rn, count(*) OVER (PARTITION BY k % 7) AS total
+      FROM preds WINDOW w AS (PARTITION BY k % 7 ORDER BY CAST('0x' || substr(md5(CAST(seq AS VARCHAR)), 1, 15) AS BIGINT)))
+    SELECT seq, class, CASE WHEN rn <= ceil(total * 0.7) THEN 'train'
+                            WHEN rn <= ceil(total * 0.85) THEN 'val' ELSE 'test' END AS split
+    FROM numbered""",
+)
+def split_stratified_rows(spark, sf):
+    """Row by row, cut by a hash that both sides compute."""
+    rows = v.predictions(spark, sf).select("seq", (F.col("k") % 7).alias("class"))
+    digest = F.conv(F.substring(F.md5(F.col("seq").cast("string")), 1, 15), 16, 10)
+    return splits.split_stratified(rows, "class", ["seq"], spread=digest.cast("bigint"))
+
+
 # A store of the rows before the last tenth, and incoming rows that repeat its newest part
 # and come twice themselves.
 _STORE = f"""{q.TAPE}, numbered AS (

@@ -75,9 +75,10 @@ FEED_MESSAGE = T.StructType(
     ]
 )
 
+# The names above, in order.
 TICKER_FIELDS = _TICKER.fieldNames()
 
-# A tick as it lies in NDJSON files and on the topic: numbers are quoted.
+# A tick as it lies in NDJSON files and on the topic: numbers are quoted.
 TICK_JSON = T.StructType(
     [
         T.StructField("timestamp", T.StringType()),
@@ -88,6 +89,11 @@ TICK_JSON = T.StructType(
         T.StructField("high_24h", T.StringType()),
         T.StructField("best_bid", T.StringType()),
         T.StructField("best_ask", T.StringType()),
+        T.StructField("best_bid_quantity", T.StringType()),
+        T.StructField("best_ask_quantity", T.StringType()),
+        T.StructField("size", T.StringType()),
+        T.StructField("volume", T.StringType()),
+        T.StructField("trade_size", T.StringType()),
         T.StructField("raw", _TICKER),
     ]
 )
@@ -106,16 +112,39 @@ TICK = T.StructType(
     ]
 )
 
-PREDICTION_LOG = T.StructType(
+# Messages of the feature topic and the prediction log. Every field is read as text first,
+# so that a quoted or broken number does not lose its whole message.
+LOG_VERSION = 2
+_FEATURE_FIELDS = [T.StructField(f, T.StringType()) for f in MODEL_FEATURES]
+FEATURE_MESSAGE = T.StructType(
     [
         T.StructField("timestamp", T.StringType()),
+        T.StructField("product_id", T.StringType()),
+        T.StructField("price", T.StringType()),
+        T.StructField("volatility_spike", T.StringType()),
+        *_FEATURE_FIELDS,
+    ]
+)
+PREDICTION_MESSAGE = T.StructType(
+    [
+        T.StructField("schema_version", T.StringType()),
+        T.StructField("timestamp", T.StringType()),
+        T.StructField("product_id", T.StringType()),
         T.StructField("model_variant", T.StringType()),
         T.StructField("model_version", T.StringType()),
-        T.StructField("score", T.DoubleType()),
-        T.StructField("prediction", T.IntegerType()),
+        T.StructField("score", T.StringType()),
+        T.StructField("prediction", T.StringType()),
         T.StructField(
             "features",
-            T.StructType([T.StructField(f, T.DoubleType()) for f in MODEL_FEATURES]),
+            T.StructType(
+                [
+                    *_FEATURE_FIELDS,
+                    *[
+                        T.StructField(name, T.StringType())
+                        for name in ("timestamp", "product_id", "price", "ret_mean", "ret_std", "n")
+                    ],
+                ]
+            ),
         ),
     ]
 )
@@ -143,7 +172,7 @@ LOAD_TEST = T.StructType(
     ]
 )
 
-# Most preferred first; a file without any of them falls back to 0.05.
+# Most preferred first; a file without any of them falls back to 0.05.
 THRESHOLD_FIELDS = ["threshold_used", "threshold_10pct", "optimal_threshold"]
 DEFAULT_THRESHOLD = 0.05
 THRESHOLD_METADATA = T.StructType(

@@ -20,6 +20,8 @@ from tidemark.schema import FEED_MESSAGE, TICK_JSON, TICKER_FIELDS
 TICKER_EVENTS = ["update", "ticker", "snapshot"]
 TRADE_TYPES = ["match", "last_match"]
 TRADE_FIELDS = ["product_id", "price", "size", "time"]
+# Quantities and sizes that may stand beside the price.
+TOP_LEVEL = ["best_bid_quantity", "best_ask_quantity", "size", "volume", "trade_size"]
 
 
 def decode_feed(
@@ -84,12 +86,17 @@ def parse_ticks(df: DataFrame, has_price: Column | None = None, now: Column | No
 
     ``has_price`` tells whether the price key exists at all (default: it does, as in
     decoded messages); only without it the middle of the book is taken. Rows whose time
-    does not parse get a NULL ``us``; ``drop_invalid_times`` removes and counts them.
+    does not parse get a NULL ``us``; ``drop_invalid_times`` removes and counts them. Book
+    quantities lie in ``raw`` or beside the price, trade sizes beside the price or in ``raw``.
     """
+    top = {c: F.col(c) if c in df.columns else F.lit(None).cast("string") for c in TOP_LEVEL}
     has_price = F.lit(True) if has_price is None else has_price
     bid, ask = number(F.col("best_bid")), number(F.col("best_ask"))
-    bid_qty = number(truthy(F.col("raw.best_bid_quantity")))
-    ask_qty = number(truthy(F.col("raw.best_ask_quantity")))
+    bid_qty, ask_qty = (
+        number(first_truthy(F.col(f"raw.{c}"), top[c]))
+        for c in ("best_bid_quantity", "best_ask_quantity")
+    )
+    sizes = [top["size"], top["volume"], top["trade_size"], F.col("raw.size"), F.col("raw.volume")]
     both = bid_qty.isNotNull() & ask_qty.isNotNull()
     ts = event_time(F.col("timestamp"), now if now is not None else F.lit(None))
     other = [c for c in df.columns if c not in TICK_JSON.fieldNames()]
@@ -103,7 +110,7 @@ def parse_ticks(df: DataFrame, has_price: Column | None = None, now: Column | No
         ask.alias("best_ask"),
         F.when(both, bid_qty).alias("bid_qty"),
         F.when(both, ask_qty).alias("ask_qty"),
-        number(first_truthy(F.col("raw.size"), F.col("raw.volume"))).alias("trade_size"),
+        number(first_truthy(*sizes)).alias("trade_size"),
         number(F.col("volume_24h")).alias("volume_24h"),
         number(F.col("low_24h")).alias("low_24h"),
         number(F.col("high_24h")).alias("high_24h"),

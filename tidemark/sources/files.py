@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.ticks import micros
 from tidemark.schema import (
     DEFAULT_THRESHOLD,
     LOAD_TEST,
-    PREDICTION_LOG,
     THRESHOLD_FIELDS,
     THRESHOLD_METADATA,
     TICK_JSON,
 )
+from tidemark.sources.messages import decode_predictions
+
+# Files of the log: one that a single writer rolls, and those of a Spark writer.
+LOG_FILES = "{predictions_*.ndjson,part-*.json*}"
+DAY_FOLDER = "dt"
 
 
 def ndjson(
@@ -33,10 +38,22 @@ def tick_files(spark: SparkSession, path: str, stream: bool = False, **options)
     return ndjson(spark, path, TICK_JSON, "*.ndjson", stream, **options)
 
 
-def prediction_files(spark: SparkSession, path: str, stream: bool = False, **options) -> DataFrame:
-    logs = ndjson(spark, path, PREDICTION_LOG, "predictions_*.ndjson", stream, **options)
-    ts = F.try_to_timestamp(F.col("timestamp"))
-    return logs.withColumns({"ts": ts, "us": micros(ts)})
+def prediction_files(
+    spark: SparkSession, path: str, stream: bool = False, days: Sequence[str] | None = None, **options
+) -> DataFrame:
+    """The prediction log: files ``predictions_*.ndjson`` in the folder, and the day folders of
+    ``sinks.write_prediction_log``. ``days`` (as ``2024-01-31``) reads those folders only.
+
+    A line without a readable time, score or object is dropped (``messages.read_predictions``
+    tells why); an empty log gives no rows.
+    """
+    reader = (spark.readStream if stream else spark.read).options(**options)
+    reader = reader.option("pathGlobFilter", LOG_FILES).option("recursiveFileLookup", True)
+    if days is None:
+        lines = reader.text(path)
+    else:
+        lines = reader.text(f"{path}/{DAY_FOLDER}={{{','.join(days)}}}")
+    return decode_predictions(lines)
 
 
 def feature_table(spark: SparkSession, path: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql.utils import AnalysisException
 
 from tidemark.operators.joins import new_rows
 from tidemark.sources.kafka import to_messages
+from tidemark.sources.messages import prediction_messages
 
 
 def stored(spark: SparkSession, path: str) -> DataFrame | None:
@@ -38,6 +39,21 @@ def write_ndjson(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).json(path)
 
 
+def write_prediction_log(scored: DataFrame, path: str, files_per_day: int | None = None) -> None:
+    """Append scored rows to the prediction log, one folder per day of event time.
+
+    ``files.prediction_files`` reads it back. Rows without a time cannot be logged and are
+    refused. ``files_per_day`` gathers each day's rows in that many files at most.
+    """
+    if not scored.where("us is null").isEmpty():
+        raise ValueError("rows without a time cannot be logged")
+    rows = prediction_messages(scored).withColumn("dt", F.substring("timestamp", 1, 10))
+    if files_per_day:
+        part = F.pmod(F.xxhash64("timestamp", "product_id"), F.lit(files_per_day))
+        rows = rows.repartition(F.col("dt"), part)
+    rows.write.mode("append").partitionBy("dt").json(path)
+
+
 def write_messages(df: DataFrame, servers: str, topic: str, key: str = "product_id") -> None:
     (
         to_messages(df, key)
