@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import ticks as tk
 from tidemark.operators import drift as dr
-from tidemark.operators import joins, labels, metrics, models, quality, slo, splits, stats
+from tidemark.operators import joins, labels, metrics, models, quality, sketches, slo, splits, stats
 from tidemark.operators.features import tick_features
 from tidemark.operators.scoring import baseline_score, baseline_scorer, fit_baseline, score_table
 from tidemark.plans import sql as q
@@ -1218,6 +1218,35 @@ def drift_wasserstein(spark, sf):
     return rounded(dr.drift_wasserstein(*v.drift_tables(spark, sf), DRIFT_COLUMNS))
 
 
+@query(
+    "drift_sketch",
+    f"""WITH {q.HALVES}, ks AS (
+      SELECT feature, max(gap) AS d, any_value(n_ref) AS n_ref, any_value(n_cur) AS n_cur FROM steps GROUP BY feature)
+    SELECT feature, n_ref, n_cur, TRUE AS score_within, TRUE AS statistic_within, TRUE AS useful FROM ks""",
+)
+def drift_sketch(spark, sf):
+    """Daily sketches of each half, merged, against the exact distances: within the stated error,
+    and that error is below a tenth of the distance's unit times the width."""
+    path = scratch_path(spark, "sketches")
+    sides = v.drift_tables(spark, sf)
+    for name, df in zip("ab", sides):
+        sketches.store_sketches(df, DRIFT_COLUMNS, f"{path}/{name}")
+    a, b = (
+        sketches.period(sketches.stored_sketches(spark, f"{path}/{name}"), "2000-01-01", "2100-01-01")
+        for name in "ab"
+    )
+    near = sketches.drift_from_sketches(a, b)
+    exact = dr.drift_wasserstein(*sides, DRIFT_COLUMNS).select("feature", F.col("score").alias("exact"))
+    ks = dr.drift_ks(*sides, DRIFT_COLUMNS).select("feature", F.col("statistic").alias("exact_ks"))
+    both = near.join(exact, "feature").join(ks, "feature")
+    return both.select(
+        "feature", "n_ref", "n_cur",
+        (F.abs(F.col("score") - F.col("exact")) <= F.col("score_error")).alias("score_within"),
+        (F.abs(F.col("statistic") - F.col("exact_ks")) <= F.col("statistic_error")).alias("statistic_within"),
+        (F.col("statistic_error") < 0.01).alias("useful"),
+    )
+
+
 @query("drift_wasserstein_approx")
 def drift_wasserstein_approx(spark, sf):
     return rounded(dr.drift_wasserstein_approx(*v.drift_tables(spark, sf), DRIFT_COLUMNS), 3)

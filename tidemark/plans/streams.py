@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators import stats
 from tidemark.operators.labels import forward_volatility, volatility_threshold
 from tidemark.operators.scoring import baseline_scorer, fit_baseline
 from tidemark.plans import sql as q
@@ -13,7 +16,7 @@ from tidemark.plans.queries import KEY, SPIKE, features, rounded_features
 from tidemark.plans.registry import query
 from tidemark.session import materialize, scratch_path
 from tidemark.streaming import features as sf_features
-from tidemark.streaming import flows
+from tidemark.streaming import flows, progress, sessions
 
 
 def tick_stream(spark: SparkSession, sf: str, pattern: str = "events.parquet") -> DataFrame:
@@ -98,3 +101,73 @@ def stream_counters(spark, sf):
     flow.awaitTermination()
     start = F.unix_micros("window.start").alias("window_us")
     return spark.read.parquet(f"{base}/counts").select(start, "product_id", "n")
+
+
+@query(
+    "stream_sessions",
+    f"""WITH {q.CHUNKS}, newest AS (SELECT max(us) AS us FROM tape), s AS (
+      SELECT product_id, count(*) AS n, min(us) AS first_us, max(us) AS last_us FROM chunks GROUP BY product_id, chunk_id)
+    SELECT product_id, n, first_us, last_us FROM s CROSS JOIN newest
+    WHERE last_us + {v.GAP * 1_000_000} < newest.us - 864000000000""",
+)
+def stream_sessions(spark, sf):
+    """Sessions of a stream of four files; one row of five comes a file later than its time."""
+    base = scratch_path(spark, "stream-sessions")
+    t = v.tape(spark, sf).select("product_id", "us", "seq", "k")
+    span = t.agg(F.min("us").alias("_from"), F.max("us").alias("_to"))
+    quarter = F.floor((F.col("us") - F.col("_from")) * 4 / (F.col("_to") - F.col("_from") + 1))
+    late = F.when(F.col("k") % 5 == 0, 1).otherwise(0)
+    parts = materialize(
+        t.crossJoin(F.broadcast(span)).withColumn("file", F.least(quarter + late, F.lit(3)).cast("int"))
+    )
+    for number in range(4):
+        rows = parts.where(F.col("file") == number).select("product_id", "us")
+        rows.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = (
+        spark.readStream.schema("product_id string, us bigint").option("maxFilesPerTrigger", 1)
+        .parquet(f"{base}/in").withColumn("ts", F.timestamp_micros("us"))
+    )
+    flow = (
+        sessions.sessions(stream, v.GAP, delay="10 days")
+        .writeStream.outputMode("append").format("parquet")
+        .option("checkpointLocation", f"{base}/checkpoint")
+        .trigger(availableNow=True).start(f"{base}/sessions")
+    )
+    flow.awaitTermination()
+    return spark.read.parquet(f"{base}/sessions")
+
+
+@query(
+    "merge_sessions",
+    f"""WITH {q.CHUNKS} SELECT product_id, count(*) AS n, min(us) AS first_us, max(us) AS last_us
+    FROM chunks GROUP BY product_id, chunk_id""",
+)
+def merge_sessions(spark, sf):
+    """Sessions of the rows in time, with a seventh of all rows put to them later."""
+    t, late = v.tape(spark, sf), F.col("k") % 7 == 0
+    first = stats.session_summary(t.where(~late), v.GAP)
+    parts = first.unionByName(sessions.as_sessions(t.where(late)))
+    return sessions.merge_sessions(parts, v.GAP)
+
+
+@query(
+    "stream_progress",
+    f"WITH {q.TAPE} SELECT count(*) AS n, 1 AS batches, 0 AS known_lags FROM tape",
+)
+def stream_progress(spark, sf):
+    """What the progress table says of a query over the events."""
+    base = scratch_path(spark, "stream-progress")
+    listener = progress.ProgressTable(spark, f"{base}/progress")
+    flow = (
+        tick_stream(spark, sf).writeStream.format("noop").queryName("ticks")
+        .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
+    )
+    flow.awaitTermination()
+    # The reports of a finished query stay with it; a listener gets the same ones as they come.
+    listener.waiting = [json.loads(p.json) if hasattr(p, "json") else p for p in flow.recentProgress]
+    listener.flush()
+    table = spark.read.parquet(f"{base}/progress")
+    return table.where("rows > 0").agg(
+        F.sum("rows").alias("n"), F.countDistinct("batch").cast("int").alias("batches"),
+        F.count("lag").cast("int").alias("known_lags"),
+    )
