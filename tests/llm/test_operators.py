@@ -619,6 +619,34 @@ def test_pages(spark):
         pages.main_text(odd, tree)
 
 
+def test_short_articles_are_whole():
+    tree = pages.train()
+    for a in range(14):
+        for b in (1, 2, 4, 7, 10, 14):
+            for c in (0, 3, 6, 11):
+                parts = "".join(f"<p>{' '.join(['w'] * n)}</p>" for n in (a, b, c) if n)
+                page = f"<nav><a href=x>Home page</a></nav><article>{parts}</article><footer>&copy; A B C</footer>"
+                assert pages.main_text(page, tree) == " ".join(["w"] * (a + b + c)), (a, b, c)
+    page = "<article><h1>Bridge closed again</h1><p>The bridge was closed on Monday.</p></article>"
+    assert pages.main_text(page, tree) == "Bridge closed again The bridge was closed on Monday."
+
+
+def test_neighbours_decide_on_unmarked_pages():
+    """One and the same block is kept between paragraphs and dropped between links."""
+    tree = pages.train()
+    block, long = "<p>" + "same " * 22 + "</p>", "<p>" + "other " * 40 + "</p>"
+    link = "<div><a href=x>more</a></div>"
+    assert "same" in pages.main_text(long + block + long, tree)
+    assert "same" not in pages.main_text(link + block + link, tree)
+
+
+def test_long_and_empty_pages(spark):
+    page = "<article>" + "<p>word here and more</p>" * 30_000 + "</article>"
+    rows = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    assert pages.extract(rows).first().n_chars == 30_000 * 19 - 1
+    assert pages.extract(rows.limit(0)).count() == 0
+
+
 def test_shards(spark):
     rows = corpus(3, 200) + [(300 + i, "same text " * 20, "en", "s", 0) for i in range(150)]
     for df, n in ((frame(spark, rows, True), len(rows)), (frame(spark, rows).limit(0), 0)):

@@ -214,6 +214,14 @@ TABLE = [
     (16, 0.0, 4, 0.0, 3, 0.0, 0, 0, 0, 0), (11, 0.0, 4, 1.0, 3, 1.0, 0, 0, 0, 0), (20, 0.0, 30, 0.0, 25, 0.0, 0, 0, 0, 1),
     (22, 0.0, 0, 0.0, 20, 0.0, 0, 0, 0, 1), (60, 0.0, 50, 0.0, 70, 0.0, 1, 0, 1, 0), (8, 0.0, 1, 1.0, 40, 0.0, 1, 0, 1, 0),
     (3, 1.0, 2, 1.0, 2, 1.0, 1, 0, 1, 0),
+    # Short articles: a main part of one, two or three short blocks, and its short title.
+    (2, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1), (3, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1), (4, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1),
+    (7, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1), (8, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1), (9, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1),
+    (10, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1), (3, 0.0, 0, 0.0, 6, 0.0, 0, 1, 0, 1), (6, 0.0, 3, 0.0, 0, 0.0, 0, 1, 0, 1),
+    (4, 0.0, 0, 0.0, 9, 0.0, 0, 1, 0, 1), (9, 0.0, 4, 0.0, 0, 0.0, 0, 1, 0, 1), (5, 0.0, 4, 0.0, 5, 0.0, 0, 1, 0, 1),
+    (2, 0.0, 0, 0.0, 3, 0.0, 0, 1, 0, 1), (8, 0.0, 6, 0.0, 7, 0.0, 0, 1, 0, 1), (7, 0.0, 2, 1.0, 2, 0.0, 0, 1, 0, 1),
+    (3, 0.0, 2, 1.0, 4, 0.0, 0, 1, 0, 1), (9, 0.0, 3, 1.0, 6, 0.0, 0, 1, 0, 1), (10, 0.0, 8, 0.0, 3, 1.0, 0, 1, 0, 1),
+    (6, 0.0, 9, 0.0, 2, 1.0, 0, 1, 0, 1), (4, 0.0, 1, 1.0, 1, 1.0, 0, 1, 0, 1), (8, 0.0, 1, 1.0, 1, 1.0, 0, 1, 0, 1),
 ]
 
 
