@@ -74,6 +74,14 @@ def test_models_and_rollback(table):
         models.train(df, kind="other")
 
 
+def test_importance_names_follow_the_model(table):
+    _, df = table
+    fewer = df.drop("log_return_300s", "spread_mean_60s")
+    got = models.feature_importance(fewer, models.train(fewer, trees=5, depth=4)).collect()
+    assert got[0]["feature"] == "price_velocity_300s" and len(got) == 8
+    assert {r["feature"] for r in got} == set(MODEL_FEATURES) - {"log_return_300s", "spread_mean_60s"}
+
+
 def test_python_model(table):
     _, df = table
     scorer = scoring.python_scorer(lambda pdf: 1 / (1 + np.exp(-pdf["price_velocity_300s"])))

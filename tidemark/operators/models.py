@@ -63,10 +63,14 @@ def train(
 
 
 def feature_importance(
-    df: DataFrame, model: PipelineModel, features: Sequence[str] = tuple(MODEL_FEATURES)
+    df: DataFrame, model: PipelineModel, features: Sequence[str] | None = None
 ) -> DataFrame:
-    """The features ranked by the model's importance (as many rows as features)."""
+    """The features ranked by the model's importance (as many rows as features).
+
+    The names are those the model was fitted on, unless ``features`` gives as many others.
+    """
+    features = model.stages[0].getInputCols() if features is None else features
     values = model.stages[-1].featureImportances.toArray()
     return df.sparkSession.createDataFrame(
-        [(f, float(v)) for f, v in zip(features, values)], "feature string, importance double"
+        [(f, float(v)) for f, v in zip(features, values, strict=True)], "feature string, importance double"
     ).orderBy(F.desc("importance"))

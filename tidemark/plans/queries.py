@@ -1044,6 +1044,16 @@ def logistic_score(spark, sf):
     return out.select(*KEY, "score", "prediction", "volatility_spike")
 
 
+@query("boosted_score")
+def boosted_score(spark, sf):
+    from tidemark.operators.scoring import pipeline_scorer
+
+    rows = _training(spark, sf)
+    model = models.train(rows, kind="boosted", trees=10)
+    out = score_table(rows, {"ml": pipeline_scorer(model)}, "ml", 0.5)
+    return out.select(*KEY, "score", "prediction", "volatility_spike")
+
+
 @query(
     "best_f1",
     f"""WITH {q.PREDS}{q.curve('preds')}, t AS (SELECT sum(pos) AS p FROM groups),
@@ -1402,6 +1412,29 @@ def _report_sql() -> str:
     return f"WITH {_PREDICTION_DRIFT}, {_DATASET[_DATASET.index('ds AS'):]} {body}"
 
 
+def _parts_sql(reference: str, current: str) -> str:
+    """The report's SQL over other parts of the unscaled table; ``rn`` numbers its ``total`` rows in time."""
+    sql = _report_sql().replace(
+        """CASE WHEN rn > CAST(floor(total * 0.5) AS BIGINT) AND product_id = 'purchase'
+              THEN price * 1.2 ELSE price END AS price
+  FROM numbered""",
+        f"price FROM numbered WHERE ({reference}) OR ({current})",
+    )
+    return sql.replace("rn <= CAST(floor(total * 0.5) AS BIGINT)", reference)
+
+
+@query("report_early_late", _parts_sql("rn <= CAST(floor(total * 0.4) AS BIGINT)", "rn > CAST(floor(total * 0.4) AS BIGINT)"))
+def report_early_late(spark, sf):
+    table = _with_prediction(v.tape(spark, sf))
+    return rounded(dr.early_late_report(table, 0.4, columns=DRIFT_COLUMNS, prediction="prediction"))
+
+
+@query("report_train_test", _parts_sql("rn <= CAST(floor(total * 0.7) AS BIGINT)", "rn > CAST(floor(total * 0.85) AS BIGINT)"))
+def report_train_test(spark, sf):
+    table = _with_prediction(v.tape(spark, sf))
+    return rounded(dr.train_test_report(table, columns=DRIFT_COLUMNS, prediction="prediction"))
+
+
 @query("drift_report", _report_sql())
 def drift_report(spark, sf):
     ref, cur = (_with_prediction(df) for df in v.drift_tables(spark, sf))
