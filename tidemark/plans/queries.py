@@ -1236,7 +1236,7 @@ def drift_wasserstein(spark, sf):
 )
 def drift_sketch(spark, sf):
     """Daily sketches of each half, merged, against the exact distances: within the stated error,
-    and that error is below a tenth of the distance's unit times the width."""
+    which for the statistic is below 0.01."""
     path = scratch_path(spark, "sketches")
     sides = v.drift_tables(spark, sf)
     for name, df in zip("ab", sides):
