@@ -33,19 +33,27 @@ def _long(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> D
 def _steps(long: DataFrame) -> DataFrame:
     """Both empirical distributions of each feature at every distinct value.
 
-    Equal values are merged before anything is ordered. Running counts go by value ranges,
-    so a feature is never ordered inside one task.
+    Equal values are merged and written before anything is ordered: sizes and deviation come from
+    the merged values, so both tables are read once. Running counts go by value ranges, so a
+    feature is never ordered inside one task.
     """
     ref, cur = F.col("side") == "ref", F.col("side") == "cur"
-    values = long.groupBy("feature", "x").agg(
-        F.count_if(ref).alias("r"), F.count_if(cur).alias("c")
+    values = materialize(
+        long.groupBy("feature", "x").agg(F.count_if(ref).alias("r"), F.count_if(cur).alias("c"))
     )
-    totals = long.groupBy("feature").agg(
-        F.count_if(ref).alias("n_ref"),
-        F.count_if(cur).alias("n_cur"),
-        F.stddev_pop(F.when(ref, F.col("x"))).alias("ref_std"),
+    sizes = values.groupBy("feature").agg(
+        F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"),
+        F.try_divide(F.sum(F.col("x") * F.col("r")), F.sum("r")).alias("_mean"),
+    )
+    off = F.col("x") - F.col("_mean")
+    totals = (
+        values.join(F.broadcast(sizes), "feature").groupBy("feature")
+        .agg(
+            F.first("n_ref").alias("n_ref"), F.first("n_cur").alias("n_cur"),
+            F.sqrt(F.try_divide(F.sum(F.col("r") * off * off), F.sum("r"))).alias("ref_std"),
+        )
     )
-    values, points = settled(values, "x", long.count())
+    values, points = settled(values, "x", values.count())
     steps = running(
         values,
         ["feature"],

@@ -206,16 +206,18 @@ def live_performance(
     by: Sequence[str] = (),
     label: str = "volatility_spike",
 ) -> DataFrame:
-    """Metrics of the recent predictions that have a label by now, as one row with a status."""
-    recent = predictions
+    """Metrics of the recent predictions that have a label by now, as one row with a status.
+
+    Only labels within ``tolerance`` of the slice are matched; all of them are counted.
+    """
+    recent, near = predictions, labels
     if now_us is not None:
-        recent = predictions.where(
-            F.col("us").between(
-                int(now_us - hours * 3.6e9), int(now_us - buffer_minutes * 6e7)
-            )
-        )
+        begin, end = int(now_us - hours * 3.6e9), int(now_us - buffer_minutes * 6e7)
+        reach = int(tolerance * 1_000_000)
+        recent = predictions.where(F.col("us").between(begin, end))
+        near = labels.where(F.col("us").between(begin - reach, end + reach))
     matched = match_labels(
-        recent.select("us", *by, "score", "prediction", "model_version"), labels, tolerance, by, label
+        recent.select("us", *by, "score", "prediction", "model_version"), near, tolerance, by, label
     )
     matched = materialize(matched)
     metrics = classification_metrics(matched, label=label)

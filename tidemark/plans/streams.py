@@ -16,7 +16,7 @@ from tidemark.plans.queries import KEY, SPIKE, features, rounded_features
 from tidemark.plans.registry import query
 from tidemark.session import materialize, scratch_path
 from tidemark.streaming import features as sf_features
-from tidemark.streaming import flows, progress, sessions
+from tidemark.streaming import flows, progress, sessions, store, tables
 
 
 def tick_stream(spark: SparkSession, sf: str, pattern: str = "events.parquet") -> DataFrame:
@@ -40,6 +40,47 @@ def stream_features(spark, sf):
     return rounded_features(spark.read.parquet(f"{base}/features").drop("day", "batch", "price"))
 
 
+def tape_files(spark: SparkSession, sf: str, folder: str, parts: int) -> DataFrame:
+    """The tape as files in order of time, and a stream that takes one of them at a time."""
+    t = v.tape(spark, sf).select(*sf_features.TICK_COLUMNS)
+    span = t.agg(F.min("us").alias("_from"), F.max("us").alias("_to"))
+    part = F.floor((F.col("us") - F.col("_from")) * parts / (F.col("_to") - F.col("_from") + 1))
+    rows = materialize(t.crossJoin(F.broadcast(span)).withColumn("part", part.cast("int")))
+    for number in range(parts):
+        rows.where(F.col("part") == number).select(*t.columns).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+@query("stream_features_compacted", f"WITH {q.FEATURES} SELECT {q.feature_columns()} FROM features")
+def stream_features_compacted(spark, sf):
+    """Features over five files, with the tick store compacted before every other one and old days let go."""
+    base = scratch_path(spark, "stream-compacted")
+    each = sf_features.feature_batch(f"{base}/ticks", f"{base}/features", v.TAPE_FRAMES, compact_every=2, keep_days=3)
+    flow = sf_features.start(tape_files(spark, sf, f"{base}/in", 5), each, f"{base}/checkpoint", available_now=True)
+    flow.awaitTermination()
+    return rounded_features(spark.read.parquet(f"{base}/features").drop("day", "batch", "price"))
+
+
+@query(
+    "tick_store",
+    f"""WITH {q.TAPE}, days AS (SELECT us // 86400000000 AS day, * FROM tape)
+    SELECT CAST(day AS INTEGER) AS day, product_id, count(*) AS n, sum(seq) AS seqs, count(DISTINCT seq % 6) AS batches
+    FROM days WHERE day > (SELECT max(day) FROM days) - 7 GROUP BY 1, 2""",
+)
+def tick_store(spark, sf):
+    """The last seven days of a store of six batches that each hold rows of every day."""
+    path = scratch_path(spark, "tick-store")
+    t = v.tape(spark, sf).select(*sf_features.TICK_COLUMNS)
+    for number in range(6):
+        tables.write_batch(t.where(F.col("seq") % 6 == number), path, number)
+        if number % 2:
+            store.compact(spark, path, t.schema, number, keep_days=7)
+    rows = store.stored(spark, path, t.schema)
+    return rows.groupBy("day", "product_id").agg(
+        F.count("*").alias("n"), F.sum("seq").alias("seqs"), F.countDistinct("batch").alias("batches")
+    )
+
+
 @query(
     "stream_labels",
     f"""WITH {q.LABELS}, newest AS (SELECT max(us) AS us FROM tape)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from tidemark.streaming.store import remove, stored
+
 DAY = 86_400_000_000
 
 
@@ -58,16 +60,9 @@ def joined_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def read_before(
     spark: SparkSession, path: str, schema: T.StructType, batch: int, spans: list[tuple[int, int]]
 ) -> DataFrame:
-    """Rows of earlier batches within any of ``spans``. Only the folders of those days are listed."""
-    full = T.StructType(
-        [*schema.fields, T.StructField("day", T.IntegerType()), T.StructField("batch", T.LongType())]
-    )
-    days = sorted({d for begin, end in spans for d in range(begin // DAY, end // DAY + 1)})
-    try:
-        some = ",".join(map(str, days))
-        rows = spark.read.schema(full).option("basePath", path).parquet(f"{path}/day={{{some}}}")
-    except AnalysisException:
-        rows = spark.createDataFrame([], full)
+    """Rows of earlier batches within any of ``spans``. Only the folders of those days are read."""
+    days = {d for begin, end in spans for d in range(begin // DAY, end // DAY + 1)}
+    rows = stored(spark, path, schema, days)
     wanted = F.lit(False)
     for begin, end in spans:
         wanted = wanted | F.col("us").between(begin, end)
@@ -77,8 +72,8 @@ def read_before(
 def newest_event(spark: SparkSession, path: str, batch: int, own: int | None) -> tuple:
     """Newest event time before and after this batch.
 
-    Each batch leaves one row in a folder of its own and reads that of the batch before it,
-    so the cost does not grow with the age of the stream.
+    Each batch leaves one row in a folder of its own and reads that of the batch before it;
+    older ones are deleted, so neither cost nor files grow with the age of the stream.
     """
     schema = "us bigint"
     try:
@@ -89,4 +84,5 @@ def newest_event(spark: SparkSession, path: str, batch: int, own: int | None) ->
     after = max((x for x in (before, own) if x is not None), default=None)
     one = spark.createDataFrame([(after,)], schema).coalesce(1)
     one.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+    remove(spark, f"{path}/batch={batch - 2}")
     return before, after
