@@ -26,13 +26,18 @@ LANGUAGES = 500
 SAMPLE_ROWS = 1_000  # rows of each language that are counted
 SAMPLE_CHARS = 1_500_000  # and their characters
 CACHE = 200_000
-# Letters only: what Python counts as part of a word without being a letter goes.
-_OTHERS = "".join(c for c in map(chr, range(0x20000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_LETTERS = re.compile(f"[^\\W\\d_{_OTHERS}]+")
+_LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def words(text: str | None) -> Counter:
-    return Counter(_LETTERS.findall((text or "").lower()))
+    """Runs of letters with their counts. Digits of other kinds ("²", "Ⅷ") are word characters to the
+    pattern but no letters, so the few words that hold them are split there."""
+    found = Counter(_LETTERS.findall((text or "").lower()))
+    for word in [w for w in found if not w.isalpha()]:
+        n = found.pop(word)
+        for part in "".join(c if c.isalpha() else " " for c in word).split():
+            found[part] += n
+    return found
 
 
 class Tree:
