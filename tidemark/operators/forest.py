@@ -32,6 +32,7 @@ from tidemark.session import materialize
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_ROWS = 65_536
+TASK_BLOCKS = 64
 # Counts of one task, and nodes whose counts travel in one row.
 COUNT_BYTES = 2**26
 CHUNK_NODES = 64
@@ -271,7 +272,8 @@ def fit(
     k = width if trees == 1 else int(np.ceil(np.sqrt(width)))
     kind = np.uint8 if bins * classes <= 256 else np.uint16
     blocks = materialize(packed(rows, features, label, cuts, classes, kind))
-    blocks = blocks.repartition(context.defaultParallelism).persist()
+    tasks = max(context.defaultParallelism, int(every.sum()) // (TASK_BLOCKS * BLOCK_ROWS))
+    blocks = blocks.repartition(tasks).persist()
     inner = 2**depth - 1
     feature = np.full((trees, inner), -1, np.intp)
     cut = np.zeros((trees, inner), kind)

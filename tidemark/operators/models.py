@@ -1,4 +1,4 @@
-"""Tree and linear models on the feature table, with ``pyspark.ml``."""
+"""Tree and linear models on the feature table, with ``pyspark.ml``; a large table's forest with ``forest``."""
 
 from __future__ import annotations
 
